@@ -6,10 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language, mixing, packing, simhash
+from . import exact_dedup, language, lm, mixing, packing, secrets, simhash
 from .common import documents, id_remainder
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(documents(spark, sf_dir), id_remainder("doc_id", 7) == 2)
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    ledger = secrets.BlobLedger(spark)
+    ledger.update(docs)
+    return ledger.findings(docs, columns=["doc_id"]).drop("blob")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -34,6 +45,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
+    "op2_secret_scan": op2_secret_scan,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_pfair_mixing": op5_pfair_mixing,
     "op8_sum_of_squares_packing": op8_sum_of_squares_packing,
