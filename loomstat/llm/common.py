@@ -8,7 +8,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Texts of one working chunk inside a Python worker hold at most about so many characters.
@@ -83,7 +84,7 @@ def chunks(texts: list[str], overlap: int = 0, limit: int = CHUNK_CHARS) -> Iter
 
 def batches_of(texts: pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     """Row ranges [a, b) of an Arrow string array with about ``limit`` bytes of text each, one row at least."""
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     a, held = 0, 0
     for i, n in enumerate(sizes):
         if i > a and held + n > limit:
@@ -92,3 +93,17 @@ def batches_of(texts: pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[int,
         held += int(n)
     if a < len(sizes):
         yield a, len(sizes)
+
+
+def bounded_sample(rows: DataFrame, group: str, key: Column, per_group: int) -> DataFrame:
+    """The ``per_group`` rows of each group with the smallest key (a hash), for fitting classifiers.
+
+    The groups must be few: their counts are read by the driver. A first cut at the hash keeps
+    about half as many again as are wanted, so that what one group's task ranks has a bound.
+    """
+    counts = rows.groupBy(group).count().collect()
+    share = {r[0]: min(1.0, 1.5 * (per_group + 100) / r[1]) for r in counts if r[0] is not None}
+    cut = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(v))])[F.col(group)] if share else F.lit(0.0)
+    near = rows.withColumn("__key", key).filter(F.col("__key").cast("double") / float(1 << 63) < cut * 2 - 1)
+    ranked = near.withColumn("__n", F.row_number().over(Window.partitionBy(group).orderBy("__key", *sorted(c for c in rows.columns if c != group))))
+    return ranked.filter(F.col("__n") <= per_group).drop("__key", "__n")

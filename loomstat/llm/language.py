@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches_of, chunks, strings
+from .common import batches_of, bounded_sample, chunks, strings
 
 WIDTH = 4
 HASHES = 2
@@ -148,11 +148,9 @@ def build(rows: list[tuple[str, int, int]], n_docs: dict[str, int], width: int =
 def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, width: int = WIDTH) -> LanguageFilter:
     """Fit on at most ``per_language`` rows of each language; rows without a language or text are left out."""
     rows = rows.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    key = F.xxhash64(F.lit("language"), F.col(id_col).cast("string"))
     # only ids and hashes are ranked; texts are read for the chosen rows alone
-    few = rows.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), key.alias("__key"))
-    # a bound at the hash first, with a wide margin, then the exact smallest rows of each language
-    chosen = few.withColumn("__n", F.row_number().over(Window.partitionBy("__lang").orderBy("__key", "__id"))).filter(F.col("__n") <= per_language)
+    few = rows.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"))
+    chosen = bounded_sample(few, "__lang", F.xxhash64(F.lit("language"), F.col("__id").cast("string")), per_language)
     ids = [(r["__id"], r["__lang"]) for r in chosen.select("__id", "__lang").collect()]  # per_language x languages at most
     n_docs: dict[str, int] = {}
     for _, x in ids:

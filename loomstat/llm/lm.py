@@ -169,14 +169,14 @@ def _ask(bits: int):
     return run
 
 
-_ANSWERS = "block long, part long, u_all binary, u_deleted binary, b_all binary, b_deleted binary, v long, n long, n_deleted long"
-_ANSWERS_ARROW = pa.schema([("block", pa.int64()), ("part", pa.int64()), *((x, pa.binary()) for x in ("u_all", "u_deleted", "b_all", "b_deleted")), *((x, pa.int64()) for x in ("v", "n", "n_deleted"))])
+_ANSWERS = "block long, part long, kind int, u_all binary, u_deleted binary, b_all binary, b_deleted binary, v long, n long, n_deleted long"
+_ANSWERS_ARROW = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("kind", pa.int32()), *((x, pa.binary()) for x in ("u_all", "u_deleted", "b_all", "b_deleted")), *((x, pa.int64()) for x in ("v", "n", "n_deleted"))])
 
 
 def _answer(table: pa.Table) -> pa.Table:
     table = table.combine_chunks()
     part, kinds, blocks = table["part"][0].as_py(), table["kind"].to_pylist(), table["block"].to_pylist()
-    columns: dict[str, list] = {"block": [*blocks, -1], "part": [part] * (len(blocks) + 1)}
+    columns: dict[str, list] = {"block": [*blocks, -1], "part": [part] * (len(blocks) + 1), "kind": [*kinds, -1]}
     for name in ("u", "b"):
         keys = [_unpack_keys(x) for x in table[f"{name}_keys"].to_pylist()]
         counts = [np.frombuffer(x, "<u4") if k != SCORED else np.zeros(len(y), "<u4") for x, k, y in zip(table[f"{name}_counts"].to_pylist(), kinds, keys, strict=True)]
@@ -288,12 +288,12 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     asked = blocks.select("block", "kind", "payload").mapInArrow(_ask(bits), "part long, block long, kind int, u_keys binary, u_counts binary, b_keys binary, b_counts binary")
     answers = saved(asked.groupBy("part").applyInArrow(_answer, _ANSWERS), "lm-answers")
     v, n, n_deleted = (x or 0 for x in answers.filter("block = -1").agg(F.sum("v"), F.sum("n"), F.sum("n_deleted")).first())
-    told = answers.filter("block >= 0").select("block", "part", "u_all", "u_deleted", "b_all", "b_deleted")
+    told = answers.filter("block >= 0").select("block", "part", "kind", "u_all", "u_deleted", "b_all", "b_deleted")
 
-    def beside(kinds: DataFrame, run, schema: str) -> DataFrame:
-        return kinds.groupBy("block").cogroup(told.join(F.broadcast(kinds.select("block")), "block", "left_semi").groupBy("block") if kinds is not blocks else told.groupBy("block")).applyInArrow(run, schema)
+    def beside(kind: Column, run, schema: str) -> DataFrame:
+        return blocks.filter(kind).groupBy("block").cogroup(told.filter(kind).groupBy("block")).applyInArrow(run, schema)
 
-    held = beside(blocks.filter(F.col("kind") == DELETED), _held_out(n - n_deleted), "bucket long, p1 long, p2 long, n long")
+    held = beside(F.col("kind") == DELETED, _held_out(n - n_deleted), "bucket long, p1 long, p2 long, n long")
     histogram = held.groupBy("bucket", "p1", "p2").agg(F.sum("n").alias("n"))
     weights = mixture_weights([tuple(r) for r in histogram.collect()], v)
-    return beside(blocks, _score(weights, n, v), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return beside(F.lit(True), _score(weights, n, v), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, language, lm, mixing, packing, secrets, simhash
-from .common import documents, id_remainder
+from . import chroma, exact_dedup, language, licenses, lm, mixing, packing, quality, secrets, simhash
+from .common import documents, id_remainder, saved
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,10 +27,44 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op5_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_plan(documents(spark, sf_dir))
 
 
+def _tunes(batches):
+    for batch in batches:
+        ids, vectors = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for a in range(0, len(ids), 64):
+            audio = [chroma.rendered(v, (i or 0) % 7) for i, v in zip(ids[a : a + 64], vectors[a : a + 64], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[a : a + 64], pa.int64()), pa.array(audio, pa.binary())], names=["vec_id", "audio"])
+
+
+def op6_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as a recording; those whose id is divisible by 50 are searched among all.
+
+    A row per recording (vec_id, class_id, is_query, n_values), for queries a row per class that
+    aligns with theirs (match_class, offset in frames, votes, bit_error); match_class is null without one.
+    """
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    audio = vectors.mapInArrow(_tunes, "vec_id long, audio binary")
+    marked = saved(chroma.fingerprints(audio, "vec_id", "audio"), "chroma")
+    members, matches = chroma.search(marked, F.col("rec_id") % 50 == 0)
+    rows = members.withColumn("query_class", F.when(F.col("is_query"), F.col("class_id")))
+    made = rows.join(matches.drop("overlap"), "query_class", "left")
+    return made.select(F.col("rec_id").alias("vec_id"), "class_id", "is_query", "n_values", "match_class", "offset", "votes", F.round("bit_error", 6).alias("bit_error"))
+
+
+def op7_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = documents(spark, sf_dir).select("doc_id", "text"), id_remainder("doc_id", 3) == 1
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held)
+    model = quality.train(docs, labels)
+    return quality.scored(docs, model).select("doc_id", held.alias("held_out"), "__quality.score", "__quality.predicted")
+
+
 def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -48,7 +84,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_secret_scan": op2_secret_scan,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_license_scan": op4_license_scan,
     "op5_pfair_mixing": op5_pfair_mixing,
+    "op6_chroma_fingerprints": op6_chroma_fingerprints,
+    "op7_pairwise_quality": op7_pairwise_quality,
     "op8_sum_of_squares_packing": op8_sum_of_squares_packing,
     "op9_grace_exact_dedup": op9_grace_exact_dedup,
     "op10_language_id": op10_language_id,
@@ -89,4 +128,4 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*)
 FROM d
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_pfair_mixing": OP5_SQL, "op9_grace_exact_dedup": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_license_scan": licenses.oracle_sql(), "op5_pfair_mixing": OP5_SQL, "op9_grace_exact_dedup": OP9_SQL}
