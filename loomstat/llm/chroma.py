@@ -4,11 +4,13 @@ A recording is a WAV file (PCM). Its spectrum is folded into twelve pitch classe
 sixteen filters compare rectangles of this image (sums by an integral image) and each gives two
 bits in Gray code, so every position of the image is a packed 32-bit integer.
 
-Search: equal fingerprints are one class. Query and indexed classes meet where they share an
-integer; each meeting votes for the offset between their positions, the fullest offset of a
-pair of classes is checked by bit errors over the overlap, and a pair aligns if at most
-``MAX_BIT_ERROR`` of the bits differ. A run of one integer (a held chord, silence) counts once,
-at its first position, so that it can't outvote the rest.
+Search: equal fingerprints are one class. The index key of a position is the sign bits (the
+bits that noise turns last) of three integers ``GAP`` apart, so that unrelated recordings hardly
+ever share one. Query and indexed classes meet where they share a key; each meeting votes for
+the offset between their positions, the fullest offset of a pair of classes is checked by bit
+errors over the overlap, and a pair aligns if at most ``MAX_BIT_ERROR`` of the bits differ. A
+run of one key (a held chord, silence) counts once, at its first position, so that it can't
+outvote the rest. Recordings of no more than 2 * ``GAP`` positions have no key.
 
 Defined cases: null or undecodable audio and audio shorter than a filter has an empty
 fingerprint, is in the class of the empty fingerprint and matches nothing; ids may be null
@@ -31,8 +33,10 @@ FRAME_S = 0.25
 LOW_HZ, HIGH_HZ = 55.0, 3520.0
 WIDTH = 16
 MAX_BIT_ERROR = 0.25
-LEAST_VOTES = 4
-LEAST_OVERLAP = 16
+LEAST_VOTES = 1
+LEAST_OVERLAP = 17
+GAP = 8
+SIGNS = 0xAAAAAAAA
 
 
 def wav(samples: np.ndarray, rate: int) -> bytes:
@@ -139,12 +143,21 @@ def fingerprints(recordings: DataFrame, id_col: str, audio_col: str) -> DataFram
     return recordings.select(F.col(id_col).cast("long").alias("rec_id"), F.col(audio_col).alias("audio")).mapInArrow(_fingerprints, "rec_id long, fingerprint binary")
 
 
+def index_keys(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions that start a run of one key, and their keys."""
+    x = values.astype(np.int64) & SIGNS
+    if len(x) <= 2 * GAP:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    keys = (x[: -2 * GAP] << 31) | x[GAP:-GAP] | (x[2 * GAP :] >> 1)
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return first, keys[first]
+
+
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for class_id, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            x = np.frombuffer(raw.as_buffer(), "<u4").astype(np.int64)
-            first = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), class_id, dtype=np.int64)), pa.array(first), pa.array(x[first])], names=["class_id", "at", "value"])
+            first, keys = index_keys(np.frombuffer(raw.as_buffer(), "<u4"))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), class_id, dtype=np.int64)), pa.array(first), pa.array(keys)], names=["class_id", "at", "value"])
 
 
 def bit_error(query: np.ndarray, other: np.ndarray, offset: int) -> tuple[float, int]:
