@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import importlib
+
 from .registry import ORACLE_SQL, QUERIES
 
+for _name in ("registry_queries",):
+    importlib.import_module(f"{__package__}.{_name}")
+
 
 def queries() -> dict:
     return QUERIES
