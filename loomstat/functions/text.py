@@ -7,6 +7,7 @@ import unicodedata
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 from ..vocab import CORPORATE_TOKENS, GEOGRAPHY_RULES, SECTOR_RULES
 
@@ -52,7 +53,7 @@ def token_jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(x) > 0) & (F.size(y) > 0), F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y)))
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def nfkc(names: pa.Array) -> pa.Array:
     """Unicode compatibility composition; meant for distinct names."""
     return pa.array([None if x is None else unicodedata.normalize("NFKC", x) for x in names.to_pylist()], pa.string())
@@ -84,7 +85,7 @@ def parse_int(c: Column) -> Column:
 def split_list(c: Column) -> Column:
     """The parts of a listing, without repeats (compared by ``normalize_text``), in order."""
     parts = F.filter(F.transform(F.split(_text(c), r"\s*(?:;|\||\n|•|,\s*(?=[A-Za-z]))\s*"), lambda x: F.trim(F.regexp_replace(x, r"\s+", " "))), lambda x: normalize_text(x) != "")
-    keys = F.transform(parts, normalize_text)
+    keys = F.transform(parts, lambda x: normalize_text(x))
     return F.filter(parts, lambda x, i: F.array_position(keys, F.element_at(keys, i + 1)) == i + 1)
 
 
@@ -177,7 +178,7 @@ def rounded(c: Column, digits: int) -> Column:
     return F.floor(c * float(10**digits) + 0.5) / float(10**digits)
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(DoubleType())
 def round_to_even_4(values: pa.Array) -> pa.Array:
     """Correctly rounded to four places, ties to even; for results that must equal Python's ``round``."""
     return pa.array([None if x is None else round(x, 4) for x in values.to_pylist()], pa.float64())
@@ -244,7 +245,7 @@ def geo_ref(level: str, *codes: Column) -> Column:
 
 def location_parts(c: Column) -> Column:
     """(upazila, district, division): the last three parts between commas; all null with fewer."""
-    parts = F.filter(F.transform(F.split(_text(c), ","), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(_text(c), ","), lambda x: F.trim(x)), lambda x: x != "")
     named = [F.when(F.size(parts) >= 3, F.try_element_at(parts, F.lit(k))).alias(n) for k, n in ((-3, "upazila"), (-2, "district"), (-1, "division"))]
     return F.struct(*named)
 
