@@ -8,8 +8,9 @@ Search: equal fingerprints are one class. The index key of a position is the sig
 bits that noise turns last) of three integers ``GAP`` apart, so that unrelated recordings hardly
 ever share one. Query and indexed classes meet where they share a key; each meeting votes for
 the offset between their positions, the fullest offset of a pair of classes is checked by bit
-errors over the overlap, and a pair aligns if at most ``MAX_BIT_ERROR`` of the bits differ. A
-run of one key (a held chord, silence) counts once, at its first position, so that it can't
+errors over the overlap, and a pair aligns if at most ``MAX_BIT_ERROR`` of the bits differ and
+the overlap is half of the shorter recording or more: neighbouring positions share most of their
+frames, so that short overlaps agree by chance. A run of one key (a held chord, silence) counts once, at its first position, so that it can't
 outvote the rest. Recordings of no more than 2 * ``GAP`` positions have no key.
 
 Defined cases: null or undecodable audio and audio shorter than a filter has an empty
@@ -172,12 +173,17 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         errors, overlaps = [], []
         for q, o, offset in zip(batch.column("fp_q"), batch.column("fp_o"), batch.column("offset").to_pylist(), strict=True):
-            e, n = bit_error(np.frombuffer(q.as_buffer(), "<u4"), np.frombuffer(o.as_buffer(), "<u4"), offset)
-            errors.append(e)
+            x, y = np.frombuffer(q.as_buffer(), "<u4"), np.frombuffer(o.as_buffer(), "<u4")
+            e, n = bit_error(x, y, offset)
+            errors.append(e if enough(n, len(x), len(y)) else 1.0)
             overlaps.append(n)
         yield pa.RecordBatch.from_arrays([batch.column("query_class"), batch.column("match_class"), batch.column("offset"), batch.column("votes"), pa.array(errors, pa.float64()), pa.array(overlaps, pa.int64())], names=["query_class", "match_class", "offset", "votes", "bit_error", "overlap"])
 
 
+def enough(overlap: int, a: int, b: int) -> bool:
+    return overlap >= max(LEAST_OVERLAP, -(-min(a, b) // 2))
+
+
 def search(marked: DataFrame, is_query: Column) -> tuple[DataFrame, DataFrame]:
     """Classes and alignments of fingerprints (rec_id, fingerprint; read more than once, so written before).
 
@@ -193,7 +199,7 @@ def search(marked: DataFrame, is_query: Column) -> tuple[DataFrame, DataFrame]:
     best = votes.filter(F.col("votes") >= LEAST_VOTES).groupBy("query_class", "match_class").agg(F.max_by("offset", F.struct("votes", -F.abs("offset"), "offset")).alias("offset"), F.max("votes").alias("votes"))
     with_fp = best.join(classes.select(F.col("class_id").alias("query_class"), F.col("fp").alias("fp_q")), "query_class").join(classes.select(F.col("class_id").alias("match_class"), F.col("fp").alias("fp_o")), "match_class")
     checked = with_fp.mapInArrow(_verify, "query_class long, match_class long, offset long, votes long, bit_error double, overlap long")
-    return members, checked.filter((F.col("bit_error") <= MAX_BIT_ERROR) & (F.col("overlap") >= LEAST_OVERLAP))
+    return members, checked.filter(F.col("bit_error") <= MAX_BIT_ERROR)
 
 
 RATE, NOTE_S, NOTES = 4000, 0.25, 24
