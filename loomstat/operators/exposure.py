@@ -44,7 +44,7 @@ def resolve_places(asked: DataFrame, units: DataFrame, aliases: DataFrame | None
     else:
         alias_rows = aliases.select("level", admin_name(F.col("alias")).alias("key"), "geo_ref")
     alias_of = alias_rows.filter("level = 'DISTRICT'").groupBy(F.col("geo_ref").alias("parent_ref")).agg(F.collect_set("key").alias("parent_aliases"))
-    known = parents.join(F.broadcast(alias_of), "parent_ref", "left").select("geo_ref", F.coalesce("parent_aliases", F.array().cast("array<string>")).alias("parent_aliases"))
+    known = parents.join(alias_of, "parent_ref", "left").select("geo_ref", F.coalesce("parent_aliases", F.array().cast("array<string>")).alias("parent_aliases"))
     under = ((F.col("q_division") == "") | F.array_contains("divisions", F.col("q_division"))) & (
         (F.col("q_district") == "") | F.array_contains("districts", F.col("q_district")) | ((F.col("level") == "UPAZILA") & F.array_contains("parent_aliases", F.col("q_district")))
     )
@@ -52,7 +52,7 @@ def resolve_places(asked: DataFrame, units: DataFrame, aliases: DataFrame | None
     by_alias = alias_rows.join(places.select("geo_ref", "divisions", "districts", "parent_aliases").dropDuplicates(["geo_ref"]), "geo_ref")
 
     def refs(table: DataFrame, as_: str) -> DataFrame:
-        hit = q.filter("q <> ''").join(F.broadcast(table), (F.col("q_level") == F.col("level")) & (F.col("q") == F.col("key")))  # units of a country
+        hit = q.filter("q <> ''").join(table, (F.col("q_level") == F.col("level")) & (F.col("q") == F.col("key")))
         return hit.filter(under).groupBy("__ask").agg(F.countDistinct("geo_ref").alias(f"{as_}_n"), F.min("geo_ref").alias(f"{as_}_ref"))
 
     made = with_key.join(refs(places, "exact"), "__ask", "left").join(refs(by_alias, "alias"), "__ask", "left")
@@ -197,7 +197,7 @@ def risk_observations(records: DataFrame, units: DataFrame, aliases: DataFrame |
     found = resolve_places(asked, units, aliases)
     bad = found.filter("geo_ref is null").select("division", F.col("label").alias("district"), "status")
     names = units.filter("level = 'DISTRICT'").select("geo_ref", "district_name_en")
-    good = found.filter("geo_ref is not null").join(F.broadcast(names), "geo_ref")
+    good = found.filter("geo_ref is not null").join(names, "geo_ref")
     metrics = F.array(*[F.struct(F.lit(code).alias("metric_code"), F.lit(label).alias("metric_label"), F.col(column).alias("value_text")) for column, code, label in RISK_METRICS])
     made = good.select("*", F.explode(metrics).alias("m")).select(
         F.lit(source).alias("source"), F.lit("DISASTER_RISK").alias("domain"), "m.metric_code", "m.metric_label", F.lit("DISTRICT").alias("spatial_scope"), F.col("district_name_en").alias("district"),

@@ -27,19 +27,25 @@ def linkage(source: Column) -> Column:
     return made
 
 
-def block_pairs(targets: DataFrame, records: DataFrame, target_id: str, target_name: str, record_id: str, record_name: str) -> DataFrame:
-    """Pairs with an equal company core or a common word of its name, each pair once.
+def core_pairs(targets: DataFrame, records: DataFrame) -> DataFrame:
+    """Pairs of company cores (t_core of ``targets``, r_core of ``records``) that are equal or share a word.
 
-    Only ids and words are dealt out. A frequent word makes a hot key of a plain equi-join,
-    which Spark splits at run time; ids of both sides are narrow.
+    Works on distinct cores, so a name that many rows bear is one row here, and a frequent word
+    joins names, not rows. The join is a plain equi-join that Spark splits where it is skewed.
     """
 
-    def words(df: DataFrame, key: str, name: str, as_: str) -> DataFrame:
-        core = company_core(F.col(name))
-        keys = F.array_distinct(F.concat(F.transform(tokens(core), lambda w: F.concat(F.lit("t:"), w)), F.when(core != "", F.array(F.concat(F.lit("c:"), core))).otherwise(F.array().cast("array<string>"))))
-        return df.select(F.col(key).alias(as_), F.explode(keys).alias("__word"))
+    def words(df: DataFrame, core: str) -> DataFrame:
+        keys = F.array_distinct(F.concat(F.transform(tokens(F.col(core)), lambda w: F.concat(F.lit("t:"), w)), F.array(F.concat(F.lit("c:"), F.col(core)))))
+        return df.select(core).filter(F.col(core) != "").distinct().select(core, F.explode(keys).alias("__word"))
+
+    return words(targets, "t_core").join(words(records, "r_core"), "__word").select("t_core", "r_core").distinct()
 
-    return words(targets, target_id, target_name, "target_id").join(words(records, record_id, record_name, "record_id"), "__word").select("target_id", "record_id").distinct()
+
+def block_pairs(targets: DataFrame, records: DataFrame, target_id: str, target_name: str, record_id: str, record_name: str) -> DataFrame:
+    """Pairs with an equal company core or a common word of its name. An id has one name."""
+    t = targets.select(F.col(target_id).alias("target_id"), company_core(F.col(target_name)).alias("t_core"))
+    r = records.select(F.col(record_id).alias("record_id"), company_core(F.col(record_name)).alias("r_core"))
+    return t.join(core_pairs(t, r), "t_core").join(r, "r_core").select("target_id", "record_id")
 
 
 def common_share(a: Column, b: Column) -> Column:
@@ -88,17 +94,17 @@ def prepared(rows: DataFrame, prefix: str) -> DataFrame:
     core = company_core(F.col("name"))
     return rows.select(
         *[c for c in rows.columns if c not in ("name", "address", "district", "upazila")], *[F.col(c).alias(prefix + c) for c in ("name", "address", "district", "upazila")],
-        core.alias(prefix + "core"), tokens(core).alias(prefix + "core_words"), tokens(F.col("address")).alias(prefix + "address_words"),
+        core.alias(prefix + "core"), tokens(F.col("address")).alias(prefix + "address_words"),
         normalize_text(F.col("district")).alias(prefix + "district_key"), normalize_text(F.col("upazila")).alias(prefix + "upazila_key"),
     )
 
 
 def with_evidence(pairs: DataFrame, t: str = "t_", r: str = "r_") -> DataFrame:
-    """Evidence columns and the class of pairs of prepared rows; directories of organisations never prove a site."""
+    """Evidence columns and the class of pairs of prepared rows with name_result and overlap; directories of organisations never prove a site."""
     c = F.col
-    made = pairs.withColumns({"overlap": common_share(c(f"{t}core_words"), c(f"{r}core_words")), "address_overlap": common_share(c(f"{t}address_words"), c(f"{r}address_words"))})
+    made = pairs.withColumn("address_overlap", common_share(c(f"{t}address_words"), c(f"{r}address_words")))
     made = made.withColumns({
-        "name_result": core_strength(c(f"{t}core"), c(f"{r}core"), c("overlap")), "district_result": place_of(c(f"{t}district_key"), c(f"{r}district_key")),
+        "district_result": place_of(c(f"{t}district_key"), c(f"{r}district_key")),
         "upazila_result": place_of(c(f"{t}upazila_key"), c(f"{r}upazila_key")), "address_result": address_of(c("address_overlap")),
     })
     raw = match_class(c("name_result"), c("district_result"), c("upazila_result"), c("address_result"))
@@ -144,10 +150,12 @@ def resolve(targets: DataFrame, short: DataFrame) -> DataFrame:
 def candidate_run(targets: DataFrame, records: DataFrame, k: int = 5) -> tuple[DataFrame, DataFrame]:
     """Shortlist and outcomes of all targets (target_id, name, address, district, upazila, sector_family)
     against records (record_id, source, external_key, name, address, district, upazila), one plan."""
-    pairs = block_pairs(targets, records, "target_id", "name", "record_id", "name")
     left = prepared(targets.select("target_id", "sector_family", "name", "address", "district", "upazila"), "t_")
     right = prepared(records.select("record_id", "source", "external_key", "name", "address", "district", "upazila"), "r_")
-    full = pairs.join(left, "target_id").join(right, "record_id").filter(eligible(F.col("source"), F.col("sector_family")))
+    cores = core_pairs(left, right).withColumn("overlap", token_jaccard(F.col("t_core"), F.col("r_core"))).withColumn("name_result", core_strength(F.col("t_core"), F.col("r_core"), F.col("overlap")))
+    # weak names that share less than P5 asks for can't be shortlisted, whatever the places say
+    viable = cores.filter(F.col("name_result").isin("exact", "strong") | (F.coalesce(F.col("overlap"), F.lit(0.0)) >= 0.40))
+    full = left.join(viable, "t_core").join(right, "r_core").filter(eligible(F.col("source"), F.col("sector_family")))
     short = shortlist(with_evidence(full), k)
     return short, resolve(targets, short)
 

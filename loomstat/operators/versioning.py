@@ -43,3 +43,13 @@ def current_status(events: DataFrame, keys: list[str], order: list[Column]) -> D
 
 def status_counts(events: DataFrame, keys: list[str], order: list[Column], by: list[str]) -> DataFrame:
     return current_status(events, keys, order).groupBy(*by).agg(F.count("*").alias("requests"))
+
+
+def with_precedence(base: DataFrame, versions: list[tuple[str, DataFrame]], key: str, columns: list[str]) -> DataFrame:
+    """``base`` with each of ``columns`` from the first of ``versions`` (name, one row per key) that has it, else its own."""
+    made = base
+    for name, df in versions:
+        there = [c for c in columns if c in df.columns]
+        made = made.join(df.select(key, *[F.col(c).alias(f"__{name}_{c}") for c in there]), key, "left")
+    picked = [F.coalesce(*[F.col(f"__{name}_{c}") for name, df in versions if c in df.columns], *([F.col(c)] if c in base.columns else [F.lit(None)])).alias(c) for c in columns]
+    return made.select(*[c for c in base.columns if c not in columns], *picked)

@@ -162,3 +162,13 @@ def duplicate_ids_top20(spark, sf_dir):
 def request_status_counts(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", F.col("o_orderpriority").alias("plan"), F.col("o_orderstatus").alias("status"))
     return V.status_counts(rows, ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")], ["plan", "status"])
+
+
+@query("field_precedence", """WITH o AS (SELECT o_custkey, o_orderstatus, o_orderpriority FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
+  SELECT c_custkey, coalesce(CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END, 'NONE') AS status, coalesce(o_orderpriority, c_mktsegment) AS label FROM customer LEFT JOIN o ON c_custkey = o_custkey""")
+def field_precedence(spark, sf_dir):
+    latest = V.latest_by(table(spark, sf_dir, "orders"), ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")])
+    detail = latest.select(F.col("o_custkey").alias("c_custkey"), F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"))
+    listed = latest.select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderpriority").alias("label"))
+    base = table(spark, sf_dir, "customer").select("c_custkey", F.lit("NONE").alias("status"), F.col("c_mktsegment").alias("label"))
+    return V.with_precedence(base, [("detail", detail), ("list", listed)], "c_custkey", ["status", "label"])
