@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts of one working chunk inside a Python worker hold at most about so many characters.
@@ -42,6 +42,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table made by ``saved`` that nothing will read again."""
+    spark = df.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/loomstat-" in path:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -98,12 +107,18 @@ def batches_of(texts: pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[int,
 def bounded_sample(rows: DataFrame, group: str, key: Column, per_group: int) -> DataFrame:
     """The ``per_group`` rows of each group with the smallest key (a hash), for fitting classifiers.
 
-    The groups must be few: their counts are read by the driver. A first cut at the hash keeps
-    about half as many again as are wanted, so that what one group's task ranks has a bound.
+    The groups must be few: the driver reads their counts, then the rows under a cut at the hash
+    that leaves about half as many again as are wanted, and picks. No task sees a whole group.
     """
     counts = rows.groupBy(group).count().collect()
     share = {r[0]: min(1.0, 1.5 * (per_group + 100) / r[1]) for r in counts if r[0] is not None}
-    cut = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(v))])[F.col(group)] if share else F.lit(0.0)
+    if not share:
+        return rows.limit(0)
+    cut = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(v))])[F.col(group)]
     near = rows.withColumn("__key", key).filter(F.col("__key").cast("double") / float(1 << 63) < cut * 2 - 1)
-    ranked = near.withColumn("__n", F.row_number().over(Window.partitionBy(group).orderBy("__key", *sorted(c for c in rows.columns if c != group))))
-    return ranked.filter(F.col("__n") <= per_group).drop("__key", "__n")
+    kept, seen = [], dict.fromkeys(share, 0)
+    for r in sorted(near.collect(), key=lambda r: (r["__key"], str(r))):
+        if seen[r[group]] < per_group:
+            seen[r[group]] += 1
+            kept.append(tuple(r[c] for c in rows.columns))
+    return rows.sparkSession.createDataFrame(kept, rows.schema)

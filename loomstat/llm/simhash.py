@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, text_of
+from .common import discard, saved, text_of
 
 SEED = 42
 SHINGLE = 4
@@ -267,7 +267,8 @@ def components(edges: DataFrame, name: str = "stars") -> DataFrame:
         # small star: every node links its smaller neighbours and itself to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u > v").distinct()
-        now = saved(small, name)
+        before, now = now, saved(small, name)
+        discard(before)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == mark:
             return now
