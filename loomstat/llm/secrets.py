@@ -100,8 +100,8 @@ class BlobLedger:
             return None
         return self.spark.read.schema(_LEDGER).parquet(self.path)
 
-    def update(self, versions: DataFrame, text_col: str = "text") -> int:
-        """Scan the pairs of blob and rule version that are new in ``versions``; returns how many blobs had any.
+    def update(self, versions: DataFrame, text_col: str = "text") -> None:
+        """Scan the pairs of blob and rule version that are new in ``versions`` and append what was found.
 
         A run that dies before its commit leaves no row (Spark's job commit), so it can be
         repeated; a repeated run scans nothing that is in the ledger.
@@ -117,16 +117,15 @@ class BlobLedger:
             fresh = rows.select("blob").distinct().join(done, "blob", "left").select("blob", F.array_except(wanted, F.coalesce("done", F.array().cast("array<string>"))).alias("todo")).filter(F.size("todo") > 0)
             todo = rows.join(fresh, "blob").groupBy("blob", "todo").agg(F.first("text").alias("text"))
         todo.select("blob", "text", "todo").mapInArrow(_scan(self.rules), _LEDGER).write.mode("append").option("compression", "zstd").parquet(self.path)
-        return self.rows().select("blob").distinct().count()
 
     def findings(self, versions: DataFrame, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
         """``columns`` of every row of ``versions`` with n_<base kind>, base_sha256 and spans."""
         order = F.create_map(*[F.lit(x) for k, r in enumerate(self.rules) for x in (r.kind, k)])
         current = F.create_map(*[F.lit(x) for r in self.rules for x in (r.kind, r.version)])
         base = [r.kind for r in BASE_RULES]
-        rows = self.rows().filter(F.col("version") == current[F.col("rule")]).dropDuplicates(["blob", "rule", "version"])
+        rows = self.rows().filter(F.col("version") == current[F.col("rule")])
         listed = F.transform("spans", lambda x: F.struct(x["start"].alias("start"), order[F.col("rule")].alias("order"), x["end"].alias("end"), F.col("rule").alias("rule")))
-        by_blob = rows.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list(listed))).alias("all"))
+        by_blob = rows.groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(listed)))).alias("all"))
 
         def of(kinds):
             return F.filter("all", lambda x: x["rule"].isin(kinds))
