@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, text_of
+from .common import new_path, saved, text_of
 
 
 class Rule(NamedTuple):
@@ -137,5 +137,6 @@ class BlobLedger:
             "blob", *[F.size(of([k])).cast("long").alias(f"n_{k}") for k in base],
             F.sha2(text(of(base)), 256).alias("base_sha256"), text(F.col("all")).alias("spans"),
         )
+        made = saved(made, "findings")  # a table on both sides of the join lets Spark split the rows of a hot blob
         paths = versions.select(*[F.col(f"`{c}`") for c in columns or versions.columns], F.sha2(text_of(text_col).cast("binary"), 256).alias("blob"))
         return paths.join(made, "blob")
