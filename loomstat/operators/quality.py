@@ -97,6 +97,20 @@ def checkpoint_metrics(rows: DataFrame) -> DataFrame:
     return made.withColumns({"retrieval_rate": rate("parsed", "planned"), "parser_rate": rate("parser_valid", "parsed"), "provenance_rate": rate("has_provenance", "parsed"), "url_rate": rate("url_ok", "parsed"), "core_rate": rate("core_complete", "parsed")})
 
 
+#: Fields whose share among parsed details a checkpoint reports: name of the rate, column.
+COVERAGE_FIELDS = (
+    ("employment", "worker_total"), ("expiry", "licence_expiry_raw"), ("licence", "licence_no"), ("registration", "registration_no"),
+    ("district", "district"), ("sector", "sector"), ("status", "detail_status"), ("establishment_type", "establishment_type"),
+)
+
+
+def field_coverage(rows: DataFrame) -> DataFrame:
+    """One row: the share of PARSED rows in which each field isn't blank, 0 without such rows."""
+    parsed = F.col("status") == "PARSED"
+    filled = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) != ""
+    return rows.agg(*[F.coalesce(F.try_divide(F.count_if(parsed & filled(c)), F.count_if(parsed)), F.lit(0.0)).alias(f"{name}_coverage_rate") for name, c in COVERAGE_FIELDS])
+
+
 def judge_checkpoint(metrics: dict, checkpoint: int, least: dict[str, float] = CHECKPOINT_RATES) -> tuple[bool, list[str]]:
     """Whether a checkpoint passes, and what speaks against it."""
     reasons = []
