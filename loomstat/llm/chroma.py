@@ -6,7 +6,8 @@ bits in Gray code, so every position of the image is a packed 32-bit integer.
 
 Search: equal fingerprints are one class. The index key of a position is the sign bits (the
 bits that noise turns last) of three integers ``GAP`` apart, so that unrelated recordings hardly
-ever share one. Query and indexed classes meet where they share a key; each meeting votes for
+ever share one. A query also asks for the keys that differ from its own in one bit, since noise
+can turn a sign. Query and indexed classes meet where they share a key; each meeting votes for
 the offset between their positions, the fullest offset of a pair of classes is checked by bit
 errors over the overlap, and a pair aligns if at most ``MAX_BIT_ERROR`` of the bits differ and
 the overlap is half of the shorter recording or more: neighbouring positions share most of their
@@ -154,6 +155,10 @@ def index_keys(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, keys[first]
 
 
+#: What a query changes in its keys: nothing, or one of the 48 sign bits.
+PROBES = np.array([0] + [1 << k for k in [*range(32), *range(32, 64, 2)]], dtype=np.int64)
+
+
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for class_id, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -161,6 +166,16 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), class_id, dtype=np.int64)), pa.array(first), pa.array(keys)], names=["class_id", "at", "value"])
 
 
+def _questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _postings(batches):
+        n = len(PROBES)
+        keys = batch.column(2).to_numpy(zero_copy_only=False)
+        for a in range(0, len(keys), 1 << 14):  # probes of a long recording come in pieces
+            part = batch.slice(a, 1 << 14)
+            class_id, at = (np.repeat(part.column(k).to_numpy(zero_copy_only=False), n) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(class_id), pa.array(at), pa.array((keys[a : a + (1 << 14), None] ^ PROBES).reshape(-1))], names=["query_class", "query_at", "value"])
+
+
 def bit_error(query: np.ndarray, other: np.ndarray, offset: int) -> tuple[float, int]:
     """Share of differing bits and length of the overlap if ``other`` at i + offset meets ``query`` at i."""
     a, b = max(0, -offset), min(len(query), len(other) - offset)
@@ -194,7 +209,7 @@ def search(marked: DataFrame, is_query: Column) -> tuple[DataFrame, DataFrame]:
     classes = named.groupBy("digest").agg(F.min("rec_id").alias("class_id"), F.first("fingerprint").alias("fp"), F.max("is_query").alias("asked"))
     members = named.select("rec_id", "digest", "is_query", F.expr("octet_length(fingerprint) div 4").cast("long").alias("n_values")).join(classes.select("digest", "class_id"), "digest").drop("digest")
     postings = classes.filter("class_id is not null").select("class_id", "fp").mapInArrow(_postings, "class_id long, at long, value long")
-    asked = classes.filter("asked and class_id is not null").select("class_id", "fp").mapInArrow(_postings, "query_class long, query_at long, value long")
+    asked = classes.filter("asked and class_id is not null").select("class_id", "fp").mapInArrow(_questions, "query_class long, query_at long, value long")
     votes = asked.join(postings, "value").filter("query_class <> class_id").groupBy("query_class", F.col("class_id").alias("match_class"), (F.col("at") - F.col("query_at")).alias("offset")).agg(F.count("*").alias("votes"))
     best = votes.filter(F.col("votes") >= LEAST_VOTES).groupBy("query_class", "match_class").agg(F.max_by("offset", F.struct("votes", -F.abs("offset"), "offset")).alias("offset"), F.max("votes").alias("votes"))
     with_fp = best.join(classes.select(F.col("class_id").alias("query_class"), F.col("fp").alias("fp_q")), "query_class").join(classes.select(F.col("class_id").alias("match_class"), F.col("fp").alias("fp_o")), "match_class")
