@@ -100,7 +100,7 @@ def geo_resolve(spark, sf_dir):
 
 
 def observations(spark, sf_dir):
-    """Mean balances of suppliers per nation, one in three as upazila and some as site evidence."""
+    """Mean balances of suppliers per nation, one in three as upazila, and every balance below zero as site evidence."""
     s, n = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
     area = s.groupBy("s_nationkey").agg(F.count("*").cast("double").alias("v")).join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
     none = F.lit(None).cast("string")
@@ -108,7 +108,7 @@ def observations(spark, sf_dir):
     rest = [none.alias("value_text"), F.col("v").alias("value_numeric"), none.alias("unit"), none.alias("direction"), none.alias("source_vintage"), none.alias("observed_at")]
     d = area.filter("n_nationkey % 3 <> 0").select(*common, F.lit("DISTRICT").alias("spatial_scope"), none.alias("establishment_ref"), F.lower("n_name").alias("district"), none.alias("upazila"), *rest)
     u = area.filter("n_nationkey % 3 = 0").select(*common, F.lit("UPAZILA").alias("spatial_scope"), none.alias("establishment_ref"), F.col("n_name").alias("district"), F.lit("u1").alias("upazila"), *rest)
-    site = table(spark, sf_dir, "customer").filter("c_custkey % 10 = 0").select(F.lit("TEST").alias("source"), F.lit("TRANSPORT_ACCESS").alias("domain"), F.lit("BAL").alias("metric_code"), F.lit("Balance").alias("metric_label"), F.lit("SITE").alias("spatial_scope"), F.concat(F.lit("DIFE:"), F.col("c_custkey").cast("string")).alias("establishment_ref"), none.alias("district"), none.alias("upazila"), none.alias("value_text"), F.col("c_acctbal").alias("value_numeric"), *rest[2:])
+    site = table(spark, sf_dir, "customer").filter("c_acctbal < 0").select(F.lit("TEST").alias("source"), F.lit("TRANSPORT_ACCESS").alias("domain"), F.lit("BAL").alias("metric_code"), F.lit("Balance").alias("metric_label"), F.lit("SITE").alias("spatial_scope"), F.concat(F.lit("DIFE:"), F.col("c_custkey").cast("string")).alias("establishment_ref"), none.alias("district"), none.alias("upazila"), none.alias("value_text"), F.col("c_acctbal").alias("value_numeric"), *rest[2:])
     return d.unionByName(u).unionByName(site)
 
 
@@ -120,7 +120,7 @@ LINKS_SQL = f"""{REGISTRY_SQL}, reg AS (SELECT *, 'DIFE:' || id AS establishment
 a AS (SELECT n_nationkey, n_name, count(*)::DOUBLE AS v, CASE WHEN n_nationkey % 2 = 0 THEN 'POWER_SYSTEM' ELSE 'CLIMATE_HAZARD' END AS domain FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL),
 links AS (SELECT establishment_ref, domain, 'DISTRICT' AS spatial_scope, 'DISTRICT_CONTEXT' AS attribution, v AS value_numeric, lower(n_name) AS context_district FROM a JOIN reg ON district = n_name WHERE n_nationkey % 3 <> 0
  UNION ALL SELECT establishment_ref, domain, 'UPAZILA', 'UPAZILA_CONTEXT', v, n_name FROM a JOIN reg ON district = n_name AND upazila = 'U1' WHERE n_nationkey % 3 = 0
- UNION ALL SELECT 'DIFE:' || c_custkey, 'TRANSPORT_ACCESS', 'SITE', 'SITE_SPECIFIC', c_acctbal, NULL FROM customer WHERE c_custkey % 10 = 0)"""
+ UNION ALL SELECT 'DIFE:' || c_custkey, 'TRANSPORT_ACCESS', 'SITE', 'SITE_SPECIFIC', c_acctbal, NULL FROM customer WHERE c_acctbal < 0)"""
 
 
 @query("exposure_links", f"WITH {LINKS_SQL} SELECT * FROM links")

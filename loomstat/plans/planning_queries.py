@@ -57,9 +57,9 @@ def progressive_batches(spark, sf_dir):
 @query("joint_freeze")
 def joint_freeze(spark, sf_dir):
     rows = candidates(spark, sf_dir)
-    half = {r[0]: r[1] for r in rows.filter("id % 2 = 0").groupBy("sector_family").count().collect()}
-    places = {r[0]: r[1] for r in rows.filter("id % 2 = 0").groupBy("geography_group").count().collect()}
-    return S.joint_freeze(rows, half, places)
+    chosen = S.quota_sample(rows, 400, SECTORS, REGIONS)  # its margins are targets that can be met together
+    sectors, places = ({r[0]: r[1] for r in chosen.groupBy(c).count().collect()} for c in ("sector_family", "geography_group"))
+    return S.joint_freeze(rows, sectors, places)
 
 
 @query("pool_health", f"""WITH {CANDIDATES_SQL}, t AS (SELECT * FROM (VALUES {", ".join(f"('{k}', {v * 10})" for k, v in SECTORS.items())}) t(sector_family, target))
@@ -105,19 +105,19 @@ def universe_quality(spark, sf_dir):
     return Q.universe_quality(pages(spark, sf_dir), table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_partkey").alias("id")), 1000)
 
 
-@query("page_faults", """WITH m AS (SELECT l_orderkey AS page, l_partkey AS id FROM lineitem WHERE l_orderkey <= 200), f AS (SELECT id, min(page) AS first_page FROM m GROUP BY 1),
+@query("page_faults", """WITH m AS (SELECT l_orderkey AS page, l_partkey AS id FROM lineitem), f AS (SELECT id, min(page) AS first_page FROM m GROUP BY 1),
  c AS (SELECT page, count(*) AS records, count(DISTINCT id) AS ids FROM m GROUP BY 1), a AS (SELECT page, count(DISTINCT id) AS known_ids FROM m JOIN f USING (id) WHERE page > first_page GROUP BY 1),
  j AS (SELECT page, records, ids, coalesce(known_ids, 0) AS known_ids FROM c LEFT JOIN a USING (page))
  SELECT *, CASE WHEN records <> greatest(0, least(4, 100000 - (page - 1) * 4)) THEN 'CARDINALITY' ELSE 'DUPLICATE_ID' END AS fault FROM j WHERE records <> greatest(0, least(4, 100000 - (page - 1) * 4)) OR ids < records OR known_ids > 0""")
 def page_faults(spark, sf_dir):
-    m = table(spark, sf_dir, "lineitem").filter("l_orderkey <= 200").select(F.col("l_orderkey").alias("page"), F.col("l_partkey").alias("id"))
+    m = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_partkey").alias("id"))
     p = m.select("page").distinct().withColumn("source_reported_total", F.lit(100000))
     return Q.page_faults(m, p, 100000, 4)
 
 
 @query("index_quality", r"""SELECT count(*) AS records, count(*) - count(DISTINCT page_id) AS duplicate_keys, 0 AS missing_names, count(*) FILTER (WHERE coalesce(nullif(regexp_extract(url, '/en/(\d+)(?:[/?#]|$)', 1), ''), '') <> (page_id % 10)::VARCHAR) AS invalid_detail_urls FROM pages""")
 def index_quality(spark, sf_dir):
-    rows = table(spark, sf_dir, "pages").select((F.col("page_id") % 10).cast("string").alias("source_key"), F.substring("html", 1, 60).alias("entity_name"), F.col("url").alias("detail_url"), "page_id")
+    rows = table(spark, sf_dir, "pages").select((F.col("page_id") % 10).cast("string").alias("source_key"), F.col("html").alias("entity_name"), F.col("url").alias("detail_url"), "page_id")
     made = Q.index_quality(rows, "en")
     keys = rows.agg((F.count("*") - F.countDistinct("page_id")).alias("k"))
     return made.crossJoin(keys).select("records", F.col("k").alias("duplicate_keys"), "missing_names", "invalid_detail_urls")
@@ -175,13 +175,14 @@ def lifecycle_states(spark, sf_dir):
     return L.attempts(events).select("entity", "status", "attempts")
 
 
-_HEADING = "regexp_extract(html, '<h1>([^<&]*)</h1>', 1)"
+_HEADING = "regexp_extract(html, '<h1>([^<]*)</h1>', 1)"
+for _entity, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "''"), ("&#39;", "''"), ("&amp;", "&")):
+    _HEADING = f"replace({_HEADING}, '{_entity}', '{_char}')"
 
 
-@query("page_links", f"""SELECT page_id, len(regexp_extract_all(html, '<a ')) AS links, {_HEADING} AS heading FROM pages WHERE html NOT LIKE '%<!--%<a %-->%' AND {_HEADING} <> '' AND {_HEADING} = trim(regexp_replace({_HEADING}, '\\s+', ' ', 'g'))""")
+@query("page_links", f"SELECT page_id, len(regexp_extract_all(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<a ')) AS links, trim(regexp_replace({_HEADING}, '\\s+', ' ', 'g')) AS heading FROM pages")
 def page_links(spark, sf_dir):
-    heading = F.regexp_extract("html", "<h1>([^<&]*)</h1>", 1)
-    rows = table(spark, sf_dir, "pages").filter("html NOT LIKE '%<!--%<a %-->%'").filter((heading != "") & (heading == F.trim(F.regexp_replace(heading, r"\s+", " "))))
+    rows = table(spark, sf_dir, "pages")
 
     @F.arrow_udf("struct<links:long, heading:string>")
     def read(pages: pa.Array) -> pa.Array:

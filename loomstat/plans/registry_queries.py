@@ -131,9 +131,9 @@ def append_new_snapshots(spark, sf_dir):
 NORM = r"trim(regexp_replace(lower({0}), '[^\p{{L}}\p{{N}}_]+', ' ', 'g'))"
 
 
-@query("normalize_text", "SELECT page_id, " + NORM.format("left(html, 400)") + " AS norm FROM pages")
+@query("normalize_text", "SELECT page_id, " + NORM.format("html") + " AS norm FROM pages")
 def normalize_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", X.normalize_text(F.substring("html", 1, 400)).alias("norm"))
+    return table(spark, sf_dir, "pages").select("page_id", X.normalize_text(F.col("html")).alias("norm"))
 
 
 @query("company_core", "SELECT s_suppkey, array_to_string(list_filter(string_split(" + NORM.format("s_name || ' Co. Ltd.'") + ", ' '), lambda w: w NOT IN ('limited','ltd','company','co','bangladesh','industries','industry','group','plc','private','pvt')), ' ') AS core FROM supplier")
@@ -146,10 +146,11 @@ def parse_int_mixed(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", X.parse_int(F.col("url")).alias("n"))
 
 
-@query("url_parts", r"""SELECT page_id, nullif(regexp_extract(url, '/(?:en|de|fr|es)/(\d+)(?:[/?#]|$)', 1), '') AS key, CASE WHEN regexp_matches(url, '\?') THEN url || '&page=7' ELSE url || '?page=7' END AS seventh,
-  starts_with(url, 'https://') AND regexp_matches(url, '^https://[^/]+/en/') AND regexp_matches(url, '^https://therhe\.example\.org/') AS allowed FROM pages WHERE NOT regexp_matches(url, '[?&]page=|#')""")
+@query("url_parts", r"""SELECT page_id, nullif(regexp_extract(url, '/(?:en|de|fr|es)/(\d+)(?:[/?#]|$)', 1), '') AS key, CASE WHEN regexp_matches(url, '[?&]page=') THEN regexp_replace(url, '([?&])page=[^&#]*', '\1page=7', 'g')
+  ELSE regexp_replace(url, '#.*$', '') || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'page=7' END AS seventh,
+  starts_with(url, 'https://') AND regexp_matches(url, '^https://[^/]+/en/') AND regexp_matches(url, '^https://therhe\.example\.org/') AS allowed FROM pages""")
 def url_parts(spark, sf_dir):
-    rows = table(spark, sf_dir, "pages").filter(~F.col("url").rlike("[?&]page=|#"))
+    rows = table(spark, sf_dir, "pages")
     return rows.select("page_id", X.url_key(F.col("url"), "(?:en|de|fr|es)").alias("key"), X.set_page(F.col("url"), F.lit(7)).alias("seventh"), X.url_allowed(F.col("url"), ["therhe.example.org"], ["/en/"]).alias("allowed"))
 
 
