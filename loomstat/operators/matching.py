@@ -160,10 +160,13 @@ def candidate_run(targets: DataFrame, records: DataFrame, k: int = 5) -> tuple[D
     return short, resolve(targets, short)
 
 
-def detail_requests(targets: DataFrame, index: DataFrame, short: DataFrame) -> DataFrame:
-    """Details to fetch for shortlisted records: each key and URL once, with its targets."""
-    hit = short.select("target_id", "record_id").join(index.select("record_id", "source", "source_key", "detail_url"), "record_id")
-    return hit.groupBy("source", "source_key", "detail_url").agg(F.array_sort(F.collect_set("target_id")).alias("targets"))
+def detail_requests(pairs: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Profiles to fetch for pairs (target_id, record_id): each of the index once, and for which targets it is asked.
+
+    requests: source, source_key, detail_url, targets (their number); asked: source, source_key, target_id.
+    """
+    hit = pairs.select("target_id", "record_id").distinct().join(index.select("record_id", "source", "source_key", "detail_url"), "record_id")
+    return hit.groupBy("source", "source_key", "detail_url").agg(F.countDistinct("target_id").alias("targets")), hit.select("source", "source_key", "target_id").distinct()
 
 
 def apply_resolutions(outcomes: DataFrame, short: DataFrame, applied: DataFrame | None) -> DataFrame:

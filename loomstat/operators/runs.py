@@ -14,7 +14,7 @@ import json
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import set_page, url_key
@@ -38,6 +38,13 @@ TYPED = "record_id string, source string, observation_type string, scope string,
 LINKS = "target_id long, record_id string, source string, match_type string, site_level_match boolean, linked_at timestamp"
 TARGETS = "label string, source string, target_id long, eligible boolean, status string, planned_at timestamp, seq long"
 PROFILES = "source string, policy_status string, last_verified_at string, notes string, seq long"
+INDEXES = "run string, source string, parser string, seed_url string, seq long"
+INDEX_PAGES = "run string, page int, source_reported_total long, source_reported_last_page long, records_parsed int, content_sha256 string"
+_INDEX_ROW = "source_key string, entity_name string, detail_url string, registration_no string, district string, upazila string, office_address string, factory_address string"
+INDEX_VERSIONS = f"run string, page int, source string, {_INDEX_ROW}, row_sha256 string, observed_at timestamp"
+#: Parsers that a source's directory pages may have, and the path segment of its profiles.
+INDEX_PARSERS = {"BGMEA": ("member_index",), "EPB": ("exporter_cards", "exporter_json")}
+INDEX_SEGMENTS = {"BGMEA": "member", "EPB": "exporter"}
 CHECKPOINT_TRANSITIONS = {None: ("READY", "LOCKED"), "LOCKED": ("READY",), "READY": ("PASSED", "FAILED"), "FAILED": ("PASSED", "FAILED"), "PASSED": ("PASSED", "FAILED")}
 #: Pages that are held on the driver before they are landed.
 LAND_ROWS = 50
@@ -413,6 +420,85 @@ def linked_facts(store: LogStore) -> DataFrame:
     return matching.attach_observations(links, store.read("external_facts", TYPED).join(latest, ["record_id", "content_sha256"]).drop("source"))
 
 
+# --- indexes of external directories ---------------------------------------------------------------
+
+
+def create_index(store: LogStore, run: str, source: str, parser: str, seed_url: str, at: str) -> None:
+    """A RUNNING index of a source's directory whose first page is planned."""
+    source = source.upper()
+    if parser not in INDEX_PARSERS.get(source, ()):
+        raise ValueError(f"{source} has no directory that {parser} reads")
+    _one(store, "run_events", run, "RUNNING", at, None, lifecycle.RUN_TRANSITIONS)
+    store.append("indexes", store.spark.createDataFrame([(run, source, parser, seed_url, time.time_ns())], INDEXES))
+    plan(store, run, store.spark.createDataFrame([("1", 1, seed_url)], "item string, sequence_no int, url string"), at)
+
+
+def index(store: LogStore, run: str) -> dict:
+    """What is known of an index, with its state."""
+    row = store.read("indexes", INDEXES).filter(F.col("run") == run).first()
+    if row is None:
+        raise KeyError(f"unknown index {run}")
+    return row.asDict() | {"status": lifecycle.states(store.read("run_events", lifecycle.EVENT)).filter(F.col("entity") == run).first()["status"]}
+
+
+def stage_index(store: LogStore, run: str, at: str) -> int:
+    """Stage landed pages: a version per row of a page. The first page, if it tells how many there are, plans the others."""
+    known = index(store, run)
+    if known["status"] != "RUNNING":
+        raise ValueError(f"index {run} isn't running")
+    pages = parsed(landed(store, run), known["parser"]).select("run", F.col("item").cast("int").alias("page"), "entity", "retrieved_at", "content_sha256", "parsed").persist()
+    try:
+        p = F.col("parsed")
+        heads = pages.select("run", "page", p["total_records"].alias("source_reported_total"), p["last_page"].alias("source_reported_last_page"), F.size(p["rows"]).alias("records_parsed"), "content_sha256")
+        if (first := heads.filter("page = 1").first()) and (first["source_reported_last_page"] or 0) > 1:
+            numbers = store.spark.range(2, first["source_reported_last_page"] + 1)
+            plan(store, run, numbers.select(F.col("id").cast("string").alias("item"), F.col("id").cast("int").alias("sequence_no"), set_page(F.lit(known["seed_url"]), F.col("id")).alias("url")), at, extend=True)
+        rows = pages.select("run", "page", F.lit(known["source"]).alias("source"), F.explode(p["rows"]).alias("r"), F.col("retrieved_at").alias("observed_at"))
+        made = rows.select("run", "page", "source", "r.*", F.sha2(F.to_json("r", {"ignoreNullFields": "false"}), 256).alias("row_sha256"), "observed_at")
+        store.append_new("index_versions", made, ["run", "page", "source_key", "row_sha256"])
+        store.append_new("index_pages", heads, ["run", "page"])
+        return _record(store, "request_events", pages.select("entity", F.lit("STAGED").alias("status"), F.lit(None).alias("note")), at, lifecycle.TRANSITIONS)
+    finally:
+        pages.unpersist()
+
+
+def index_counts(store: LogStore, run: str) -> dict:
+    """Pages, discovered records and distinct keys of an index, derived when asked."""
+    records, keys = store.read("index_versions", INDEX_VERSIONS).filter(F.col("run") == run).agg(F.count("*"), F.countDistinct("source_key")).first()
+    return {"pages": status_counts(store, run), "records_discovered": records, "unique_keys": keys}
+
+
+def finalize_index(store: LogStore, run: str, at: str) -> tuple[str, dict]:
+    """COMPLETED if its records are sound and no page failed, else FAILED; every page has to be resolved."""
+    known, states = index(store, run), status_counts(store, run)
+    if known["status"] != "RUNNING":
+        raise ValueError(f"index {run} isn't running")
+    if left := states.get("PLANNED", 0):
+        raise ValueError(f"index {run} has {left} unresolved pages")
+    versions = store.read("index_versions", INDEX_VERSIONS).filter(F.col("run") == run)
+    status, figures = lifecycle.finalize_index(versions, INDEX_SEGMENTS[known["source"]], sum(states.values()), states.get("STAGED", 0))
+    figures |= {"page_status_counts": states}
+    _one(store, "run_events", run, status, at, json.dumps(figures, sort_keys=True), lifecycle.RUN_TRANSITIONS)
+    return status, figures
+
+
+def index_records(store: LogStore, run: str) -> DataFrame:
+    """The latest version of each record of a run."""
+    return latest_by(store.read("index_versions", INDEX_VERSIONS).filter(F.col("run") == run), ["source_key"], [F.desc("observed_at"), F.desc("page"), F.desc("row_sha256")])
+
+
+def plan_candidates(store: LogStore, run: str, index_run: str, asked: DataFrame, at: str) -> int:
+    """Plan the profiles of a completed index whose name blocks with one of ``asked`` (target_id, name); one request per profile."""
+    if index(store, index_run)["status"] != "COMPLETED":
+        raise ValueError(f"index {index_run} isn't complete")
+    records = index_records(store, index_run).withColumn("record_id", F.col("source_key"))
+    pairs = matching.block_pairs(asked, records, "target_id", "name", "record_id", "entity_name")
+    found, targets_of = matching.detail_requests(pairs, records)
+    store.append_new("request_targets", targets_of.select(F.lit(run).alias("run"), F.col("source_key").alias("item"), "target_id"), ["run", "item", "target_id"])
+    order = F.row_number().over(Window.orderBy(F.length("source_key"), "source_key"))  # keys are numbers as text; a manifest is as long as a tranche of requests
+    return plan(store, run, found.select(F.col("source_key").alias("item"), order.alias("sequence_no"), F.col("detail_url").alias("url")), at)
+
+
 # --- spatial exposure -----------------------------------------------------------------------------
 
 

@@ -143,6 +143,49 @@ def test_enrichment(spark, tmp_path):
     assert facts == {("ASSOCIATION_MEMBERSHIP_RECORD", None), ("EMPLOYMENT_COUNT", 1250.0)}
 
 
+def member_html(rows, total):
+    cells = "".join(f'<tr><td>{name}</td><td>R{k}</td><td><a href="/member/{k}">view</a></td></tr>' for k, name in rows)
+    return f"Total {total} Member(s) Found<table>{cells}</table>"
+
+
+def test_index_run(spark, tmp_path):
+    store, clock = LogStore(spark, str(tmp_path / "s")), ticking()
+    pages = {"1": member_html([(1, "Acme Ltd"), (2, "Beta Mills")], 3), "2": member_html([(3, "Gamma Knit")], 3)}
+    fetch = lambda url: pages[url.rsplit("=", 1)[1]]
+    with pytest.raises(ValueError, match="no directory"):
+        runs.create_index(store, "i", "BEPZA", "member_index", "https://h/m?page=1", clock())
+    with pytest.raises(KeyError):
+        runs.index(store, "i")
+    runs.create_index(store, "i", "bgmea", "member_index", "https://h/m?page=1", clock())
+    assert runs.collect(store, fetch, "i", clock)["fetched"] == 1 and runs.stage_index(store, "i", clock()) == 1
+    with pytest.raises(ValueError, match="1 unresolved"):
+        runs.finalize_index(store, "i", clock())
+    asked = spark.createDataFrame([(1, "Gamma Co."), (2, "acme")], "target_id long, name string")
+    with pytest.raises(ValueError, match="isn't complete"):
+        runs.plan_candidates(store, "d", "i", asked, clock())
+    assert runs.collect(store, fetch, "i", clock)["fetched"] == 1 and runs.stage_index(store, "i", clock()) == 1 and runs.stage_index(store, "i", clock()) == 0
+    assert runs.index_counts(store, "i") == {"pages": {"STAGED": 2}, "records_discovered": 3, "unique_keys": 3}
+    status, figures = runs.finalize_index(store, "i", clock())
+    assert status == runs.index(store, "i")["status"] == "COMPLETED" and figures["distinct_company_cores"] == 3
+    assert [r["entity_name"] for r in runs.index_records(store, "i").orderBy("source_key").collect()] == ["Acme Ltd", "Beta Mills", "Gamma Knit"]
+    assert runs.plan_candidates(store, "d", "i", asked, clock()) == 2
+    assert [(r["item"], r["url"]) for r in runs.requests(store, "d").orderBy("sequence_no").collect()] == [("1", "https://h/member/1"), ("3", "https://h/member/3")]
+    assert {(r["item"], r["target_id"]) for r in spark.read.parquet(store.path("request_targets")).collect()} == {("1", 2), ("3", 1)}
+    with pytest.raises(ValueError, match="isn't running"):
+        runs.stage_index(store, "i", clock())
+
+
+def test_index_with_a_repeated_key_fails(spark, tmp_path):
+    store, clock = LogStore(spark, str(tmp_path / "s")), ticking()
+    pages = {"1": member_html([(1, "Acme Ltd"), (2, "Beta")], 3), "2": member_html([(2, "Beta")], 3)}
+    runs.create_index(store, "i", "BGMEA", "member_index", "https://h/m?page=1", clock())
+    for _ in range(2):
+        runs.collect(store, lambda url: pages[url.rsplit("=", 1)[1]], "i", clock)
+        runs.stage_index(store, "i", clock())
+    status, figures = runs.finalize_index(store, "i", clock())
+    assert status == "FAILED" and figures["duplicate_keys"] == 1 and runs.index_counts(store, "i")["unique_keys"] == 2
+
+
 def test_exposures(spark, tmp_path):
     from loomstat.sources import html
 
