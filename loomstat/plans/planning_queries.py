@@ -176,8 +176,8 @@ def lifecycle_states(spark, sf_dir):
 
 
 _HEADING = "regexp_extract(html, '<h1>([^<]*)</h1>', 1)"
-for _entity, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "''"), ("&#39;", "''"), ("&amp;", "&")):
-    _HEADING = f"replace({_HEADING}, '{_entity}', '{_char}')"
+for _entity, _char in (("&lt", "<"), ("&gt", ">"), ("&quot", '"'), ("&#x27", "''"), ("&#39", "''"), ("&amp", "&")):  # HTML reads them without a semicolon, too
+    _HEADING = f"regexp_replace({_HEADING}, '{_entity};?', '{_char}', 'g')"
 
 
 @query("page_links", f"SELECT page_id, len(regexp_extract_all(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<a ')) AS links, trim(regexp_replace({_HEADING}, '\\s+', ' ', 'g')) AS heading FROM pages")
