@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import exact_dedup, language, mixing, packing, simhash
+from loomstat.llm import exact_dedup, language, mixing, near_copies, packing
 from loomstat.llm.common import documents, saved
 
 #: Texts whose language gets less than this share of the evidence are rejected, with those of no language.
@@ -30,8 +30,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each SimHash component."""
-    return simhash.keep_one_each(docs)
+    """Keep the document with the smallest id of each component of near copies (five-word Jaccard 0.8 or more)."""
+    return near_copies.keep_one_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 import xxhash
 
 from loomstat.llm import exact_dedup as D
+from loomstat.llm import near_copies as N
 from loomstat.llm import simhash as S
 
 from .conftest import ROWS
@@ -147,3 +148,40 @@ def test_components_of_a_chain(spark, rows):
     edges = spark.createDataFrame([(k, k + 1) for k in range(200)] + [(500, 501), (7, 7)], "u long, v long")
     got = dict(rows(S.components(edges)))
     assert got == {**{k: 0 for k in range(1, 201)}, 501: 500}
+
+
+def test_near_copies_at_jaccard_of_0_8(docs, edge, empty):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    made = []
+    for k in range(40):
+        base = [word() for _ in range(400)]
+        made.append((len(made), " ".join(base), "en", "a"))
+        for changed in (rng.choice((2, 5, 8)), 60):  # Jaccard above 0.8, and well under it
+            copy = list(base)
+            for at in rng.sample(range(0, 400, 5), changed):
+                copy[at] = word()
+            made.append((len(made), " ".join(copy), "en", "a"))
+
+    def five(text):
+        words = text.split()
+        return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+    sets = [five(r[1]) for r in made]
+    root = list(range(len(made)))
+    for i in range(len(made)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    kept = {r["doc_id"] for r in N.keep_one_each(docs(made)).collect()}
+    assert kept == set(root) and len(kept) == 80
+    assert len(S.keep_one_each(docs(made)).collect()) > 80  # radius 4 leaves copies
+    assert N.keep_one_each(empty).count() == 0
+    assert len({r["text"] or "" for r in N.keep_one_each(edge).collect()} - {"", " \t\n"}) == 7
+
+
+def test_chained_copies_of_a_hot_key_are_one_component(docs):
+    base = [f"w{k}" for k in range(300)]
+    chain = [" ".join(base[6 * k :] + [f"n{x}" for x in range(6 * k)]) for k in range(12)]  # neighbours only
+    assert [r["doc_id"] for r in N.keep_one_each(docs([(k, x, "en", "a") for k, x in enumerate(chain)])).collect()] == [0]
