@@ -40,8 +40,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents with their place in sequences of at most 2048 tokens."""
-    return packing.pack(docs)
+    """The pieces of the documents with their place in sequences of at most 2048 tokens, which follow the mixture.
+
+    Rows that were written and read again come in any order, so their slots are worked out anew;
+    they depend on the rows only.
+    """
+    return packing.pack_in_order(mixing.mix(docs))
 
 
 STAGES = [

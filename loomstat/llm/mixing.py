@@ -76,7 +76,7 @@ def _size(text_col: str) -> Column:
 
 
 def mix(docs: DataFrame, targets: Mapping[str, float] | None = None, id_col: str = "doc_id", size: Column | None = None, source_col: str = "source", block_chars: int = BLOCK_CHARS, period: int = PERIOD) -> DataFrame:
-    """The rows of ``docs`` (as struct ``row``) with source, block, release, deadline, slot, block_offset.
+    """The rows of ``docs`` (as struct ``row``) with source, block, release, deadline, slot, block_offset, step (period and weight), block_chars.
 
     Sorted by (slot, block_offset) the rows are the mixture. ``size`` is the length of a row,
     by default that of its column text. Fails if there are more sources than ``period``.
@@ -100,6 +100,7 @@ def mix(docs: DataFrame, targets: Mapping[str, float] | None = None, id_col: str
     return placed.select(
         "row", "source", "size", "block", F.expr(f"block * {period}L div w").alias("release"), F.expr(f"((block + 1) * {period}L + w - 1) div w").alias("deadline"),
         (F.col("turn") * period + F.col("first_slot")).alias("slot"), "block_offset",
+        F.struct(F.lit(period).cast("long").alias("period"), F.col("w").alias("w")).alias("step"), F.lit(block_chars).cast("long").alias("block_chars"),
     )
 
 

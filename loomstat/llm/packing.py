@@ -10,6 +10,10 @@ Pieces of full length need no packing. The others are dealt evenly into shards o
 matters; each shard is packed on its own. Only lengths and ids travel, never texts. What a
 shard could not fill is repacked at its end, longest piece first.
 
+``pack_in_order`` follows an order: pieces go to shards that are contiguous
+ranges of their positions, each is packed in windows of ``WINDOW_ITEMS`` neighbouring pieces
+(full ones with them), and sequences are numbered by the mean position of their tokens.
+
 Tokens: ids of a byte-level BPE whose rank file and pattern are parameters, then one end id.
 The rank file is read with tiktoken, whose ids equal those of the ``tokenizers`` file of the
 same vocabulary (tests compare them); it takes a quarter of the CPU time.
@@ -36,6 +40,8 @@ from .common import saved, text_of
 CAPACITY = 2048
 END_ID = 0
 SHARD_ITEMS = 65_536
+#: Pieces of one window of an ordered packing: sequences leave the order by no more than that.
+WINDOW_ITEMS = 1024
 
 
 @cache
@@ -170,3 +176,77 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     packed = part.withColumn("shard", F.pmod(F.xxhash64("number"), F.lit(shards)).cast("long")).groupBy("shard").applyInArrow(_shard(capacity), _PACKED)
     whole = made.filter(F.col("length") == capacity).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("number") + F.lit(1 << 60)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return whole.unionByName(packed)
+
+
+def _windows(capacity: int, window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # rows of a shard come sorted by position
+        shard, made, held, rows = TaskContext.get().partitionId() << 32, 0, [], 0
+
+        def out(table: pa.Table) -> pa.RecordBatch:
+            nonlocal made
+            lengths = table["length"].to_numpy()
+            bins = np.empty(len(lengths), dtype=np.int64)
+            short = lengths < capacity
+            bins[short] = pack_lengths(lengths[short], capacity)
+            bins[~short] = len(lengths) * 2 + np.arange(int((~short).sum()))
+            _, bins = np.unique(bins, return_inverse=True)
+            # number sequences by the mean position of their tokens
+            mean = np.bincount(bins, weights=lengths * np.arange(len(bins))) / np.bincount(bins, weights=lengths)
+            rank = np.empty(len(mean), dtype=np.int64)
+            rank[np.argsort(mean, kind="stable")] = np.arange(len(mean))
+            bins = rank[bins]
+            order = np.argsort(bins, kind="stable")
+            before = np.cumsum(lengths[order]) - lengths[order]
+            first = np.concatenate(([True], bins[order][1:] != bins[order][:-1]))
+            offset = np.empty(len(bins), dtype=np.int64)
+            offset[order] = before - np.maximum.accumulate(np.where(first, before, 0))
+            ids = pa.array(shard + made + bins)
+            made += len(mean)
+            columns = [table[c].combine_chunks() for c in ("doc_id", "piece", "start", "length", "ids_crc32")]
+            return pa.RecordBatch.from_arrays([*columns, ids, pa.array(offset)], names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
+
+        for batch in batches:
+            held.append(batch)
+            rows += len(batch)
+            while rows >= 2 * window:  # the last window has at least ``window`` pieces, if the shard has
+                table = pa.Table.from_batches(held)
+                yield out(table.slice(0, window))
+                held, rows = table.slice(window).to_batches(), rows - window
+        if rows:
+            yield out(pa.Table.from_batches(held))
+
+    return run
+
+
+def pack_in_order(placed: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, shard_items: int = SHARD_ITEMS, ranks_path: str | None = None, window: int = WINDOW_ITEMS) -> DataFrame:
+    """As ``pack``, for rows of ``mixing.mix``: sequences in the order of their ids are the mixture.
+
+    A piece has the slot of its document plus the slots of its source's blocks that lie before it
+    in the document, so long documents are dealt out at the rate of their source.
+    """
+    at = F.struct("slot", "block_offset", "size", "step", "block_chars")
+    rows = placed.select(F.col(f"row.{id_col}").cast("long").alias("doc_id"), F.coalesce(F.col(f"row.{text_col}"), F.lit("")).alias("text"), at.alias("at"))
+    made = saved(rows.mapInArrow(_tokenize_placed(capacity, end_id, ranks_path), "pos long, part long, doc_id long, piece int, start long, length long, ids_crc32 long"), "pieces")
+    shards = max(1, -(-made.count() // shard_items))
+    dealt = made.repartitionByRange(shards, "pos", "part", "doc_id", "piece").sortWithinPartitions("pos", "part", "doc_id", "piece")
+    return dealt.mapInArrow(_windows(capacity, window), _PACKED)
+
+
+def _tokenize_placed(capacity: int, end_id: int, ranks_path: str | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(ranks_path).encode_to_numpy
+        for batch in batches:
+            out: list[tuple] = []
+            for doc_id, text, at in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                ids = np.append(encode(text.as_py(), disallowed_special=()), end_id).astype("<u4")
+                period, w = at["step"]["period"], at["step"]["w"]
+                for k, (a, n) in enumerate(cuts(len(ids), capacity)):
+                    blocks, part = divmod(at["block_offset"] + at["size"] * a // len(ids), at["block_chars"])
+                    out.append((at["slot"] + blocks * period // w, part, doc_id, k, a, n, zlib.crc32(ids[a : a + n].tobytes())))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 7
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+            names = ["pos", "part", "doc_id", "piece", "start", "length", "ids_crc32"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+    return run

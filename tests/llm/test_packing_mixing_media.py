@@ -180,3 +180,34 @@ def test_integral_image_filters_use_the_whole_image():
     for plus, minus in A.filters():
         assert all(0 <= x and x + w <= A.WIDTH and 0 <= y and y + h <= 12 for x, y, w, h in plus + minus)
         assert sum(w * h for _, _, w, h in plus) == sum(w * h for _, _, w, h in minus)
+
+
+@pytest.mark.parametrize("shard_items", [400, 65_536])
+def test_sequences_in_order_have_the_shares_of_the_mixture(spark, docs, shard_items):
+    rng = random.Random(5)
+    weights = {"a": 0.5, "b": 0.3, "c": 0.2}
+    rows = []
+    for s, w in weights.items():
+        size = 0
+        while size < w * 6_000_000:
+            rows.append((len(rows), " ".join(["word"] * rng.choice((20, 200, 1000, 6000))), None, s))
+            size += len(rows[-1][1])
+    rng.shuffle(rows)
+    by = {r[0]: r[3] for r in rows}
+    made = P.pack_in_order(X.mix(docs(rows).repartition(7), targets=weights), shard_items=shard_items, window=100).collect()
+    check_packing(made, [(r[0], [*P.encoder().encode_to_numpy(r[1]).tolist(), 0]) for r in rows], 2048)
+    tokens = defaultdict(Counter)
+    for r in made:
+        tokens[r["sequence_id"]][by[r["doc_id"]]] += r["length"]
+    order = sorted(tokens)
+    assert len(order) <= 1.05 * -(-sum(r["length"] for r in made) // 2048)
+    worst = 0
+    for a in range(0, int(0.9 * len(order)) - 100, 50):
+        n = sum((tokens[q] for q in order[a : a + 100]), Counter())
+        worst = max(worst, *(abs(n[s] / n.total() - w) for s, w in weights.items()))
+    assert worst < 0.04  # packing by hash of a piece number: 0.068
+
+
+def test_packing_in_order_of_edges(edge, empty, reference_ids):
+    check_packing(P.pack_in_order(X.mix(edge)).collect(), [(r[0], [*reference_ids(r[1] or ""), 0]) for r in ROWS], 2048)
+    assert P.pack_in_order(X.mix(empty)).count() == 0
