@@ -7,8 +7,8 @@ whole pieces of that length; what remains comes first and is packed like a short
 
 Pieces of full length need no packing. The others are dealt evenly into shards of about
 ``SHARD_ITEMS`` pieces by their number, so that tasks stay bounded and no key (source, copy)
-matters; each shard is packed on its own. Only lengths and ids travel, never texts. What a
-shard could not fill is repacked at its end, longest piece first.
+matters; each shard is packed on its own, its pieces placed longest first (of equal sums the
+smallest gap is taken). Only lengths and ids travel, never texts.
 
 ``pack_in_order`` follows an order: pieces go to shards that are contiguous
 ranges of their positions, each is packed in windows of ``WINDOW_ITEMS`` neighbouring pieces
@@ -16,7 +16,9 @@ ranges of their positions, each is packed in windows of ``WINDOW_ITEMS`` neighbo
 
 Tokens: ids of a byte-level BPE whose rank file and pattern are parameters, then one end id.
 The rank file is read with tiktoken, whose ids equal those of the ``tokenizers`` file of the
-same vocabulary (tests compare them); it takes a quarter of the CPU time.
+same vocabulary (tests compare them); it takes a quarter of the CPU time. Its pattern engine
+gives up on very long runs of white space, so those are cut out at the borders the pattern
+itself has there and go to the merges directly.
 
 Defined cases: a null text is empty and is one piece (the end id); ids may be null or repeated;
 an empty table gives an empty result; other columns are not looked at.
@@ -25,6 +27,7 @@ an empty table gives an empty result; other columns are not looked at.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -42,6 +45,10 @@ END_ID = 0
 SHARD_ITEMS = 65_536
 #: Pieces of one window of an ordered packing: sequences leave the order by no more than that.
 WINDOW_ITEMS = 1024
+#: Runs of white space from this length on are cut out of a text.
+LONG_RUN = 4096
+#: The characters of Unicode's White_Space, which the pattern calls \\s.
+_LONG_BLANK = re.compile(rf"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{{{LONG_RUN},}}")
 
 
 @cache
@@ -55,6 +62,19 @@ def encoder(ranks_path: str | None = None):
     return tiktoken.Encoding("loomstat", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def token_ids(text: str, ranks_path: str | None = None) -> np.ndarray:
+    """The ids of a whole text, whatever its length."""
+    encoding = encoder(ranks_path)
+    made, at = [], 0
+    for run in _LONG_BLANK.finditer(text) if len(text) >= LONG_RUN else ():
+        # the pattern takes a run up to its last character, which may belong to what follows; at the end all of it
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        made += [encoding.encode_to_numpy(text[at : run.start()], disallowed_special=()), np.array(encoding._encode_single_piece(text[run.start() : end]), dtype=np.uint32)]
+        at = end
+    made.append(encoding.encode_to_numpy(text[at:], disallowed_special=()))
+    return np.concatenate(made) if len(made) > 1 else made[0]
+
+
 def cuts(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document; only the first may be short."""
     first = length % capacity or capacity
@@ -91,38 +111,10 @@ def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
 
 
 def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
-    """Bins of the items: sum-of-squares in the order given, then the unfilled bins once more, longest item first."""
-    bins = sum_of_squares(lengths, capacity)
-    if not len(bins):
-        return bins
-    fill = np.bincount(bins, weights=lengths).astype(np.int64)
-    loose = np.flatnonzero(fill[bins] < capacity)
-    if not len(loose):
-        return bins
-    order = loose[np.argsort(-lengths[loose], kind="stable")]
-    again = best_fit(lengths[order], capacity)
-    if again.max() + 1 < len(np.unique(bins[loose])):
-        bins[order] = len(fill) + again
-    return bins
-
-
-def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
-    """Bins by best fit: each item goes to the fullest bin that holds it."""
-    of_gap: list[list[int]] = [[] for _ in range(capacity + 1)]
-    there = np.zeros(capacity + 1, dtype=bool)
-    there[capacity] = True
-    bins, made = np.empty(len(lengths), dtype=np.int64), 0
-    for k, s in enumerate(lengths.tolist()):
-        g = s + int(there[s:].argmax())
-        if g == capacity:
-            at, made = made, made + 1
-        else:
-            at = of_gap[g].pop()
-            there[g] = bool(of_gap[g])
-        bins[k] = at
-        if rest := g - s:
-            of_gap[rest].append(at)
-            there[rest] = True
+    """Bins of the items by sum-of-squares, longest item first."""
+    order = np.argsort(-lengths, kind="stable")
+    bins = np.empty(len(lengths), dtype=np.int64)
+    bins[order] = sum_of_squares(lengths[order], capacity)
     return bins
 
 
@@ -132,11 +124,11 @@ _PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequ
 
 def _tokenize(capacity: int, end_id: int, ranks_path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, number = encoder(ranks_path).encode_to_numpy, TaskContext.get().partitionId() << 40
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.append(encode(text.as_py(), disallowed_special=()), end_id).astype("<u4")
+                ids = np.append(token_ids(text.as_py(), ranks_path), end_id).astype("<u4")
                 for k, (a, n) in enumerate(cuts(len(ids), capacity)):
                     out.append((number, doc_id, k, a, n, zlib.crc32(ids[a : a + n].tobytes())))
                     number += 1
@@ -235,11 +227,10 @@ def pack_in_order(placed: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _tokenize_placed(capacity: int, end_id: int, ranks_path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks_path).encode_to_numpy
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text, at in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                ids = np.append(encode(text.as_py(), disallowed_special=()), end_id).astype("<u4")
+                ids = np.append(token_ids(text.as_py(), ranks_path), end_id).astype("<u4")
                 period, w = at["step"]["period"], at["step"]["w"]
                 for k, (a, n) in enumerate(cuts(len(ids), capacity)):
                     blocks, part = divmod(at["block_offset"] + at["size"] * a // len(ids), at["block_chars"])
