@@ -96,29 +96,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: The schedule is folded slot by slot in a recursive query; weights as in mixing.source_weights.
 OP5_SQL = """
 WITH RECURSIVE d AS (
-  SELECT doc_id, source, greatest(coalesce(length(text), 1), 1)::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '')) AS digest FROM documents
+  SELECT doc_id, source, greatest(coalesce(length(text), 1), 1)::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS digest FROM documents
 ), s AS (SELECT source, sum(size) AS total FROM d GROUP BY source
-), r AS (SELECT source, floor(sqrt(total))::HUGEINT AS raw, count(*) OVER () AS n, sum(floor(sqrt(total))::HUGEINT) OVER () AS all_raw FROM s
-), b AS (SELECT source, (raw * (1024 - n) // all_raw + 1)::BIGINT AS base, raw * (1024 - n) % all_raw AS rest FROM r
+), pd AS (SELECT greatest(1024, 1::BIGINT << length(bin(4 * count(*) - 1))) AS p FROM s
+), r AS (
+  SELECT source, floor(sqrt(total))::HUGEINT AS raw, p - count(*) OVER () AS free, sum(floor(sqrt(total))::HUGEINT) OVER () AS all_raw, p FROM s CROSS JOIN pd
+), b AS (SELECT source, (raw * free // all_raw + 1)::BIGINT AS base, raw * free % all_raw AS rest, p FROM r
 ), w AS (
-  SELECT source, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, source) <= 1024 - sum(base) OVER () THEN 1 ELSE 0 END AS w,
-         row_number() OVER (ORDER BY source) AS j FROM b
-), ws AS (SELECT list(w::BIGINT ORDER BY j) AS w FROM w
+  SELECT source, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, source) <= p - sum(base) OVER () THEN 1 ELSE 0 END AS w,
+         row_number() OVER (ORDER BY source) AS j, p FROM b
+), ws AS (SELECT list(w::BIGINT ORDER BY j) AS w, max(p)::BIGINT AS p FROM w
 ), edf(t, done, pick) AS (
   SELECT -1::BIGINT, list_transform((SELECT w FROM ws), lambda x: 0::BIGINT), 0::BIGINT
   UNION ALL
-  SELECT t + 1, list_transform(done, lambda d, i: CASE WHEN i = p THEN d + 1 ELSE d END), p
-  FROM (SELECT t, done, list_min(list_transform((SELECT w FROM ws), lambda x, i:
-          CASE WHEN done[i] < x AND done[i] * 1024 // x <= t + 1 THEN (((done[i] + 1) * 1024 + x - 1) // x) * 1000000 + i ELSE 9223372036854775807 END)) % 1000000 AS p
-        FROM edf WHERE t < 1023)
+  SELECT t + 1, list_transform(done, lambda d, i: CASE WHEN i = pick THEN d + 1 ELSE d END), pick
+  FROM (SELECT t, done, list_min(list_transform(w, lambda x, i:
+          CASE WHEN done[i] < x AND done[i] * p // x <= t + 1 THEN (((done[i] + 1) * p + x - 1) // x) * 1000000 + i ELSE 9223372036854775807 END)) % 1000000 AS pick
+        FROM edf CROSS JOIN ws WHERE t < p - 1)
 ), plan AS (SELECT pick AS j, t AS slot, row_number() OVER (PARTITION BY pick ORDER BY t) AS k FROM edf WHERE t >= 0
 ), p AS (
   SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY digest, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM d
+), c AS (SELECT *, unnest(range(start // 8192, (start + size - 1) // 8192 + 1)) AS block FROM p
+), e AS (SELECT doc_id, source, block, start, greatest(start, block * 8192) AS lo, least(start + size, (block + 1) * 8192) AS hi FROM c
 )
-SELECT p.doc_id, p.source, p.size, start // 8192 AS block, ((start // 8192) * 1024 // w.w)::BIGINT AS release,
-       (((start // 8192 + 1) * 1024 + w.w - 1) // w.w)::BIGINT AS deadline,
-       ((start // 8192) // w.w * 1024 + plan.slot)::BIGINT AS slot, start % 8192 AS block_offset
-FROM p JOIN w ON p.source IS NOT DISTINCT FROM w.source JOIN plan ON plan.j = w.j AND plan.k = (start // 8192) % w.w + 1
+SELECT e.doc_id, e.source, lo - start AS start, hi - lo AS size, block, (block * w.p // w.w)::BIGINT AS release,
+       (((block + 1) * w.p + w.w - 1) // w.w)::BIGINT AS deadline, (block // w.w * w.p + plan.slot)::BIGINT AS slot, lo - block * 8192 AS block_offset
+FROM e JOIN w ON e.source IS NOT DISTINCT FROM w.source JOIN plan ON plan.j = w.j AND plan.k = block % w.w + 1
 """
 
 OP9_SQL = """

@@ -36,6 +36,24 @@ def test_special_strings_are_text(reference_ids):
         assert P.encoder().encode_to_numpy(text, disallowed_special=()).tolist() == reference_ids(text)
 
 
+@pytest.mark.parametrize("length", [P.LONG_RUN - 1, P.LONG_RUN, P.LONG_RUN + 1])
+@pytest.mark.parametrize("blanks", [" ", "\n", " \n", "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u200a\u2028\u202f\u205f\u3000"])
+@pytest.mark.parametrize(("before", "after"), [("", ""), ("ab", "cd"), ("a ", " 1"), ("", "!x"), ("x", ""), ("\x1c", "\x1f")])
+def test_ids_of_long_white_space(reference_ids, length, blanks, before, after):
+    rng = random.Random(length)
+    run = "".join(rng.choice(blanks) for _ in range(length))
+    text = before + run + after + "hello\n\n   world" + run + "end"
+    for x in (text, before + run + after):
+        assert P.token_ids(x).tolist() == reference_ids(x)
+
+
+@pytest.mark.parametrize(("blanks", "length"), [(" ", 1_000_000), ("\n", 10_000_000), (" \n\t", 1_000_000)])
+def test_ids_of_millions_of_blanks(reference_ids, blanks, length):
+    rng = random.Random(1)
+    text = "a" + "".join(rng.choices(blanks, k=length)) + "b"
+    assert P.token_ids(text).tolist() == reference_ids(text)
+
+
 def check_packing(made, ids, capacity):
     seen = defaultdict(list)
     for r in made:
@@ -63,6 +81,27 @@ def test_packing(edge, empty, reference_ids, shard_items):
     assert P.pack(empty).count() == 0
 
 
+@pytest.mark.parametrize("shard_items", [40, 65_536])
+def test_every_piece_lies_where_the_squares_are_least(docs, shard_items):
+    """The bins of the result itself, shard by shard, against brute force over their gaps."""
+    rng = random.Random(6)
+    texts = [" ".join(["word"] * (rng.randint(1, 200) if k % 2 else rng.choice((31, 64, 97)))) for k in range(300)]
+    made = P.pack(docs([(k, x, None, None) for k, x in enumerate(texts)]).repartition(5), capacity=256, shard_items=shard_items).collect()
+    shards = defaultdict(lambda: defaultdict(list))
+    for r in made:
+        if r["length"] < 256:
+            shards[r["sequence_id"] >> 32][r["sequence_id"]].append(r["length"])
+    assert len(shards) == max(1, -(-300 // shard_items))
+    for bins in shards.values():
+        lengths = sorted((n for x in bins.values() for n in x), reverse=True)
+        gaps = Counter()
+        for g, n in zip(brute_sum_of_squares(lengths, 256), lengths, strict=True):
+            gaps[g] -= 1
+            gaps[g - n] += 1
+        del gaps[256]  # new sequences
+        assert Counter(256 - sum(x) for x in bins.values()) == +gaps
+
+
 def test_cuts():
     assert P.cuts(1) == [(0, 1)] and P.cuts(2048) == [(0, 2048)] and P.cuts(5000) == [(0, 904), (904, 2048), (2952, 2048)]
 
@@ -100,8 +139,8 @@ def test_few_sequences():
 
 
 def schedule_of(spark, weights, period):
-    w = spark.createDataFrame([(f"s{k}", f"s{k}", x, k) for k, x in enumerate(weights)], "source string, name string, w long, j int")
-    return [r["j"] for r in X.schedule(w, period).orderBy("slot").collect()]
+    w = spark.createDataFrame([(f"s{k}", f"s{k}", x, k, period) for k, x in enumerate(weights)], "source string, name string, w long, j int, period long")
+    return [r["j"] for r in X.schedule(w).orderBy("slot").collect()]
 
 
 @pytest.mark.parametrize("weights", [[32, 32], [57, 7], [1, 1, 62], [5, 9, 13, 17, 20], [1] * 20 + [44], [64], [31, 1] + [2] * 16])
@@ -121,7 +160,7 @@ def test_mixing_rows(edge, empty, docs):
     assert X.mixed(empty).count() == X.mixing_plan(empty).count() == 0
     rows = [(k, "x" * 10, None, "hot" if k % 3 else f"s{k % 4}") for k in range(3000)] + [(5000, "y", None, None)]
     plan = X.mixing_plan(docs(rows), targets={"hot": 0.5, "s0": 0.2, "s1": 0.2, "s2": 0.1}, block_chars=100).collect()
-    assert len(plan) == len(rows) and all(r["release"] <= r["slot"] < r["deadline"] for r in plan)
+    assert {r["doc_id"] for r in plan} == {r[0] for r in rows} and all(r["release"] <= r["slot"] < r["deadline"] for r in plan)
     block = defaultdict(set)
     for r in plan:
         block[r["slot"]].add((r["source"], r["block"]))
@@ -131,7 +170,58 @@ def test_mixing_rows(edge, empty, docs):
     assert abs(n["hot"] - horizon * 0.5) <= 2
 
 
-def test_more_sources_than_slots_fail(docs):
+def check_parts(plan, lengths):
+    """Parts of a document follow each other and cover it."""
+    parts = defaultdict(list)
+    for r in plan:
+        parts[r["doc_id"]].append((r["start"], r["size"]))
+    assert parts.keys() == lengths.keys()
+    for k, x in parts.items():
+        x.sort()
+        assert [a for a, _ in x] == [sum(n for _, n in x[:i]) for i in range(len(x))] and sum(n for _, n in x) == lengths[k] and all(n > 0 for _, n in x)
+
+
+def test_emitted_characters_deviate_by_less_than_a_block(docs):
+    rng, block = random.Random(4), 100
+    weights = {"a": 0.5, "b": 0.3, "c": 0.2}
+    rows = [(k, "x" * rng.choice((3, 40, 250, 1700)), None, rng.choice("abc")) for k in range(900)]
+    plan = X.mixing_plan(docs(rows), targets=weights, block_chars=block).collect()
+    check_parts(plan, {r[0]: len(r[1]) for r in rows})
+    sent = defaultdict(Counter)
+    for r in plan:
+        sent[r["slot"]][r["source"]] += r["size"]
+    full = {s: sum(len(r[1]) for r in rows if r[3] == s) // block for s in weights}
+    last = min(max(t for t, n in sent.items() if n[s] == block) for s in weights)
+    share = {s: r["w"] for s, r in weights_of(docs, rows, weights).items()}
+    done, slots = Counter(), 0
+    for t in range(last + 1):
+        assert list(sent[t].values()) == [block]
+        done.update(sent[t])
+        slots += 1
+        assert all(abs(done[s] - block * slots * w / 1024) < block for s, w in share.items())
+    assert slots > 300 and any(done[s] == block * full[s] for s in weights)  # until the first source has no full block left
+
+
+def weights_of(docs, rows, targets):
+    sizes = docs(rows).groupBy("source").agg(F.sum(F.length("text")).alias("size")).withColumn("name", F.col("source"))
+    return {r["source"]: r for r in X.source_weights(sizes, targets, None).collect()}
+
+
+def test_rows_without_ids_are_spread(docs):
+    rows = [(None, f"text {k}", None, "a") for k in range(500)] + [(7, "y" * k, None, "a") for k in range(1, 500)]
+    made = docs(rows).select(F.substring(X._digest("doc_id", "text"), 1, 3).alias("bucket"))
+    assert made.groupBy("bucket").count().agg(F.max("count")).first()[0] < 10
+
+
+def test_the_period_grows_with_the_sources(docs):
+    made = X.mixing_plan(docs([(k, "x" * 30, None, f"s{k}") for k in range(300)]), block_chars=10)
+    plan = made.collect()
+    assert len(plan) == 900 and all(r["release"] <= r["slot"] < r["deadline"] for r in plan)
+    assert len({(r["source"], r["block"]) for r in plan}) == 900 == len({r["slot"] for r in plan})
+    assert max(r["deadline"] for r in plan if r["block"] == 0) > 256  # 2048 slots for 300 sources
+
+
+def test_a_given_period_with_fewer_slots_than_sources_fails(docs):
     with pytest.raises(Exception, match="more sources"):
         X.mixing_plan(docs([(k, "x", None, f"s{k}") for k in range(40)]), period=32).collect()
 
