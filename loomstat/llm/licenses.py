@@ -1,128 +1,154 @@
 """License scan by canonical digest lookup, in DataFrame functions only.
 
-A text's canonical form: lines that state a copyright are left out, letters are lowered, every
-run of other characters than letters and digits is one blank, and equivalent spellings are
-brought to one. The SHA-256 digests of canonical forms are hash-joined with those of known
-licence texts. Looked up are the entire text of a document, and each of its lines as a text
-(notices such as "Released under the MIT License." stand on a line of their own).
-
-The table of known texts is a parameter of fixed size (``KNOWN``), so it is broadcast; only
+The canonical form of a text: lines that state a copyright or reserve all rights are left out,
+and the numbers and bullets of lists; letters are lowered, every run of other characters than
+letters and digits is one blank, and equivalent spellings are brought to one. The form of an
+entire text also leaves out a heading that only names a licence ("MIT License") and doesn't
+depend on how lines are wrapped. The SHA-256 digests of canonical forms are hash-joined with
+those of known licence texts: full texts in ``license_texts``, notices in ``NOTICES``. Looked up
+are the entire text of a document, and each of its lines as a text of its own (notices such as
+"Released under the MIT License." stand on a line of their own).
+
+The table of known texts is a parameter of fixed size (``known``), so it is broadcast; only
 lines that hit leave the first stage, so nothing else is dealt out.
 
 Defined cases: a null text has no licence; ids may be null or repeated (a row each; rows that
 share id and text share their findings); a text whose canonical form is empty never hits; an
-empty table gives an empty result; other columns are not looked at.
+empty table gives an empty result; other columns are not looked at. A licence whose wording was
+changed, or that stands inside a longer text, isn't an entire text and isn't found.
 """
 
 from __future__ import annotations
 
+from functools import cache
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Equivalent spellings, as in licence matching guidelines; words between blanks.
+#: Equivalent spellings, as in licence matching guidelines.
 SPELLINGS = (
-    ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("analyse", "analyze"), ("artefact", "artifact"), ("authorisation", "authorization"), ("authorised", "authorized"),
-    ("calibre", "caliber"), ("cancelled", "canceled"), ("catalogue", "catalog"), ("centre", "center"), ("copyright owner", "copyright holder"), ("emphasised", "emphasized"), ("favour", "favor"),
-    ("favourite", "favorite"), ("fulfil", "fulfill"), ("fulfilment", "fulfillment"), ("initialise", "initialize"), ("judgement", "judgment"), ("labelled", "labeled"), ("labour", "labor"),
-    ("licence", "license"), ("licenced", "licensed"), ("maximise", "maximize"), ("modelled", "modeled"), ("non commercial", "noncommercial"), ("offence", "offense"), ("optimise", "optimize"), ("organisation", "organization"),
-    ("organise", "organize"), ("per cent", "percent"), ("practise", "practice"), ("programme", "program"), ("realise", "realize"), ("recognise", "recognize"), ("signalling", "signaling"), ("sub license", "sublicense"),
-    ("utilisation", "utilization"), ("whilst", "while"), ("wilful", "willful"),
+    ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("analyse", "analyze"), ("artefact", "artifact"), ("authorisation", "authorization"),
+    ("authorised", "authorized"), ("calibre", "caliber"), ("cancelled", "canceled"), ("catalogue", "catalog"), ("centre", "center"), ("emphasised", "emphasized"),
+    ("favour", "favor"), ("favourite", "favorite"), ("fulfil", "fulfill"), ("fulfilment", "fulfillment"), ("initialise", "initialize"), ("judgement", "judgment"),
+    ("labelled", "labeled"), ("labour", "labor"), ("licence", "license"), ("licenced", "licensed"), ("licences", "licenses"), ("maximise", "maximize"), ("modelled", "modeled"),
+    ("offence", "offense"), ("optimise", "optimize"), ("organisation", "organization"), ("organise", "organize"), ("practise", "practice"), ("programme", "program"),
+    ("realise", "realize"), ("recognise", "recognize"), ("recognised", "recognized"), ("signalling", "signaling"), ("sublicence", "sublicense"), ("sublicences", "sublicenses"), ("utilisation", "utilization"), ("whilst", "while"), ("wilful", "willful"),
 )
 
-#: Fixed values: (licence, text) of notices and short licences.
-KNOWN = (
+#: Equivalent spellings of two words.
+PHRASES = (("copyright owner", "copyright holder"), ("non commercial", "noncommercial"), ("per cent", "percent"), ("sub license", "sublicense"))
+
+#: Fixed values: (licence, notice).
+NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("GPL-2.0-only", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0-only", "SPDX-License-Identifier: GPL-3.0-only"),
-    ("LGPL-3.0-only", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "SPDX-License-Identifier: MIT"),
     ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
     ("BSD-3-Clause", "Released under the 3-Clause BSD License."),
-    (
-        "ISC",
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.\n"
-        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. '
-        "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
-        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
-    ),
-    (
-        "MIT",
-        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, '
-        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n"
-        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n"
-        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. '
-        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
-        "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
-    ),
-)
+)
 
+# The patterns mean the same in Java and RE2. Lines that state a copyright (with a sign, a year, a
+# place for one, or nothing but a name) or reserve all rights, then numbers and bullets of lists.
+_MARK = r"(?:[Cc]opyright|COPYRIGHT|\([Cc]\)|©)[^\p{L}\n]*(?:\([Cc]\)|©|[0-9]|[\[<{](?:yyyy|YYYY|year|YEAR))"
+_NAME = r"Copyright(?:[ \t]+\p{Lu}[\p{L}.,&-]*){1,8}[^\p{L}\n]*$"
+_RIGHTS = r"(?:[Aa]ll [Rr]ights [Rr]eserved|ALL RIGHTS RESERVED)[^\p{L}\n]*$"
+DROPPED = rf"(?m)^[^\p{{L}}\p{{N}}\n©]*(?:{_MARK}.*|{_NAME}|{_RIGHTS})"
+MARKERS = r"(?m)^[ \t]*(?:[0-9]{1,2}[.)]|\([A-Za-z0-9]\))[ \t]+"
+#: In the lowered form: a first line of at most six words that ends in "license" and perhaps one word in brackets.
+HEADING = r"\A[ \n]*(?:[\p{L}\p{N}]+ +){0,5}license(?: +[\p{L}\p{N}]{1,8})? *\n"
 
-def _words(line: Column) -> Column:
-    """A line in canonical form, with a blank before and after each word."""
-    made = F.concat(F.lit(" "), F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    for a, b in SPELLINGS:
+_SPELT = "|".join(a for a, _ in SPELLINGS)
+_PHRASED = "|".join(a for a, _ in PHRASES)
+
+
+@cache
+def known_texts() -> tuple[tuple[str, str], ...]:
+    """(licence, text): the notices and the full texts."""
+    files = sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+    return NOTICES + tuple((f.stem.removesuffix("-Regents"), f.read_text(encoding="utf-8")) for f in files)
+
+
+def _phrases(form: Column) -> Column:
+    """``form`` has one blank around each word; of phrases in a row every second shares a blank, hence twice."""
+    made = form
+    for a, b in PHRASES * 2:
         made = F.replace(made, F.lit(f" {a} "), F.lit(f" {b} "))
-    return F.trim(made)
+    return F.when(F.rlike(form, F.lit(f" (?:{_PHRASED}) ")), made).otherwise(form)
+
+
+def _lowered(text: Column) -> Column:
+    """Lines in canonical form (but for phrases), each word with a blank before and after it."""
+    kept = F.regexp_replace(F.regexp_replace(text, f"(?d){DROPPED}", ""), f"(?d){MARKERS}", "")
+    apart = F.concat(F.lit(" "), F.replace(F.regexp_replace(F.lower(kept), r"[^\p{L}\p{N}\n]+", "  "), F.lit("\n"), F.lit(" \n ")), F.lit(" "))
+    spelt = apart
+    for a, b in SPELLINGS:
+        spelt = F.replace(spelt, F.lit(f" {a} "), F.lit(f" {b} "))
+    return F.when(F.rlike(apart, F.lit(f" (?:{_SPELT}) ")), spelt).otherwise(apart)
+
+
+def _whole(lowered: Column) -> Column:
+    return F.trim(_phrases(F.regexp_replace(F.regexp_replace(lowered, HEADING, " "), "[ \n]+", " ")))
 
 
-def canonical_lines(text: Column) -> Column:
-    """Canonical forms of the lines of a text, without empty ones and lines that state a copyright."""
-    lines = F.filter(F.split(text, "\n"), lambda x: ~F.rlike(x, F.lit(r"^[^\p{L}\p{N}©]*([Cc]opyright|COPYRIGHT|\([Cc]\)|©)[^\p{L}]*(\([Cc]\)|©|[0-9])")))
-    return F.filter(F.transform(lines, _words), lambda x: x != "")
+def _line(line: Column) -> Column:
+    return F.trim(_phrases(F.replace(line, F.lit("  "), F.lit(" "))))
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
+def known_digests(spark: SparkSession, known=None) -> DataFrame:
     """(digest, license) of the known texts; each text as a whole."""
-    rows = spark.createDataFrame([(name, text) for name, text in known], "license string, text string")
-    return rows.select(F.sha2(F.array_join(canonical_lines(F.col("text")), " "), 256).alias("digest"), "license").distinct()
+    rows = spark.createDataFrame([(name, text) for name, text in known or known_texts()], "license string, text string")
+    forms = rows.select("license", _whole(_lowered(F.col("text"))).alias("form")).filter("form <> ''")
+    return forms.select(F.sha2("form", 256).alias("digest"), "license").distinct()
 
 
-def scan(docs: DataFrame, known=KNOWN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, known=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, whole_license (of the entire text), n_lines (that are a known text), licenses (sorted, joined by commas)."""
     table = known_digests(docs.sparkSession, known)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    lines = rows.withColumn("lines", canonical_lines(F.col("text"))).filter(F.size("lines") > 0)
-    units = lines.select("doc_id", "text_hash", F.explode(F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.array_join("lines", " ").alias("form"))), F.transform("lines", lambda x: F.struct(F.lit(False).alias("whole"), x.alias("form"))))).alias("u"))
-    units = units.select("doc_id", "text_hash", "u.whole", F.sha2(F.col("u.form"), 256).alias("digest"))
-    hits = units.join(F.broadcast(table), "digest")  # the known texts are a parameter of fixed size
-    # rows that repeat id and text are one row here and share its findings below
-    found = hits.groupBy("doc_id", "text_hash", "whole", "license").agg(F.count("*").alias("n"))
-    found = found.groupBy("doc_id", "text_hash").agg(
-        F.min(F.when(F.col("whole"), F.col("license"))).alias("whole_license"), F.sum(F.when(~F.col("whole"), F.col("n")).otherwise(0)).alias("n_lines"),
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), _lowered(text).alias("lowered"))
+    # position 0 is the entire text, the others are its lines
+    units = rows.select("doc_id", "text_hash", F.posexplode(F.concat(F.array(_whole(F.col("lowered"))), F.split("lowered", "\n"))).alias("pos", "form"))
+    form = F.when(F.col("pos") == 0, F.col("form")).otherwise(_line(F.col("form")))
+    hits = units.select("doc_id", "text_hash", "pos", F.sha2(form, 256).alias("digest")).join(F.broadcast(table), "digest")  # the known texts are a parameter of fixed size
+    # rows that repeat id and text share their findings
+    found = hits.groupBy("doc_id", "text_hash").agg(
+        F.min(F.when(F.col("pos") == 0, F.col("license"))).alias("whole_license"), F.count_distinct(F.when(F.col("pos") > 0, F.col("pos"))).alias("n_lines"),
         F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"),
-    )
-    found = found.withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
-    copies = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"))
-    n_copies = rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("copies")).withColumnsRenamed({"doc_id": "__id2", "text_hash": "__hash2"})
-    found = found.join(n_copies, (F.col("__id").eqNullSafe(F.col("__id2"))) & (F.col("__hash") == F.col("__hash2")))
-    joined = copies.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")), "left")
-    return joined.select("doc_id", "whole_license", F.coalesce((F.col("n_lines") / F.col("copies")).cast("long"), F.lit(0)).alias("n_lines"), F.coalesce("licenses", F.lit("")).alias("licenses"))
+    ).withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
+    every = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"))
+    joined = every.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")), "left")
+    return joined.select("doc_id", "whole_license", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"), F.coalesce("licenses", F.lit("")).alias("licenses"))
 
 
-def oracle_sql(known=KNOWN) -> str:
+def oracle_sql(known=None) -> str:
     """The same for DuckDB."""
-    quoted = [(n, t.replace("'", "''")) for n, t in known]
+    quoted = [(n, t.replace("'", "''")) for n, t in known or known_texts()]
     values = ", ".join(f"('{n}', '{t}')" for n, t in quoted)
 
-    def words(x: str) -> str:
-        made = f"(' ' || regexp_replace(lower({x}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' ')"
-        for a, b in SPELLINGS:
-            made = f"replace({made}, ' {a} ', ' {b} ')"
-        return f"trim({made})"
+    def replaced(x: str, pairs) -> str:
+        for a, b in pairs:
+            x = f"replace({x}, ' {a} ', ' {b} ')"
+        return x
 
-    rule = r"^[^\p{L}\p{N}©]*([Cc]opyright|COPYRIGHT|\([Cc]\)|©)[^\p{L}]*(\([Cc]\)|©|[0-9])"
-    lines = f"list_filter(list_transform(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, '{rule}')), lambda x: {words('x')}), lambda x: x <> '')"
+    kept = f"regexp_replace(regexp_replace(text, '{DROPPED}', '', 'g'), '{MARKERS}', '', 'g')"
+    lowered = replaced(f"' ' || replace(regexp_replace(lower({kept}), '[^\\p{{L}}\\p{{N}}\\n]+', '  ', 'g'), chr(10), ' ' || chr(10) || ' ') || ' '", SPELLINGS)
+    whole = f"trim({replaced(f"regexp_replace(regexp_replace(lowered, '{HEADING}', ' '), '[ \\n]+', ' ', 'g')", PHRASES * 2)}, ' ')"
+    line = f"trim({replaced("replace(x, '  ', ' ')", PHRASES * 2)}, ' ')"
     return f"""
-WITH known AS (SELECT DISTINCT sha256(array_to_string({lines}, ' ')) AS digest, license FROM (VALUES {values}) k(license, text)),
+WITH known AS (SELECT DISTINCT sha256({whole}) AS digest, license FROM (SELECT license, {lowered} AS lowered FROM (VALUES {values}) k(license, text)) WHERE {whole} <> ''),
 d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
-l AS (SELECT n, {lines} AS lines FROM d),
-u AS (SELECT n, TRUE AS whole, array_to_string(lines, ' ') AS form FROM l WHERE len(lines) > 0 UNION ALL SELECT n, FALSE, unnest(lines) FROM l),
+l AS (SELECT n, {lowered} AS lowered FROM d),
+u AS (SELECT n, TRUE AS whole, {whole} AS form FROM l UNION ALL SELECT n, FALSE, {line} FROM (SELECT n, unnest(string_split(lowered, chr(10))) AS x FROM l)),
 h AS (SELECT n, whole, license FROM u JOIN known ON known.digest = sha256(form)),
 f AS (SELECT n, min(license) FILTER (WHERE whole) AS whole_license, count(*) FILTER (WHERE NOT whole) AS n_lines, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses FROM h GROUP BY n)
 SELECT doc_id, whole_license, coalesce(n_lines, 0) AS n_lines, coalesce(licenses, '') AS licenses FROM d LEFT JOIN f USING (n)

@@ -1,5 +1,6 @@
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 from hashlib import sha256
@@ -130,29 +131,65 @@ def test_ledger_of_nothing(empty, spark):
     assert ledger.findings(empty).count() == 0
 
 
+def phrased(words):
+    for a, b in C.PHRASES:
+        x, y, out, k = *a.split(), [], 0
+        while k < len(words):
+            if words[k : k + 2] == [x, y]:
+                out += b.split()
+                k += 2
+            else:
+                out.append(words[k])
+                k += 1
+        words = out
+    return words
+
+
+def license_words(text):
+    """Word lists of the lines that stay, spellings brought to one."""
+    kept = []
+    for line in (text or "").split("\n"):
+        start = line.lstrip("".join(set(re.sub(r"[\w©]|_", lambda m: "_" if m[0] == "_" else "", line)))) if "(c)" not in line.lower() else line[re.search(r"[^\W_]|©|\([Cc]\)", line).start() :]
+        mark = re.match(r"(?:[Cc]opyright|COPYRIGHT|\([Cc]\)|©)(.*)", start)
+        if mark:
+            rest = mark[1]
+            sign = re.search(r"\([Cc]\)|©|[0-9]|[\[<{](?:yyyy|YYYY|year|YEAR)", rest)
+            letter = re.search(r"[^\W\d_]", rest)
+            if sign and (not letter or sign.start() < letter.start()):
+                continue
+            names = rest.split()
+            if start.startswith("Copyright ") and names and all(re.fullmatch(r"[^\W\d_][\w.,&-]*", x) and x[0].isupper() for x in names):
+                continue
+        if re.fullmatch(r"[\W_]*(?:[Aa]ll [Rr]ights [Rr]eserved|ALL RIGHTS RESERVED)[\W\d_]*", line):
+            continue
+        line = re.sub(r"^[ \t]*(?:[0-9]{1,2}[.)]|\([A-Za-z0-9]\))[ \t]+", "", line)
+        kept.append([dict(C.SPELLINGS).get(w, w) for w in re.findall(r"[^\W_]+", line.lower())])
+    return kept
+
+
+def whole_form(lines):
+    first = next((k for k, x in enumerate(lines) if x), None)
+    if first is not None and first < len(lines) - 1:
+        x = lines[first]
+        if (len(x) <= 6 and x[-1] == "license") or (2 <= len(x) <= 7 and x[-2] == "license" and len(x[-1]) <= 8):
+            lines = lines[first + 1 :]
+    return " ".join(phrased([w for x in lines for w in x]))
+
+
 def brute_licenses(text):
-    def words(line):
-        made = " " + re.sub(r"[\W_]+", " ", line.lower()) + " "
-        for a, b in C.SPELLINGS:
-            made = made.replace(f" {a} ", f" {b} ")
-        return made.strip()
-
-    def lines(text):
-        kept = [x for x in (text or "").split("\n") if not re.match(r"[^\w©]*(?:[Cc]opyright|COPYRIGHT|\([Cc]\)|©)[^A-Za-z]*?(?:\([Cc]\)|©|[0-9])", x)]
-        return [w for w in map(words, kept) if w]
-
-    known = {" ".join(lines(t)): n for n, t in C.KNOWN}
-    own = lines(text)
-    whole = known.get(" ".join(own)) if own else None
-    hits = [known[x] for x in own if x in known]
+    known = {whole_form(license_words(t)): n for n, t in C.known_texts()}
+    lines = license_words(text)
+    whole = known.get(whole_form(lines))
+    hits = [known[x] for x in (" ".join(phrased(x)) for x in lines) if x in known]
     return whole, len(hits), ",".join(sorted({*hits, *([whole] if whole else [])}))
 
 
 def test_licenses(docs, empty):
-    mit = next(t for n, t in C.KNOWN if n == "MIT" and "free of charge" in t)
+    full = dict(C.known_texts())
+    mit = full["MIT"].split("\n\n", 2)[2]
     texts = [
         "Copyright (c) 2020 Someone\n" + mit.upper(), "prose\nreleased under the mit LICENCE!\nmore prose", mit.replace("\n", " \n\n") + "\n(c) 2021 X", "Licensed under CC BY-NC 4.0.", "Copyright law is a topic.\nLicensed under CC BY-NC 4.0.\nLicensed under CC BY-NC 4.0.",
-        None, "", "\n\n", "Copyright 2020", "prose " * 50_000,
+        None, "", "\n\n", "Copyright 2020", "prose " * 50_000, "(c) a list item Keeps\n2) Licensed under CC BY-NC 4.0.", "Copyright Someone Else\nAll rights reserved.\n" + mit, "Licensed under CC BY-NC 4.0.\nAll rights reserved, but one.",
     ]
     rows = [(k, t, None, None) for k, t in enumerate(texts)] + [(1, texts[1], None, None), (None, texts[3], None, None), (None, texts[3], None, None)]
     got = Counter((r["doc_id"], r["whole_license"], r["n_lines"], r["licenses"]) for r in C.scan(docs(rows)).collect())
@@ -161,6 +198,44 @@ def test_licenses(docs, empty):
     assert C.scan(empty).count() == 0
 
 
+def test_whole_texts_of_all_known_licenses(docs):
+    """As they stand, wrapped anew, in capitals, with another copyright line and heading, with British spellings."""
+    duckdb = pytest.importorskip("duckdb")
+    rows, want = [], {}
+
+    def add(name, text):
+        want[len(rows)] = name
+        rows.append((len(rows), text, None, None))
+
+    for name, text in C.known_texts()[len(C.NOTICES) :]:
+        add(name, text)
+        add(name, text.upper())
+        add(name, re.sub(r"\b(sub)?license(s?)\b", r"\1licence\2", text).replace("recognize", "recognise"))
+        add(None, text + "\nand one more word")
+        add(None, "before it\n\n" + text)
+        if "Copyright (c) <year>" in text:
+            body = text.split("\n\n", 2)[2]
+            add(name, "\n\n".join(textwrap.fill(x, 60) for x in body.split("\n\n")))
+            add(name, "The Usual License (USUAL)\n\nCopyright 1999-2020, A. Person\nCopyright © B. Person\nAll Rights Reserved.\n\n" + body)
+            add(name, body.replace("1. ", " * ").replace("2. ", " - ").replace("3. ", "(c) "))
+    made = docs(rows)
+    got = {r["doc_id"]: r["whole_license"] for r in C.scan(made).collect()}
+    assert got == want
+    con = duckdb.connect()
+    con.register("documents", made.select("doc_id", "text").toPandas())
+    assert dict(con.execute(f"SELECT doc_id, whole_license FROM ({C.oracle_sql()})").fetchall()) == want
+
+
+@pytest.mark.parametrize(("text", "known"), [("a licence licence one", "a license license one"), ("the sub licence sub licence", "the sublicense sublicense"), ("copyright owner copyright owner copyright\nowner", "copyright holder copyright holder copyright holder")])
+def test_adjacent_spellings(docs, text, known):
+    duckdb = pytest.importorskip("duckdb")
+    made, pair = docs([(1, text, None, None)]), (("X", known),)
+    assert C.scan(made, pair).first()["whole_license"] == "X"
+    con = duckdb.connect()
+    con.register("documents", made.select("doc_id", "text").toPandas())
+    assert con.execute(C.oracle_sql(pair)).fetchall()[0][1] == "X"
+
+
 SYLLABLES = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["sch", "ung", "der", "ie"], "cc": ["éa", "oui", "que", "ñe"]}
 
 
