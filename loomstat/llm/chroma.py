@@ -4,19 +4,29 @@ A recording is a WAV file (PCM). Its spectrum is folded into twelve pitch classe
 sixteen filters compare rectangles of this image (sums by an integral image) and each gives two
 bits in Gray code, so every position of the image is a packed 32-bit integer.
 
-Search: equal fingerprints are one class. The index key of a position is the sign bits (the
-bits that noise turns last) of three integers ``GAP`` apart, so that unrelated recordings hardly
-ever share one. A query also asks for the keys that differ from its own in one bit, since noise
-can turn a sign. Query and indexed classes meet where they share a key; each meeting votes for
-the offset between their positions, the fullest offset of a pair of classes is checked by bit
-errors over the overlap, and a pair aligns if at most ``MAX_BIT_ERROR`` of the bits differ and
-the overlap is half of the shorter recording or more: neighbouring positions share most of their
-frames, so that short overlaps agree by chance. A run of one key (a held chord, silence) counts once, at its first position, so that it can't
-outvote the rest. Recordings of no more than 2 * ``GAP`` positions have no key.
+Search: equal fingerprints are one class, named by their digest. The index key of a position is
+the sign bits (the bits that noise turns last) of three integers ``GAP`` apart, so that unrelated
+recordings hardly ever share one. A query also asks for the keys that differ from its own in one
+bit, since noise can turn a sign. Query and indexed classes meet where they share a key; each
+meeting votes for the offset between their positions, and every offset with votes is checked by
+bit errors over the overlap.
+
+A pair aligns at an offset if the share of differing bits is at most ``limit(overlap)``: that of
+unrelated recordings falls below it at odds of about one in a million. Neighbouring positions
+share most of their frames, so a position counts as 2 independent bits (32 bits over windows of
+``WIDTH`` frames): with n positions the share has mean 1/2 and deviation 1 / (2 sqrt(2 n)), the
+limit is ``SIGMAS`` deviations below the mean and at most ``MAX_BIT_ERROR``. Overlaps below
+``LEAST_OVERLAP`` positions, the length of a key, aren't looked at. Of the offsets that align,
+the one furthest below its limit is reported.
+
+A run of one key (a held chord) counts once, at its first position, so that it can't outvote the
+rest; silence has no key. Keys that more than ``HOT`` classes hold are dealt out to several tasks.
+Recordings of no more than 2 * ``GAP`` positions have no key.
 
 Defined cases: null or undecodable audio and audio shorter than a filter has an empty
 fingerprint, is in the class of the empty fingerprint and matches nothing; ids may be null
-(never a query) or repeated; an empty table gives an empty result.
+(never a query, but found by others: class_id is null where no recording of a class has an id)
+or repeated (classes with one class_id stay apart); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,14 +40,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import saved
+
 #: Frame of the spectrum in seconds (rounded to a power of two of samples); frames overlap by two thirds.
 FRAME_S = 0.25
 LOW_HZ, HIGH_HZ = 55.0, 3520.0
 WIDTH = 16
 MAX_BIT_ERROR = 0.25
-LEAST_VOTES = 1
-LEAST_OVERLAP = 17
+SIGMAS = 4.75
 GAP = 8
+LEAST_OVERLAP = 2 * GAP + 1
+#: Classes of one key that one task takes.
+HOT = 4096
 SIGNS = 0xAAAAAAAA
 
 
@@ -151,7 +165,7 @@ def index_keys(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if len(x) <= 2 * GAP:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     keys = (x[: -2 * GAP] << 31) | x[GAP:-GAP] | (x[2 * GAP :] >> 1)
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])) & (keys != 0))  # silence has no sign
     return first, keys[first]
 
 
@@ -161,9 +175,9 @@ PROBES = np.array([0] + [1 << k for k in [*range(32), *range(32, 64, 2)]], dtype
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for class_id, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for digest, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             first, keys = index_keys(np.frombuffer(raw.as_buffer(), "<u4"))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), class_id, dtype=np.int64)), pa.array(first), pa.array(keys)], names=["class_id", "at", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array([digest] * len(first), pa.binary()), pa.array(first), pa.array(keys)], names=["digest", "at", "value"])
 
 
 def _questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,8 +186,9 @@ def _questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = batch.column(2).to_numpy(zero_copy_only=False)
         for a in range(0, len(keys), 1 << 14):  # probes of a long recording come in pieces
             part = batch.slice(a, 1 << 14)
-            class_id, at = (np.repeat(part.column(k).to_numpy(zero_copy_only=False), n) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(class_id), pa.array(at), pa.array((keys[a : a + (1 << 14), None] ^ PROBES).reshape(-1))], names=["query_class", "query_at", "value"])
+            digest = part.column(0).take(pa.array(np.repeat(np.arange(len(part)), n)))
+            at = np.repeat(part.column(1).to_numpy(zero_copy_only=False), n)
+            yield pa.RecordBatch.from_arrays([digest, pa.array(at), pa.array((keys[a : a + (1 << 14), None] ^ PROBES).reshape(-1))], names=["query", "query_at", "value"])
 
 
 def bit_error(query: np.ndarray, other: np.ndarray, offset: int) -> tuple[float, int]:
@@ -184,40 +199,65 @@ def bit_error(query: np.ndarray, other: np.ndarray, offset: int) -> tuple[float,
     return float(np.bitwise_count(query[a:b] ^ other[a + offset : b + offset]).sum()) / (32 * (b - a)), b - a
 
 
+def limit(overlap: int) -> float:
+    return min(MAX_BIT_ERROR, 0.5 - SIGMAS / (2 * (2 * overlap) ** 0.5)) if overlap >= LEAST_OVERLAP else -1.0
+
+
+_MATCHES = "query binary, match binary, offset long, votes long, bit_error double, overlap long"
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        errors, overlaps = [], []
-        for q, o, offset in zip(batch.column("fp_q"), batch.column("fp_o"), batch.column("offset").to_pylist(), strict=True):
+        out = []
+        for query, match, at, q, o in zip(*(batch.column(x).to_pylist() for x in ("query", "match", "at")), batch.column("fp_q"), batch.column("fp_o"), strict=True):
             x, y = np.frombuffer(q.as_buffer(), "<u4"), np.frombuffer(o.as_buffer(), "<u4")
-            e, n = bit_error(x, y, offset)
-            errors.append(e if enough(n, len(x), len(y)) else 1.0)
-            overlaps.append(n)
-        yield pa.RecordBatch.from_arrays([batch.column("query_class"), batch.column("match_class"), batch.column("offset"), batch.column("votes"), pa.array(errors, pa.float64()), pa.array(overlaps, pa.int64())], names=["query_class", "match_class", "offset", "votes", "bit_error", "overlap"])
-
-
-def enough(overlap: int, a: int, b: int) -> bool:
-    return overlap >= max(LEAST_OVERLAP, -(-min(a, b) // 2))
+            aligned = []
+            for offset, votes in ((v["offset"], v["votes"]) for v in at):
+                e, n = bit_error(x, y, offset)
+                if e <= limit(n):
+                    aligned.append((e - limit(n), abs(offset), offset, votes, e, n))
+            if aligned:
+                out.append((query, match, *min(aligned)[2:]))
+        types = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.int64()]
+        columns = list(zip(*out, strict=True)) if out else [[]] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["query", "match", "offset", "votes", "bit_error", "overlap"])
 
 
 def search(marked: DataFrame, is_query: Column) -> tuple[DataFrame, DataFrame]:
     """Classes and alignments of fingerprints (rec_id, fingerprint; read more than once, so written before).
 
-    members: rec_id, class_id (smallest id with that fingerprint), is_query, n_values.
-    matches: query_class, match_class, offset, votes, bit_error, overlap; other classes only.
+    members: rec_id, class_id (smallest id with that fingerprint), class (its digest), is_query, n_values.
+    matches: query_class, match_class, match_id (class_id of the match), offset, votes, bit_error, overlap; other classes only.
     """
-    named = marked.select("rec_id", "fingerprint", F.md5("fingerprint").alias("digest"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+    digest = F.unhex(F.md5("fingerprint"))
+    named = marked.select("rec_id", "fingerprint", digest.alias("digest"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
     classes = named.groupBy("digest").agg(F.min("rec_id").alias("class_id"), F.first("fingerprint").alias("fp"), F.max("is_query").alias("asked"))
-    members = named.select("rec_id", "digest", "is_query", F.expr("octet_length(fingerprint) div 4").cast("long").alias("n_values")).join(classes.select("digest", "class_id"), "digest").drop("digest")
-    postings = classes.filter("class_id is not null").select("class_id", "fp").mapInArrow(_postings, "class_id long, at long, value long")
-    asked = classes.filter("asked and class_id is not null").select("class_id", "fp").mapInArrow(_questions, "query_class long, query_at long, value long")
-    votes = asked.join(postings, "value").filter("query_class <> class_id").groupBy("query_class", F.col("class_id").alias("match_class"), (F.col("at") - F.col("query_at")).alias("offset")).agg(F.count("*").alias("votes"))
-    best = votes.filter(F.col("votes") >= LEAST_VOTES).groupBy("query_class", "match_class").agg(F.max_by("offset", F.struct("votes", -F.abs("offset"), "offset")).alias("offset"), F.max("votes").alias("votes"))
-    with_fp = best.join(classes.select(F.col("class_id").alias("query_class"), F.col("fp").alias("fp_q")), "query_class").join(classes.select(F.col("class_id").alias("match_class"), F.col("fp").alias("fp_o")), "match_class")
-    checked = with_fp.mapInArrow(_verify, "query_class long, match_class long, offset long, votes long, bit_error double, overlap long")
-    return members, checked.filter(F.col("bit_error") <= MAX_BIT_ERROR)
+    members = named.select("rec_id", "digest", "is_query", F.expr("octet_length(fingerprint) div 4").cast("long").alias("n_values")).join(classes.select("digest", "class_id"), "digest").withColumnRenamed("digest", "class")
+    postings = saved(classes.select("digest", "fp").mapInArrow(_postings, "digest binary, at long, value long"), "postings")
+    asked = classes.filter("asked").select("digest", "fp").mapInArrow(_questions, "query binary, query_at long, value long")
+    # a hot key is dealt out by the digest of the indexed class; a question about it goes to every share
+    hot = postings.groupBy("value").count().filter(F.col("count") > HOT).select("value", F.ceil(F.col("count") / HOT).cast("int").alias("shares"))
+    share = F.pmod(F.xxhash64("digest"), F.coalesce("shares", F.lit(1))).cast("int")
+    held = postings.join(hot, "value", "left").withColumn("share", share).drop("shares")
+    spread = asked.join(hot, "value", "left").withColumn("share", F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1))).drop("shares")
+    met = spread.join(held, ["value", "share"]).filter(F.col("query") != F.col("digest"))
+    votes = met.groupBy("query", F.col("digest").alias("match"), (F.col("at") - F.col("query_at")).alias("offset")).agg(F.count("*").alias("votes"))
+    pairs = votes.groupBy("query", "match").agg(F.collect_list(F.struct("offset", "votes")).alias("at"))  # no more offsets than the two have positions
+    with_fp = pairs.join(classes.select(F.col("digest").alias("query"), F.col("fp").alias("fp_q")), "query").join(classes.select(F.col("digest").alias("match"), F.col("fp").alias("fp_o")), "match")
+    checked = with_fp.select("query", "match", "at", "fp_q", "fp_o").mapInArrow(_verify, _MATCHES)
+    ids = classes.select(F.col("digest").alias("match"), F.col("class_id").alias("match_id"))
+    return members, checked.join(ids, "match").withColumnsRenamed({"query": "query_class", "match": "match_class"})
+
+
+RATE, NOTE_S, NOTES, PITCHES = 4000, 0.25, 24, 36
 
 
-RATE, NOTE_S, NOTES = 4000, 0.25, 24
+@cache
+def _notes() -> np.ndarray:
+    """The samples of one note of each pitch."""
+    t = np.arange(int(RATE * NOTE_S), dtype=np.float32) / RATE
+    phase = (2 * np.pi * 110 * 2 ** (np.arange(PITCHES) / 12)).astype(np.float32)[:, None] * t
+    return (np.sin(phase) + 0.4 * np.sin(2 * phase)) * 12_000
 
 
 def rendered(vector: list[float] | None, lead: int) -> bytes:
@@ -229,8 +269,5 @@ def rendered(vector: list[float] | None, lead: int) -> bytes:
     if not len(v):
         return b""
     v = np.resize(v, 2 * NOTES)
-    pitch = np.floor(np.abs(v[0::2] * 1000 + v[1::2] * 700)).astype(np.int64) % 36
-    t = np.arange(int(RATE * NOTE_S), dtype=np.float32) / RATE
-    phase = (2 * np.pi * 110 * 2 ** (pitch / 12)).astype(np.float32)[:, None] * t
-    tune = (np.sin(phase) + 0.4 * np.sin(2 * phase)).reshape(-1) * 12_000
-    return wav(np.concatenate([np.zeros(RATE * lead // 10, dtype=np.float32), tune]), RATE)
+    pitch = np.floor(np.abs(v[0::2] * 1000 + v[1::2] * 700)).astype(np.int64) % PITCHES
+    return wav(np.concatenate([np.zeros(RATE * lead // 10, dtype=np.float32), _notes()[pitch].reshape(-1)]), RATE)
