@@ -125,6 +125,37 @@ def test_ledger_scans_only_what_is_new(docs, spark):
     assert {r["doc_id"]: r["n_assign"] for r in newer.findings(history).collect()} == {1: 1, 5: 0, 4: 0}
 
 
+def test_each_pair_of_blob_and_rule_is_scanned_once(docs, spark):
+    rows = [(k, f"text {k // 2} token = abcdefghijkl{k // 2}", None, None) for k in range(40)] + [(None, None, None, None), (7, "", None, None)]
+    older = P.BlobLedger(spark, rules=P.BASE_RULES)
+    older.update(docs(rows[:11]))
+    assert older.rows().count() == 6 * len(P.BASE_RULES)  # six blobs
+    ledger = P.BlobLedger(spark, older.path)
+    ledger.update(docs(rows))
+    blobs = 21  # 20 texts and the empty one
+    pairs = ledger.rows().select("blob", "rule", "version")
+    assert pairs.count() == pairs.distinct().count() == blobs * len(P.RULES)
+    got = ledger.findings(docs(rows), columns=["doc_id"])
+    assert got.count() == len(rows) and got.filter("n_assign = 1").count() == 40
+    ledger.update(docs(rows))
+    assert ledger.rows().count() == blobs * len(P.RULES)
+
+
+def test_versions_that_were_not_scanned_fail(docs, spark):
+    ledger = P.BlobLedger(spark, rules=P.BASE_RULES)
+    ledger.update(docs([(1, "a", None, None)]))
+    with pytest.raises(Exception, match="not scanned"):
+        ledger.findings(docs([(1, "a", None, None), (2, "b", None, None)])).collect()
+    with pytest.raises(Exception, match="not scanned"):  # known blobs, but a rule is newer
+        P.BlobLedger(spark, ledger.path).findings(docs([(1, "a", None, None)])).collect()
+
+
+def test_rules_of_other_patterns():
+    rule = P.Rule("own", 1, r"(?i:key)-([0-9]+)", 1, 3)
+    assert P.spans(rule, "KEY-12 key-123 \u212aey-1234") == [(7, 14)]
+    assert P.spans(P.Rule("run", 1, "[xy]+", 0, 3), "xy xyx") == [(3, 6)]
+
+
 def test_ledger_of_nothing(empty, spark):
     ledger = P.BlobLedger(spark)
     ledger.update(empty)
