@@ -19,12 +19,14 @@ CHUNK_CHARS = 2_000_000
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (tests on one machine) a temporary folder is made.
+    Only where that is unset and everything runs on one machine (tests) a temporary folder is made.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="loomstat-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -60,6 +62,18 @@ def id_remainder(column: str, divisor: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % divisor, F.lit(-1)).cast("int")
 
 
+def unused(df: DataFrame, name: str) -> None:
+    if name.lower() in (c.lower() for c in df.columns):
+        raise ValueError(f"there is a column {name} already; give another name for the result")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores after it where ``df`` has it already."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 def text_of(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
@@ -105,20 +119,31 @@ def batches_of(texts: pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[int,
 
 
 def bounded_sample(rows: DataFrame, group: str, key: Column, per_group: int) -> DataFrame:
-    """The ``per_group`` rows of each group with the smallest key (a hash), for fitting classifiers.
+    """(group, __key): for each group the ``per_group`` smallest distinct keys (hashes of a row), for fitting classifiers.
 
-    The groups must be few: the driver reads their counts, then the rows under a cut at the hash
-    that leaves about half as many again as are wanted, and picks. No task sees a whole group.
+    Rows with one key are one row, so however often ids or texts repeat, the driver gets no more
+    than about half as many keys again as are wanted. The groups must be few: it reads their
+    counts, then the keys under a cut that leaves that many, and picks. No task sees a whole group.
     """
-    counts = rows.groupBy(group).count().collect()
-    share = {r[0]: min(1.0, 1.5 * (per_group + 100) / r[1]) for r in counts if r[0] is not None}
+    keys = rows.select(group, key.alias("__key")).filter(F.col(group).isNotNull()).distinct()
+    counts = keys.groupBy(group).count().collect()
+    share = {r[0]: min(1.0, 1.5 * (per_group + 100) / r[1]) for r in counts}
+    schema = keys.schema
     if not share:
-        return rows.limit(0)
+        return rows.sparkSession.createDataFrame([], schema)
     cut = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(v))])[F.col(group)]
-    near = rows.withColumn("__key", key).filter(F.col("__key").cast("double") / float(1 << 63) < cut * 2 - 1)
+    near = keys.filter(F.col("__key").cast("double") / float(1 << 63) < cut * 2 - 1)
     kept, seen = [], dict.fromkeys(share, 0)
-    for r in sorted(near.collect(), key=lambda r: (r["__key"], str(r))):
-        if seen[r[group]] < per_group:
-            seen[r[group]] += 1
-            kept.append(tuple(r[c] for c in rows.columns))
-    return rows.sparkSession.createDataFrame(kept, rows.schema)
+    for name, k in sorted(near.collect(), key=lambda r: r["__key"]):
+        if seen[name] < per_group:
+            seen[name] += 1
+            kept.append((name, k))
+    return rows.sparkSession.createDataFrame(kept, schema)
+
+
+def sampled_texts(rows: DataFrame, group: str, text_col: str, per_group: int, salt: str, id_col: str) -> DataFrame:
+    """(group, text) of a bounded sample of the rows: distinct (group, id, text), an id may be null or repeated."""
+    key = F.xxhash64(F.lit(salt), F.col(id_col).cast("string"), F.col(text_col))
+    chosen = bounded_sample(rows, group, key, per_group)
+    hit = rows.select(group, F.col(text_col).alias("__text"), key.alias("__key")).join(F.broadcast(chosen), [group, "__key"])  # groups x per_group rows
+    return hit.groupBy(group, "__key").agg(F.first("__text").alias("__text")).select(group, "__text")  # copies of a row are one

@@ -6,8 +6,8 @@ every language that contains the n-gram. Over a text, the popcount of each langu
 corrected for false positives with the fill of that language's slice, and the largest
 corrected count decides.
 
-Training: the rows given, at most ``per_language`` of each language (those with the smallest
-hash of the id; a documented bound for the classifier's sample), whole texts. An n-gram enters
+Training: the rows given, at most ``per_language`` distinct ones of each language (those with the
+smallest hash of id and text; a documented bound for the classifier's sample), whole texts. An n-gram enters
 a language's filter if the language has it at least ``MIN_COUNT`` times and at no less than
 ``RATIO`` of the highest rate that any language has it; at most ``GRAMS`` n-grams a language,
 the most frequent first.
@@ -18,6 +18,7 @@ letters is one blank; those with a blank inside are left out. Texts are read who
 Defined cases: a text that is null or has no letter is ``und`` with score 0; a text without a
 known n-gram gets the language with most training rows and score 0; ties go to the language
 that sorts first; without training rows every text is ``und``; ids may be null or repeated.
+The column that ``predicted`` adds must not be there already (an error).
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches_of, bounded_sample, chunks, strings
+from .common import batches_of, chunks, sampled_texts, saved, strings, unused
 
 WIDTH = 4
 HASHES = 2
@@ -92,7 +93,8 @@ class LanguageFilter:
             found = found & self.slots[_slot(h, k, len(self.slots))]
         return found
 
-    def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
+    def predict(self, texts: list[str]) -> tuple[list[str], list[float], list[float]]:
+        """Language, its score (share of the evidence for any language) and its share of all n-grams of the text."""
         n_lang = len(self.languages)
         hits, total, letters = np.zeros((len(texts), n_lang)), np.zeros(len(texts)), np.zeros(len(texts))
         for at, parts in chunks(texts, self.width - 1):
@@ -105,13 +107,14 @@ class LanguageFilter:
                 bit = (masks[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)
                 np.add.at(hits[:, k], at, np.bincount(part, weights=bit, minlength=len(parts)))
         if not n_lang:
-            return ["und"] * len(texts), [0.0] * len(texts)
+            return ["und"] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
         right = np.maximum(0, (hits - total[:, None] * self.false_rate) / (1 - self.false_rate))
         best = right.argmax(axis=1)
         top, whole = right.max(axis=1), right.sum(axis=1)
         best = np.where(top > 0, best, self.fallback)
         score = np.where(whole > 0, top / np.maximum(whole, 1e-300), 0.0)
-        return [self.languages[b] if n else "und" for b, n in zip(best, letters, strict=True)], np.where(letters > 0, score, 0.0).tolist()
+        names = [self.languages[b] if n else "und" for b, n in zip(best, letters, strict=True)]
+        return names, np.where(letters > 0, score, 0.0).tolist(), np.where(letters > 0, top / np.maximum(total, 1), 0.0).tolist()
 
 
 def _slot(h: np.ndarray, k: int, size: int) -> np.ndarray:
@@ -146,19 +149,13 @@ def build(rows: list[tuple[str, int, int]], n_docs: dict[str, int], width: int =
 
 
 def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, width: int = WIDTH) -> LanguageFilter:
-    """Fit on at most ``per_language`` rows of each language; rows without a language or text are left out."""
+    """Fit on at most ``per_language`` distinct rows (id and text) of each language; rows without a language or text are left out."""
     rows = rows.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    # only ids and hashes are ranked; texts are read for the chosen rows alone
-    few = rows.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"))
-    chosen = bounded_sample(few, "__lang", F.xxhash64(F.lit("language"), F.col("__id").cast("string")), per_language)
-    ids = [(r["__id"], r["__lang"]) for r in chosen.select("__id", "__lang").collect()]  # per_language x languages at most
-    n_docs: dict[str, int] = {}
-    for _, x in ids:
-        n_docs[x] = n_docs.get(x, 0) + 1
-    if not ids:
+    named = rows.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), F.col(text_col).alias("__text"))
+    texts = saved(sampled_texts(named, "__lang", "__text", per_language, "language", "__id"), "sample")
+    n_docs = {r["__lang"]: r["count"] for r in texts.groupBy("__lang").count().collect()}
+    if not n_docs:
         return build([], {}, width)
-    wanted = rows.sparkSession.createDataFrame(ids, few.select("__id", "__lang").schema).distinct()
-    texts = rows.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), F.col(text_col).alias("__text")).join(F.broadcast(wanted), ["__id", "__lang"]).select("__lang", "__text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,16 +175,17 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def predicted(docs: DataFrame, model: LanguageFilter, text_col: str = "text", name: str = "__lang"):
-    """``docs`` with a struct column ``name`` of (lang_pred, score)."""
+    """``docs`` with a struct column ``name`` of (lang_pred, score, share), see ``LanguageFilter.predict``."""
+    unused(docs, name)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # slots and languages are bounded, see GRAMS
 
-    @F.arrow_udf("struct<lang_pred:string, score:double>")
+    @F.arrow_udf("struct<lang_pred:string, score:double, share:double>")
     def predict(texts: pa.Array) -> pa.Array:
-        langs, scores = [], []
+        made: tuple[list, list, list] = ([], [], [])
         for a, b in batches_of(texts):
-            x, y = shared.value.predict(strings(texts.slice(a, b - a)))
-            langs += x
-            scores += y
-        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
+            for column, x in zip(made, shared.value.predict(strings(texts.slice(a, b - a))), strict=True):
+                column += x
+        types = (pa.string(), pa.float64(), pa.float64())
+        return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(made, types, strict=True)], names=["lang_pred", "score", "share"])
 
     return docs.withColumn(name, predict.asNondeterministic()(F.col(text_col)))

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 import textwrap
@@ -14,7 +15,7 @@ from loomstat.llm import licenses as C
 from loomstat.llm import lm as M
 from loomstat.llm import quality as Q
 from loomstat.llm import secrets as P
-from loomstat.llm.common import chunks, id_remainder
+from loomstat.llm.common import chunks, id_remainder, sampled_texts
 
 from .conftest import ROWS
 
@@ -57,6 +58,72 @@ def test_lm_is_a_distribution_and_learns(docs, monkeypatch):
     assert all(r["score"] < 0 for r in made)
 
 
+def plain_bigrams(text):
+    words = split(text)
+    return list(zip([None, *words[:-1]], words, strict=True))  # None: the beginning, as frequent as ends
+
+
+def plain_counts(texts):
+    word, pair = Counter(), Counter()
+    for t in texts:
+        word.update(split(t))
+        pair.update(plain_bigrams(t))
+    return word, pair
+
+
+def plain_estimates(text, word, pair, v, n):
+    """(bucket, uniform, unigram, bigram) of each token."""
+    for h, w in plain_bigrams(text):
+        c = word["\n" if h is None else h]
+        yield c.bit_length(), 1 / (v + 1), word[w] / n, pair[h, w] / c if c else 0.0
+
+
+def test_lm_scores_equal_brute_force(docs, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK_BYTES", 700)
+    monkeypatch.setattr(M, "RANGE_BYTES", 900)
+    rng = random.Random(3)
+    words = [f"w{int(rng.paretovariate(0.7))}" for _ in range(4000)]
+    rows = [(k, " ".join(words[20 * k : 20 * k + rng.randint(0, 20)]), "en", "a") for k in range(200)] + [(None, "w1 w2", "en", "a"), (500, None, None, None), (7, "w1 w1 W3", None, None)]
+    made, kept, found = docs(rows), [], M.mixture_weights
+
+    def mixture_weights(*args):
+        kept.append(found(*args))
+        return kept[-1]
+
+    monkeypatch.setattr(M, "mixture_weights", mixture_weights)
+    got = M.score_texts(made, id_remainder("doc_id", 7) == 2).collect()
+    deleted = {r[0] for r in made.filter(F.pmod(F.xxhash64(F.lit("deleted"), F.col("doc_id").cast("string")), F.lit(8)) == 0).select("doc_id").collect()}
+    train = [r for r in rows if not is_held(r[0], 7, 2)]
+    word, pair = plain_counts(r[1] for r in train)
+    v, n, weights = len(word), word.total(), kept[0]
+    want = Counter()
+    for r in rows:
+        p = [weights[b] @ x for b, *x in plain_estimates(r[1], word, pair, v, n)]
+        want[r[0], round(float(np.log10(p).sum()), 6)] += 1
+    assert Counter((r["doc_id"], round(r["score"], 6)) for r in got) == want
+    # the weights: plain EM over the tokens of deleted documents, with the counts of the others
+    rest, rest_pair = plain_counts(r[1] for r in train if r[0] not in deleted)
+    seen = [x for r in train if r[0] in deleted for x in plain_estimates(r[1], rest, rest_pair, v, rest.total())]
+    start = np.full(3, 1 / 3)
+
+    def plain_em(tokens, start):
+        w = start.copy()
+        for _ in range(M.ROUNDS):
+            add = start.copy()
+            for _, *p in tokens:
+                share = w * p
+                add += share / share.sum()
+            w = add / add.sum()
+        return w
+
+    pooled = plain_em(seen, start)
+    buckets = {b for b, *_ in seen}
+    assert len(buckets) > 3
+    for b in buckets - {0}:
+        # the histogram rounds probabilities to 50 steps per power of ten, which moves the weights of small buckets a little
+        assert np.abs(plain_em([x for x in seen if x[0] == b], pooled) - weights[b]).max() < 0.05
+
+
 def test_mixture_weights_are_found():
     # tokens drawn half from bigram estimates of 0.5 and half from unigram estimates of 0.1
     s = M.STEPS
@@ -66,6 +133,11 @@ def test_mixture_weights_are_found():
     assert np.allclose(M.mixture_weights([], 5).sum(axis=1), 1)
 
 
+def test_requests_grow_in_proportion_to_the_input():
+    rows = [t * t / (M.BLOCK_BYTES * M.RANGE_BYTES * M.growth(t) ** 2) for t in (32 << 30, 32 << 35, 100 << 40)]
+    assert M.growth(1 << 30) == 1 and rows[1] == pytest.approx(32 * rows[0]) and rows[2] == pytest.approx(3200 * rows[0])
+
+
 def test_lm_tokens():
     texts = [" A\x0bb\x1cc  d\n", "", "É é", "\x00"]
     words, sizes = M.tokens(texts)
@@ -290,6 +362,76 @@ def test_language(docs, empty):
     assert [r["lang_pred"] for r in G.predicted(docs(rows[:2]), none).select("__lang.lang_pred").collect()] == ["und", "und"]
 
 
+def test_languages_equal_plain_sets(docs, monkeypatch):
+    """With a filter so large that it has no false positives, predictions and scores are those of plain sets."""
+    monkeypatch.setattr(G, "SLOTS_PER_GRAM", 1 << 12)
+    monkeypatch.setattr(G, "GRAMS", 60)
+    rng = random.Random(9)
+    mixed = [*SYLLABLES["aa"], *SYLLABLES["bb"], *SYLLABLES["cc"]]
+
+    def text(lang):
+        return " ".join("".join(rng.choice(mixed if rng.random() < 0.3 else SYLLABLES[lang]) for _ in range(3)) for _ in range(rng.randint(1, 12)))
+
+    rows = [(k, text(lang), lang, "s") for k, lang in enumerate(rng.choice(list(SYLLABLES)) for _ in range(250))]
+    model = G.train(docs(rows))
+    asked = [r[1] for r in rows] + [text(x) + ", 12 " + text(y).upper() for x in SYLLABLES for y in SYLLABLES] + ["x", "1 2", "", "qq qqqqq"]
+    names, scores, shares = model.predict(asked)
+
+    def grams(x):
+        words = f" {re.sub(r'[\W\d_]+', ' ', x.lower()).strip()} "
+        found = [words[k : k + G.WIDTH] for k in range(len(words) - G.WIDTH + 1)]
+        return [g for g in found if " " not in g[1:-1]]
+
+    counts = {lang: Counter(g for r in rows if r[2] == lang for g in grams(r[1])) for lang in SYLLABLES}
+    top = {}
+    for lang, c in counts.items():
+        often = {g: n for g, n in c.items() if n >= G.MIN_COUNT}
+        least = sorted(often.values(), reverse=True)[: G.GRAMS][-1]
+        top[lang] = {g: n for g, n in often.items() if n > least}, {g: n for g, n in often.items() if n == least}
+    # n-grams that tie at the last place may be in or out: take what the filter has
+    known = {lang: {**a, **{g: n for g, n in b.items() if model.predict([g.strip()])[0] and has(model, lang, g)}} for lang, (a, b) in top.items()}
+    sizes = {lang: sum(x.values()) for lang, x in known.items()}
+    rates = {lang: {g: n / sizes[lang] for g, n in x.items()} for lang, x in known.items()}
+    final = {lang: {g for g, r in x.items() if r >= G.RATIO * max(y.get(g, 0) for y in rates.values())} for lang, x in rates.items()}
+    n_docs = Counter(r[2] for r in rows)
+    for x, name, score, share in zip(asked, names, scores, shares, strict=True):
+        hit = {lang: sum(g in s for g in grams(x)) for lang, s in final.items()}
+        if not re.search(r"[^\W\d_]", x):
+            assert (name, score, share) == ("und", 0, 0)
+        elif not any(hit.values()):
+            assert name == max(sorted(n_docs), key=n_docs.get) and score == 0
+        else:
+            assert hit[name] == max(hit.values()) and abs(score - hit[name] / sum(hit.values())) < 1e-3 and abs(share - hit[name] / len(grams(x))) < 1e-3
+
+
+def has(model, lang, gram):
+    codes = np.array([ord(c) for c in gram], dtype=np.uint64)
+    h = np.zeros(1, dtype=np.uint64)
+    for c in codes:
+        h = (h ^ c) * G.MIX
+        h ^= h >> np.uint64(29)
+    return bool(model.masks(h)[0, 0] >> np.uint64(model.languages.index(lang)) & np.uint64(1))
+
+
+def test_samples_are_bounded_for_ids_that_repeat_or_miss(docs, spark):
+    rows = [(5, f"one id {k}", "en", "a") for k in range(600)] + [(None, f"no id {k}", "de", "a") for k in range(600)] + [(9, "the same row", "fr", "a")] * 900 + [(k, f"le texte {k}", "fr", "a") for k in range(100, 130)]
+    sample = sampled_texts(docs(rows).select("doc_id", "lang", "text"), "lang", "text", 20, "x", "doc_id").collect()
+    assert Counter(r["lang"] for r in sample) == {"en": 20, "de": 20, "fr": 20}
+    assert len({r["__text"] for r in sample}) == 60
+    model = G.train(docs([(None, invented(random.Random(k), lang), lang, "s") for k, lang in enumerate(["aa", "bb", "cc"] * 40)]), per_language=20)
+    assert model.languages == ["aa", "bb", "cc"]
+    assert model.predict([invented(random.Random(500), "bb")])[0] == ["bb"]
+    marks = spark.createDataFrame([(5, k % 2) for k in range(1000)] + [(k, 1) for k in range(50)], "doc_id long, quality int")
+    few = Q.train(docs([(5, f"text {k}", None, None) for k in range(700)] + [(k, "Good text.", None, None) for k in range(50) if k != 5]), marks, per_label=10)
+    assert np.isfinite(few.weights).all()
+
+
+def test_columns_are_not_overwritten(docs):
+    model = G.build([], {}, 4)
+    with pytest.raises(ValueError, match="already"):
+        G.predicted(docs([(1, "x", None, None)]).withColumn("__lang", F.lit("kept")), model)
+
+
 def test_language_filter_masks():
     h = np.arange(1, 3001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     rows = [("x", int(v), 5) for v in h[:2000].view(np.int64)] + [("y", int(v), 5) for v in h[1000:].view(np.int64)]
@@ -329,6 +471,36 @@ def test_quality(docs, empty, spark):
     assert Q.scored(docs(rows[:3]), one).filter("__quality.predicted = 1").count() == 3
 
 
+def test_ranker_is_the_least_of_the_plain_loss():
+    """The fit against the loss in plain loops over the same pairs: no step in any direction makes it smaller."""
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("abc .,!\n"), size=rng.integers(5, 80))) for _ in range(60)]
+    x = np.array([Q.features(t) for t in texts])
+    good = (np.array([t.count("a") - t.count("!") for t in texts]) + rng.normal(0, 2, 60) > 0).astype(int)
+    r = Q.fit(x, good)
+    z = [[max(-8.0, min(8.0, (v - m) / s)) for v, m, s in zip(row, r.mean, r.spread, strict=True)] for row in x.tolist()]
+    winners, losers = [a for a, g in zip(z, good, strict=True) if g], [a for a, g in zip(z, good, strict=True) if not g]
+    order = np.random.default_rng(7)
+    n = Q.PAIRS * min(len(winners), len(losers))
+    left, right = np.resize(order.permutation(len(winners)), n), np.resize(order.permutation(len(losers)), n)
+
+    def loss(w):
+        total = sum(math.log1p(math.exp(-sum(c * (a - b) for c, a, b in zip(w, winners[i], losers[j], strict=True)))) for i, j in zip(left, right, strict=True))
+        return total / n + Q.RIDGE / 2 * sum(c * c for c in w)
+
+    at = loss(r.weights)
+    for k in rng.choice(Q.N_FEATURES, 8, replace=False):
+        for step in (-0.01, 0.01):
+            moved = r.weights.copy()
+            moved[k] += step
+            assert loss(moved) >= at
+    strength = sorted(sum(c * a for c, a in zip(r.weights, row, strict=True)) for row in z)
+    bad = int((good == 0).sum())
+    assert r.threshold == pytest.approx((strength[bad - 1] + strength[bad]) / 2)
+    got = r.score(texts)
+    assert got == pytest.approx([1 / (1 + math.exp(-(sum(c * a for c, a in zip(r.weights, row, strict=True)) - r.threshold))) for row in z])
+
+
 def test_pair_loss_learns_the_order():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(500, Q.N_FEATURES))
