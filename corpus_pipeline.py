@@ -11,17 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstat.llm import exact_dedup, language, mixing, near_copies, packing
-from loomstat.llm.common import documents, saved
+from loomstat.llm.common import documents, free_name, saved
 
-#: Texts whose language gets less than this share of the evidence are rejected, with those of no language.
-LEAST_SCORE = 0.3
+#: Texts of whose n-grams the language knows less than this share are rejected, with those of no language.
+LEAST_SHARE = 0.3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose text shows one of the languages; the model is trained on ``docs``."""
     model = language.train(docs)
-    made = language.predicted(docs, model)
-    return made.filter((F.col("__lang.lang_pred") != "und") & (F.col("__lang.score") >= LEAST_SCORE)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = free_name(docs, "__lang")
+    made = language.predicted(docs, model, name=found)
+    return made.filter((F.col(f"{found}.lang_pred") != "und") & (F.col(f"{found}.share") >= LEAST_SHARE)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
