@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Texts of one working chunk inside a Python worker hold at most about so many characters.
@@ -118,6 +118,21 @@ def batches_of(texts: pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[int,
         yield a, len(sizes)
 
 
+#: Shares into which a group's rows are dealt by ``with_least``.
+SHARES = 64
+
+
+def with_least(rows: DataFrame, group: str, spread: Column, value: str, name: str) -> DataFrame:
+    """``rows`` with the smallest ``value`` of their group as ``name``; no task takes more than a share of a large group.
+
+    ``spread`` is hashed to deal the rows of a group to ``SHARES`` shares.
+    """
+    rows = rows.withColumn("__share", F.pmod(F.xxhash64(spread), F.lit(SHARES)).cast("int"))
+    shares = rows.groupBy(group, "__share").agg(F.min(value).alias(name))
+    shares = shares.withColumn(name, F.min(name).over(Window.partitionBy(group)))  # SHARES rows a group at most
+    return rows.join(shares, [group, "__share"]).drop("__share")
+
+
 def bounded_sample(rows: DataFrame, group: str, key: Column, per_group: int) -> DataFrame:
     """(group, __key): for each group the ``per_group`` smallest distinct keys (hashes of a row), for fitting classifiers.
 

@@ -102,8 +102,9 @@ def _pairs(rows: DataFrame) -> DataFrame:
 def links(texts: DataFrame) -> DataFrame:
     """(u, v): node and smallest node of its component, for texts (node, text; distinct nodes)."""
     keys = saved(texts.mapInArrow(_keys, "node long, key long"), "bands")
-    shared = keys.groupBy("key").agg(F.min("node").alias("v"), F.count("*").alias("n")).filter("n > 1")
-    met = saved(keys.join(shared.select("key", "v"), "key"), "met")
+    # tables on both sides of the join let Spark split the rows of a hot key
+    shared = saved(keys.groupBy("key").agg(F.min("node").alias("v"), F.count("*").alias("n")).filter("n > 1").select("key", "v"), "shared")
+    met = saved(keys.join(shared, "key"), "met")
     prints = saved(simhash.fingerprints(texts, "node", "text").select("doc_id", "fp"), "fingerprints")
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     equal = prints.join(least, "fp").select(F.col("doc_id").alias("u"), F.col("least").alias("v"))

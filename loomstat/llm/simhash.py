@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, saved, text_of
+from .common import discard, saved, text_of, with_least
 
 SEED = 42
 SHINGLE = 4
@@ -262,11 +262,12 @@ def components(edges: DataFrame, name: str = "stars") -> DataFrame:
     mark = None
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # a hub's neighbours are dealt to several tasks
+        low = with_least(both, "u", F.col("v"), "v", "m")
+        large = low.filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
         # small star: every node links its smaller neighbours and itself to the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u > v").distinct()
+        low = with_least(large, "u", F.col("v"), "v", "m")
+        small = low.select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u > v").distinct()
         before, now = now, saved(small, name)
         discard(before)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -280,9 +281,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, radius: int) -> DataFr
     nodes = marked.select("fp").distinct()
     roots = components(links(nodes, radius)).select(F.col("u").alias("fp"), F.col("v").alias("root"))
     least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    least = least.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lowest = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = saved(least.join(lowest, "root").select("fp", "root", "component_id"), "components")
+    least = saved(least.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
+    named = saved(with_least(least, "root", F.col("fp"), "least", "component_id").select("fp", "root", "component_id"), "components")
     return marked.join(named, "fp")
 
 
