@@ -11,9 +11,14 @@ Candidates, all of which are checked on the complete sets:
   pair shares one with probability 1 - (1 - s^ROWS)^BANDS, 0.9996 at 0.8. (A SimHash radius
   with that recall is about 16 bits, for which a banded index needs thousands of keys a text.)
 
-Hot keys: first every text is checked against the smallest text of each of its keys. Texts that
-this has connected need no check against each other; pairs under one key that are still in
-different components are then all checked. So a large group of copies costs a row per member.
+Hot keys: first every text is checked against the most central text of each of its keys, the one
+whose keys most texts share: the original of a group of copies, which all of them resemble, while
+two copies may resemble each other less. So a large group of copies costs a row per member. Texts
+that this has connected need no check against each other. Under keys that still hold different
+components the sets of shingles are compared in blocks: of sizes that allow the similarity, a
+bitmap per set bounds the difference from below (of two sets that differ in d shingles, at most d
+bits differ), what is left is counted exactly, and only links that connect something come out,
+never the pairs. A key of more than ``GROUP_ROWS`` texts is dealt out as pairs of chunks.
 
 Equal texts are one node, named by the hash of the text. Null ids count as larger than any id.
 """
@@ -35,6 +40,8 @@ SEED = 42
 SHINGLE = 5
 LEAST = 0.8
 BANDS, ROWS = 20, 5
+#: Texts of one key that are compared in one block.
+GROUP_ROWS = 2048
 
 _RNG = np.random.default_rng(SEED)
 _XOR = _RNG.integers(0, 2**64, BANDS * ROWS, dtype=np.uint64)
@@ -88,6 +95,73 @@ def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        made = [shingles(x.as_py()).astype("<u8").tobytes() for x in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["node", "hashes"])
+
+
+def bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """A row of ``bits`` bits for each set: bit k tells whether an odd number of its hashes ends in k."""
+    odd = np.array([np.bincount((x & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1 for x in sets], dtype=np.uint8)
+    return np.packbits(odd, axis=1).view(np.uint64)
+
+
+def connected(roots: list[int], sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Positions of pairs of near sets that connect what ``roots`` (a component of each set) and earlier pairs don't."""
+    parent = {r: r for r in roots}
+
+    def top(r: int) -> int:
+        while parent[r] != r:
+            parent[r] = parent[parent[r]]
+            r = parent[r]
+        return r
+
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    order = np.argsort(sizes, kind="stable")
+    kind = np.array([int(n).bit_length() for n in sizes[order]])  # a set and one near it are of one kind or the next
+    for c in np.unique(kind).tolist():
+        here = order[np.isin(kind, (c, c + 1))]
+        n, maps = sizes[here], bitmaps([sets[k] for k in here], 64 << max(0, c - 3))
+        for i in range(int((kind == c).sum())):
+            end = int(np.searchsorted(n, n[i] / LEAST + 1e-9, side="right"))
+            apart = np.bitwise_count(maps[i] ^ maps[i + 1 : end]).sum(axis=1, dtype=np.int64)
+            # Jaccard s of sizes a and b: the sets differ in (a + b) (1 - s) / (1 + s)
+            for j in (i + 1 + np.flatnonzero(apart <= (n[i] + n[i + 1 : end]) * (1 - LEAST) / (1 + LEAST) + 1e-9)).tolist():
+                a, b = top(roots[here[i]]), top(roots[here[j]])
+                if a != b and jaccard(sets[here[i]], sets[here[j]]) >= LEAST:
+                    parent[max(a, b)] = min(a, b)
+                    yield int(here[i]), int(here[j])
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # rows come sorted by group; a group that is not over yet is carried to the next batch
+    held: list[tuple[int, int, int, bytes]] = []
+
+    def out(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
+        at, links = 0, []
+        while at < len(rows):
+            end = at
+            while end < len(rows) and rows[end][0] == rows[at][0]:
+                end += 1
+            part, at = sorted(rows[at:end]), end
+            nodes = [r[1] for r in part]
+            found = connected([r[2] for r in part], [np.frombuffer(r[3], "<u8") for r in part])
+            links += [(max(nodes[i], nodes[j]), min(nodes[i], nodes[j])) for i, j in found]
+        columns = list(zip(*links, strict=True)) if links else [[], []]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["u", "v"])
+
+    for batch in batches:
+        held += zip(*(c.to_pylist() for c in batch.columns), strict=True)
+        cut = len(held)
+        while cut and held[cut - 1][0] == held[-1][0]:
+            cut -= 1
+        if cut:
+            yield out(held[:cut])
+            held = held[cut:]
+    yield out(held)
+
+
 def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of the distinct pairs (u, v) that are near copies."""
     x = pairs.join(texts.select(F.col("node").alias("u"), F.col("text").alias("x")), "u")
@@ -102,9 +176,12 @@ def _pairs(rows: DataFrame) -> DataFrame:
 def links(texts: DataFrame) -> DataFrame:
     """(u, v): node and smallest node of its component, for texts (node, text; distinct nodes)."""
     keys = saved(texts.mapInArrow(_keys, "node long, key long"), "bands")
-    # tables on both sides of the join let Spark split the rows of a hot key
-    shared = saved(keys.groupBy("key").agg(F.min("node").alias("v"), F.count("*").alias("n")).filter("n > 1").select("key", "v"), "shared")
-    met = saved(keys.join(shared, "key"), "met")
+    # tables on both sides of the joins let Spark split the rows of a hot key
+    shared = saved(keys.groupBy("key").count().filter("count > 1"), "shared")
+    held = saved(keys.join(shared, "key"), "held")
+    central = saved(held.groupBy("node").agg(F.sum("count").alias("weight")), "central")
+    hubs = saved(held.join(central, "node").groupBy("key").agg(F.max(F.struct("weight", "node")).alias("hub")).select("key", F.col("hub.node").alias("v")), "hubs")
+    met = saved(held.select("node", "key").join(hubs, "key"), "met")
     prints = saved(simhash.fingerprints(texts, "node", "text").select("doc_id", "fp"), "fingerprints")
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     equal = prints.join(least, "fp").select(F.col("doc_id").alias("u"), F.col("least").alias("v"))
@@ -115,16 +192,17 @@ def links(texts: DataFrame) -> DataFrame:
     first = _pairs(met.select(F.col("node").alias("u"), "v").union(equal).union(close.select("a", "b")))
     edges = saved(_near(first, texts), "near")
     roots = simhash.components(edges).withColumnRenamed("u", "node")
-    # pairs under one key whose texts are in different components
+    # keys whose texts are still in different components
     placed = met.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("v", "node").alias("root"))
-    groups = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("key")
+    groups = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n")).filter("a < b").select("key", "n")
     placed = saved(placed.join(groups, "key"), "placed")
-    parts = placed.select("key", "root").distinct()
-    apart = parts.join(parts.withColumnRenamed("root", "other"), "key").filter("root < other")
-    left = apart.join(placed.withColumnRenamed("node", "u"), ["key", "root"])
-    cross = left.join(placed.select("key", F.col("root").alias("other"), F.col("node").alias("v")), ["key", "other"])
-    more = _near(_pairs(cross.select("u", "v")).join(first, ["u", "v"], "left_anti"), texts)
-    return simhash.components(edges.union(more))
+    sets = texts.join(placed.select("node").distinct(), "node").select("node", "text").mapInArrow(_sets, "node long, hashes binary")
+    chunks = F.when(F.col("n") > GROUP_ROWS, F.ceil(F.col("n") * 2 / GROUP_ROWS).cast("int")).otherwise(1)
+    dealt = placed.join(saved(sets, "sets"), "node").withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks").cast("long")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    more = dealt.select(group.alias("grp"), "node", "root", "hashes").repartition("grp").sortWithinPartitions("grp").mapInArrow(_compare, "u long, v long")
+    return simhash.components(edges.union(more.distinct()))
 
 
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

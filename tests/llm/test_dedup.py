@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 from collections import Counter, defaultdict
 
@@ -185,3 +186,62 @@ def test_chained_copies_of_a_hot_key_are_one_component(docs):
     base = [f"w{k}" for k in range(300)]
     chain = [" ".join(base[6 * k :] + [f"n{x}" for x in range(6 * k)]) for k in range(12)]  # neighbours only
     assert [r["doc_id"] for r in N.keep_one_each(docs([(k, x, "en", "a") for k, x in enumerate(chain)])).collect()] == [0]
+
+
+def test_sets_under_one_key_are_connected_as_by_brute_force():
+    rng = np.random.default_rng(2)
+    sets = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
+    for _ in range(12):
+        base = rng.integers(0, 2**64, int(rng.choice([1, 3, 9, 60, 500])), dtype=np.uint64)
+        for _ in range(8):
+            kept = base[rng.random(len(base)) > rng.choice([0.02, 0.1, 0.15])]
+            sets.append(np.unique(np.concatenate([kept, rng.integers(0, 2**64, int(len(base) * rng.choice([0, 0.05])), dtype=np.uint64)])))
+    sets += sets[5:9]
+    nodes = list(range(len(sets)))
+    root = list(nodes)
+    root[40] = 20  # connected before
+    want = {k: k for k in nodes}
+
+    def top(of, k):
+        while of[k] != k:
+            k = of[k]
+        return k
+
+    want[40] = 20
+    for i, j in itertools.combinations(nodes, 2):
+        if N.jaccard(sets[i], sets[j]) >= N.LEAST:
+            a, b = sorted((top(want, i), top(want, j)))
+            want[b] = a
+    got = {k: k for k in nodes}
+    got[40] = 20
+    links = list(N.connected(root, sets))
+    for i, j in links:
+        assert N.jaccard(sets[i], sets[j]) >= N.LEAST and top(got, i) != top(got, j)
+        a, b = sorted((top(got, i), top(got, j)))
+        got[b] = a
+    assert [top(got, k) for k in nodes] == [top(want, k) for k in nodes]
+
+
+@pytest.mark.parametrize("group_rows", [8, 2048])
+def test_groups_without_a_center(spark, docs, monkeypatch, group_rows):
+    """Two groups of copies and strangers share a passage; no row per pair, the components of brute force."""
+    monkeypatch.setattr(N, "GROUP_ROWS", group_rows)
+    rng = random.Random(12)
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = []
+    for k in range(90):
+        tail = [f"{'ab'[k % 2]}{j}" if k % 3 else f"s{k}x{j}" for j in range(30)]
+        for _ in range(rng.choice((0, 1, 2))):
+            tail[rng.randrange(30)] = f"r{rng.random()}"
+        rows.append((k, passage + " " + " ".join(tail), None, None))
+    made = N.keep_one_each(docs(rows)).select("doc_id").collect()
+    sets = [N.shingles(r[1]) for r in rows]
+    root = list(range(90))
+    for _ in range(90):
+        before = list(root)
+        for i, j in itertools.combinations(range(90), 2):
+            if N.jaccard(sets[i], sets[j]) >= N.LEAST:
+                root[i] = root[j] = min(root[i], root[j])
+        if root == before:
+            break
+    assert {r[0] for r in made} == set(root)
