@@ -67,8 +67,14 @@ MARKERS = r"(?m)^[ \t]*(?:[0-9]{1,2}[.)]|\([A-Za-z0-9]\))[ \t]+"
 #: In the lowered form: a first line of at most six words that ends in "license" and perhaps one word in brackets.
 HEADING = r"\A[ \n]*(?:[\p{L}\p{N}]+ +){0,5}license(?: +[\p{L}\p{N}]{1,8})? *\n"
 
-_SPELT = "|".join(a for a, _ in SPELLINGS)
+# A quick test whether a text has any of the words: three classes of first letters turn most words away before the words are tried.
+_STARTS = sorted({a[:2] for a, _ in SPELLINGS})
+_FIRST = "".join(f"[{''.join(sorted({a[k] for a, _ in SPELLINGS}))}]" for k in range(3))
+_SPELT = f"(?={_FIRST})(?:" + "|".join(f"{x}(?:{'|'.join(a[2:] for a, _ in SPELLINGS if a[:2] == x)})" for x in _STARTS) + ")"
 _PHRASED = "|".join(a for a, _ in PHRASES)
+# Other characters than letters and digits: ASCII ones (a class that Java tests by table), and all others.
+_ASCII_GAPS = r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f]+"
+_OTHER_GAP = r"[^\x00-\x7f\p{L}\p{N}]"
 
 
 @cache
@@ -78,48 +84,50 @@ def known_texts() -> tuple[tuple[str, str], ...]:
     return NOTICES + tuple((f.stem.removesuffix("-Regents"), f.read_text(encoding="utf-8")) for f in files)
 
 
-def _phrases(form: Column) -> Column:
-    """``form`` has one blank around each word; of phrases in a row every second shares a blank, hence twice."""
-    made = form
-    for a, b in PHRASES * 2:
-        made = F.replace(made, F.lit(f" {a} "), F.lit(f" {b} "))
-    return F.when(F.rlike(form, F.lit(f" (?:{_PHRASED}) ")), made).otherwise(form)
+# Every step below is a projection of its own: what it uses more than once is worked out once.
 
 
-def _lowered(text: Column) -> Column:
-    """Lines in canonical form (but for phrases), each word with a blank before and after it."""
-    kept = F.regexp_replace(F.regexp_replace(text, f"(?d){DROPPED}", ""), f"(?d){MARKERS}", "")
-    apart = F.concat(F.lit(" "), F.replace(F.regexp_replace(F.lower(kept), r"[^\p{L}\p{N}\n]+", "  "), F.lit("\n"), F.lit(" \n ")), F.lit(" "))
-    spelt = apart
-    for a, b in SPELLINGS:
-        spelt = F.replace(spelt, F.lit(f" {a} "), F.lit(f" {b} "))
-    return F.when(F.rlike(apart, F.lit(f" (?:{_SPELT}) ")), spelt).otherwise(apart)
+def _replaced(form: str, pairs) -> Column:
+    # a fold over whole texts: as nested calls the generated code would grow too large to compile
+    listed = F.array(*[F.struct(F.lit(f" {a} ").alias("a"), F.lit(f" {b} ").alias("b")) for a, b in pairs])
+    return F.aggregate(listed, F.col(form), lambda made, pair: F.replace(made, pair["a"], pair["b"]))
 
 
-def _whole(lowered: Column) -> Column:
-    return F.trim(_phrases(F.regexp_replace(F.regexp_replace(lowered, HEADING, " "), "[ \n]+", " ")))
+def _phrases(rows: DataFrame, form: str) -> DataFrame:
+    """``form`` has one blank around each word; of phrases in a row every second shares a blank, hence twice."""
+    return rows.withColumn(form, F.when(F.rlike(form, F.lit(f" (?:{_PHRASED}) ")), _replaced(form, PHRASES * 2)).otherwise(F.col(form)))
 
 
-def _line(line: Column) -> Column:
-    return F.trim(_phrases(F.replace(line, F.lit("  "), F.lit(" "))))
+def _with_forms(rows: DataFrame) -> DataFrame:
+    """``text`` gives way to ``lowered`` (lines in canonical form but for phrases, a blank before and after each word) and ``whole``."""
+    kept = F.regexp_replace(F.regexp_replace("text", f"(?d){DROPPED}", ""), f"(?d){MARKERS}", "")
+    rows = rows.withColumn("lowered", F.regexp_replace(F.lower(kept), _ASCII_GAPS, "  ")).drop("text")
+    rows = rows.withColumn("lowered", F.when(F.rlike("lowered", F.lit(_OTHER_GAP)), F.regexp_replace("lowered", f"(?: |{_OTHER_GAP})+", "  ")).otherwise(F.col("lowered")))
+    rows = rows.withColumn("lowered", F.concat(F.lit(" "), F.replace(F.col("lowered"), F.lit("\n"), F.lit(" \n ")), F.lit(" ")))
+    rows = rows.withColumn("lowered", F.when(F.rlike("lowered", F.lit(f" (?:{_SPELT}) ")), _replaced("lowered", SPELLINGS)).otherwise(F.col("lowered")))
+    form = F.replace(F.regexp_replace("lowered", HEADING, " "), F.lit("\n"), F.lit(" "))
+    for _ in range(3):
+        form = F.replace(form, F.lit("  "), F.lit(" "))
+    rows = rows.withColumn("whole", form)
+    rows = rows.withColumn("whole", F.when(F.contains("whole", F.lit("  ")), F.regexp_replace("whole", " +", " ")).otherwise(F.col("whole")))  # after empty lines
+    return _phrases(rows, "whole").withColumn("whole", F.trim("whole"))
 
 
 def known_digests(spark: SparkSession, known=None) -> DataFrame:
     """(digest, license) of the known texts; each text as a whole."""
     rows = spark.createDataFrame([(name, text) for name, text in known or known_texts()], "license string, text string")
-    forms = rows.select("license", _whole(_lowered(F.col("text"))).alias("form")).filter("form <> ''")
-    return forms.select(F.sha2("form", 256).alias("digest"), "license").distinct()
+    return _with_forms(rows).filter("whole <> ''").select(F.sha2("whole", 256).alias("digest"), "license").distinct()
 
 
 def scan(docs: DataFrame, known=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, whole_license (of the entire text), n_lines (that are a known text), licenses (sorted, joined by commas)."""
     table = known_digests(docs.sparkSession, known)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), _lowered(text).alias("lowered"))
+    rows = _with_forms(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")))
     # position 0 is the entire text, the others are its lines
-    units = rows.select("doc_id", "text_hash", F.posexplode(F.concat(F.array(_whole(F.col("lowered"))), F.split("lowered", "\n"))).alias("pos", "form"))
-    form = F.when(F.col("pos") == 0, F.col("form")).otherwise(_line(F.col("form")))
-    hits = units.select("doc_id", "text_hash", "pos", F.sha2(form, 256).alias("digest")).join(F.broadcast(table), "digest")  # the known texts are a parameter of fixed size
+    units = rows.select("doc_id", "text_hash", F.posexplode(F.concat(F.array("whole"), F.split("lowered", "\n"))).alias("pos", "form"))
+    units = _phrases(units.withColumn("form", F.replace(F.col("form"), F.lit("  "), F.lit(" "))), "form")
+    hits = units.select("doc_id", "text_hash", "pos", F.sha2(F.trim("form"), 256).alias("digest")).join(F.broadcast(table), "digest")  # the known texts are a parameter of fixed size
     # rows that repeat id and text share their findings
     found = hits.groupBy("doc_id", "text_hash").agg(
         F.min(F.when(F.col("pos") == 0, F.col("license"))).alias("whole_license"), F.count_distinct(F.when(F.col("pos") > 0, F.col("pos"))).alias("n_lines"),
