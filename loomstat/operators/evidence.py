@@ -124,15 +124,24 @@ def cluster_context(targets: DataFrame, universe: DataFrame, kind: str = "NATION
     })
 
 
-def employment_consistency(base: DataFrame, evidence: DataFrame) -> DataFrame:
-    """Per entity: the register's worker total against external counts of the site, the worst difference decides."""
+def employment_comparisons(base: DataFrame, evidence: DataFrame) -> DataFrame:
+    """A row per external employment count of a site whose register entry has workers: source, both totals, difference in percent, flag."""
     external = evidence.filter((F.col("type") == "EMPLOYMENT_COUNT") & F.col("site_attributable") & F.col("numeric_value").isNotNull()).select("entity", "source", "numeric_value")
-    made = base.select("entity", "worker_total").join(external, "entity", "left")
-    difference = F.when(F.col("worker_total") > 0, F.abs(F.col("numeric_value") - F.col("worker_total")) / F.col("worker_total") * 100.0)
-    worst = F.max(difference)
-    made = made.groupBy("entity", "worker_total").agg(F.count(difference).alias("comparisons"), worst.alias("worst"))
+    made = base.filter("worker_total > 0").select("entity", "worker_total").join(external, "entity")
+    made = made.withColumn("difference_pct", F.abs(F.col("numeric_value") - F.col("worker_total")) / F.col("worker_total") * 100.0)
+    flag = F.when(F.col("difference_pct") <= 10, "WITHIN_10_PERCENT").when(F.col("difference_pct") <= 25, "DIFFERENCE_10_TO_25_PERCENT").otherwise("DIFFERENCE_OVER_25_PERCENT")
+    return made.select("entity", "source", "worker_total", F.col("numeric_value").alias("external_worker_total"), "difference_pct", flag.alias("flag"))
+
+
+def employment_consistency(base: DataFrame, evidence: DataFrame) -> DataFrame:
+    """Per entity: the register's worker total against external counts of the site, the worst difference decides; the comparisons as a list."""
+    pairs = employment_comparisons(base, evidence)
+    one = F.struct("source", "external_worker_total", rounded(F.col("difference_pct"), 2).alias("absolute_difference_pct"), "flag")
+    found = pairs.groupBy("entity").agg(F.array_sort(F.collect_list(one)).alias("list"), F.max("difference_pct").alias("worst"))
+    made = base.select("entity", "worker_total").join(found, "entity", "left")
     label = F.when(F.col("worst").isNull(), "NOT_CHECKED").when(F.col("worst") <= 10, "CONSISTENT_WITHIN_10_PERCENT").when(F.col("worst") <= 25, "MODERATE_DIFFERENCE").otherwise("MATERIAL_DIFFERENCE")
-    return made.select("entity", "comparisons", rounded(F.col("worst"), 2).alias("worst_difference_pct"), label.alias("value"))
+    n = F.coalesce(F.size("list"), F.lit(0)).cast("long")
+    return made.select("entity", F.when(n > 0, n).otherwise(0).alias("comparisons"), rounded(F.col("worst"), 2).alias("worst_difference_pct"), label.alias("value"), "list")
 
 
 def observations_by_type(observations: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import set_page, url_key
+from ..functions.text import admin_name, set_page, url_key
 from ..sources.access import FetchError
 from ..sources.html import parsed
 from ..sources.store import LogStore, last_known
@@ -509,6 +509,58 @@ def ingest_exposures(store: LogStore, observations: DataFrame) -> int:
     return store.append_new("exposures", exposure.fingerprinted(exposure.validated(observations)), ["observation_sha256"])
 
 
+_UNIT = ("level", "division_code", "division_name_en", "division_name_bn", "district_code", "district_name_en", "district_name_bn", "upazila_code", "upazila_name_en", "upazila_name_bn", "source_name", "source_vintage")
+UNITS = f"geo_ref string, {', '.join(f'{c} string' for c in _UNIT)}, seq long"
+ALIASES = "level string, alias string, key string, geo_ref string, source_name string, note string"
+EXPOSURE_SOURCES = "source_name string, authority string, methodology_note string, source_reference string, imported_at timestamp, seq long"
+
+
+def store_units(store: LogStore, units: DataFrame, aliases: DataFrame | None = None) -> dict[str, int]:
+    """Add administrative units, the newest state of a reference counts; aliases (level, alias, geo_ref, source_name, note) that are known are left as they are."""
+    if units.isEmpty():
+        raise ValueError("there are no units to store")
+    rows = units.select("geo_ref", *[F.col(c) if c in units.columns else F.lit(None).cast("string").alias(c) for c in _UNIT])
+    n = store.append("geography_units", rows.withColumn("seq", F.lit(time.time_ns())))
+    if aliases is None:
+        return {"units": n, "aliases": 0}
+    keyed = aliases.select("level", "alias", admin_name(F.col("alias")).alias("key"), "geo_ref", "source_name", "note")
+    return {"units": n, "aliases": store.append_new("geography_aliases", keyed, ["level", "key", "geo_ref"])}
+
+
+def stored_units(store: LogStore) -> tuple[DataFrame, DataFrame]:
+    """(units, aliases) for ``exposure.resolve_places``; fails if none were stored."""
+    units = store.read("geography_units", UNITS)
+    if units.isEmpty():
+        raise ValueError("no administrative units are stored")
+    return latest_by(units, ["geo_ref"], [F.desc("seq")]).drop("seq"), store.read("geography_aliases", ALIASES)
+
+
+def register_exposure_source(store: LogStore, source_name: str, authority: str, methodology_note: str, at: str, source_reference: str | None = None) -> None:
+    """Where a source's exposure facts come from; a later registration takes the place of an earlier one."""
+    given = {"source_name": source_name, "authority": authority, "methodology_note": methodology_note}
+    if lacking := [k for k, v in given.items() if not v.strip()]:
+        raise ValueError(f"{lacking[0]} is required")
+    row = store.spark.createDataFrame([(*(v.strip() for v in given.values()), source_reference)], "source_name string, authority string, methodology_note string, source_reference string")
+    store.append("exposure_sources", row.select("*", F.lit(at).cast("timestamp").alias("imported_at"), F.lit(time.time_ns()).alias("seq")))
+
+
+def exposure_sources(store: LogStore) -> DataFrame:
+    return latest_by(store.read("exposure_sources", EXPOSURE_SOURCES), ["source_name"], [F.desc("seq")]).drop("seq")
+
+
+#: What products may show of a stored exposure fact, in the order of the columns.
+EXPOSURE_FACT = (
+    "source", "domain", "metric_code", "metric_label", "spatial_scope", "establishment_ref", "district", "upazila", "value_text", "value_numeric", "unit", "direction", "source_vintage", "observed_at", "evidence_note",
+    "canonical_geo_ref", "geography_match_type", "source_geography_label",
+)
+
+
+def exposure_facts(store: LogStore) -> DataFrame:
+    """The stored exposure facts in order, without columns of the store's own."""
+    rows = store.spark.read.parquet(store.path("exposures"))
+    return rows.select(*EXPOSURE_FACT).orderBy("source", "domain", "metric_code", "spatial_scope", "district", "upazila", "establishment_ref")
+
+
 def ingest_risk_page(store: LogStore, page: DataFrame, units: DataFrame, source: str, vintage: str | None, observed_at: str) -> dict:
     """Stage a district risk table (one row: html, url); districts that can't be placed are listed, not guessed."""
     made = parsed(page, "risk").select("parsed")

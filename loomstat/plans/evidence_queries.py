@@ -240,6 +240,15 @@ def employment_consistency(spark, sf_dir):
     return E.employment_consistency(base, E.approved(rows)).select("entity", "comparisons", "value")
 
 
+@query("employment_comparisons", f"""WITH {EVENTS_SQL}, b AS (SELECT DISTINCT entity, entity % 100 AS w FROM ev)
+ SELECT b.entity, source, w AS worker_total, v AS external_worker_total, CASE WHEN abs(v - w) / w * 100.0 <= 10 THEN 'WITHIN_10_PERCENT' WHEN abs(v - w) / w * 100.0 <= 25 THEN 'DIFFERENCE_10_TO_25_PERCENT' ELSE 'DIFFERENCE_OVER_25_PERCENT' END AS flag
+ FROM b JOIN ev ON ev.entity = b.entity AND type = 'EMPLOYMENT_COUNT' AND site AND v IS NOT NULL WHERE w > 0""")
+def employment_comparisons(spark, sf_dir):
+    rows = events(spark, sf_dir)
+    base = rows.select("entity").distinct().withColumn("worker_total", F.col("entity") % 100)
+    return E.employment_comparisons(base, E.approved(rows)).drop("difference_pct")
+
+
 @query("product_payload", f"""WITH {EVENTS_SQL} SELECT entity, 'DIFE:' || entity AS establishment_ref, count(*) AS evidence_items, count(*) FILTER (WHERE type = 'HS_CODE') AS hs_codes FROM ev GROUP BY ALL""")
 def product_payload(spark, sf_dir):
     rows = events(spark, sf_dir)

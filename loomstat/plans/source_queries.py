@@ -15,11 +15,12 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import lifecycle, runs
+from ..operators import exposure, lifecycle, runs
 from ..operators.quality import SnapshotIntegrityError
 from ..sources import html, tables
 from ..sources.access import FetchError
 from ..sources.store import LogStore
+from ..vocab import EXPOSURE_DOMAINS
 from .domain import REGISTRY_SQL, registry, table
 from .registry import query
 
@@ -395,3 +396,45 @@ def exposure_ingest(spark, sf_dir):
         raise ValueError(f"{first}, then {again}")
     made = spark.read.parquet(store.path("exposures"))
     return made.groupBy(F.col("canonical_geo_ref").alias("geo_ref")).agg(F.count("*").alias("observations"), F.count_distinct("observation_sha256").alias("inserted_once"))
+
+
+@query(
+    "stored_geography",
+    """SELECT 'BBS:DIST:' || n_regionkey || ':' || n_nationkey AS geo_ref, CASE WHEN n_nationkey % 3 = 0 THEN 'new ' ELSE '' END || n_name AS district_name_en, r_name AS division_name_en,
+  CASE WHEN n_nationkey % 2 = 0 THEN 'APPROVED_ALIAS' ELSE 'NO_MATCH' END AS resolved FROM nation JOIN region ON r_regionkey = n_regionkey""",
+)
+def stored_geography(spark, sf_dir):
+    """Units are stored twice, a third of them renamed; every other one has an alias, which is stored once and resolves its name."""
+    store = LogStore(spark, scratch(spark, "geography-store"))
+    rows = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    units = rows.select(F.lit("DISTRICT").alias("level"), joined("BBS:DIST:", F.col("n_regionkey"), ":", F.col("n_nationkey")).alias("geo_ref"), F.col("r_name").alias("division_name_en"), F.col("n_name").alias("district_name_en"), F.col("n_nationkey").alias("k"))
+    aliases = units.filter("k % 2 = 0").select("level", joined("Old place ", F.col("k")).alias("alias"), "geo_ref", F.lit("s").alias("source_name"), F.lit("n").alias("note"))
+    runs.store_units(store, units.drop("k"), aliases)
+    renamed = units.filter("k % 3 = 0").withColumn("district_name_en", joined("new ", F.col("district_name_en")))
+    if runs.store_units(store, renamed.drop("k"), aliases)["aliases"]:
+        raise ValueError("an alias was stored twice")
+    stored, known = runs.stored_units(store)
+    asked = units.select(F.col("geo_ref").alias("ask_id"), "level", joined("old PLACE ", F.col("k")).alias("name"), F.lit(None).cast("string").alias("division"), F.lit(None).cast("string").alias("district"))
+    found = exposure.resolve_places(asked, stored, known).select("ask_id", F.when((F.col("status") == "NO_MATCH") | (F.col("geo_ref") == F.col("ask_id")), F.col("status")).alias("resolved"))
+    return stored.join(found, F.col("geo_ref") == F.col("ask_id")).select("geo_ref", "district_name_en", "division_name_en", "resolved")
+
+
+@query(
+    "exposure_facts",
+    """SELECT 'DDM' AS source, 'authority' AS authority, 'second' AS methodology_note, n_name AS district, 'DISTRICT' AS spatial_scope, n_nationkey * 1.5 AS value_numeric
+  FROM nation""",
+)
+def exposure_facts(spark, sf_dir):
+    """Facts are stored once each and read without the store's own columns, with the provenance that was registered last."""
+    store = LogStore(spark, scratch(spark, "facts"))
+    none = F.lit(None).cast("string")
+    rows = table(spark, sf_dir, "nation").select(
+        F.lit("DDM").alias("source"), F.lit(sorted(EXPOSURE_DOMAINS)[0]).alias("domain"), F.lit("m").alias("metric_code"), F.lit("Metric").alias("metric_label"), F.lit("DISTRICT").alias("spatial_scope"),
+        F.col("n_name").alias("district"), (F.col("n_nationkey") * 1.5).alias("value_numeric"), F.lit(None).cast("string").alias("direction"),
+        *[none.alias(c) for c in ("establishment_ref", "upazila", "value_text", "unit", "source_vintage", "observed_at", "evidence_note", "canonical_geo_ref", "geography_match_type", "source_geography_label")],
+    )
+    for note in ("first", "second"):
+        runs.register_exposure_source(store, " DDM ", "authority", note, "2024-01-01")
+        runs.ingest_exposures(store, rows)
+    made = runs.exposure_facts(store)
+    return made.join(F.broadcast(runs.exposure_sources(store)), F.col("source") == F.col("source_name")).select("source", "authority", "methodology_note", "district", "spatial_scope", "value_numeric")  # a row per source

@@ -200,3 +200,22 @@ def test_exposures(spark, tmp_path):
     bad = spark.read.parquet(store.path("exposures")).drop("observation_sha256").withColumn("domain", F.lit("?"))
     with pytest.raises(ValueError, match="unsupported domain"):
         runs.ingest_exposures(store, bad)
+
+
+def test_stored_geography_and_provenance(spark, tmp_path):
+    store = LogStore(spark, str(tmp_path / "s"))
+    with pytest.raises(ValueError, match="no administrative units"):
+        runs.stored_units(store)
+    units = spark.createDataFrame([("BBS:DIV:1", "DIVISION", "A")], "geo_ref string, level string, division_name_en string")
+    with pytest.raises(ValueError, match="no units"):
+        runs.store_units(store, units.limit(0))
+    aliases = spark.createDataFrame([("DIVISION", "Old A", "BBS:DIV:1", "s", "n"), ("DIVISION", "old  a", "BBS:DIV:1", "s", "again")], "level string, alias string, geo_ref string, source_name string, note string")
+    assert runs.store_units(store, units, aliases) == {"units": 1, "aliases": 1}
+    assert runs.store_units(store, units.withColumn("division_name_en", F.lit("B")), aliases) == {"units": 1, "aliases": 0}
+    stored, known = runs.stored_units(store)
+    assert [(r["geo_ref"], r["division_name_en"]) for r in stored.collect()] == [("BBS:DIV:1", "B")] and known.count() == 1
+    with pytest.raises(ValueError, match="authority is required"):
+        runs.register_exposure_source(store, "s", " ", "note", "2024-01-01")
+    for note in ("one", "two"):
+        runs.register_exposure_source(store, "s ", "a", note, "2024-01-01", "ref")
+    assert [(r["source_name"], r["methodology_note"], r["source_reference"]) for r in runs.exposure_sources(store).collect()] == [("s", "two", "ref")]
