@@ -15,14 +15,14 @@ from ..vocab import EXTERNAL_SOURCES
 def eligible(source: Column, family: Column) -> Column:
     """Whether a source can speak of a sector family."""
     made = F.lit(False)
-    for name, (_, _, families) in EXTERNAL_SOURCES.items():
+    for name, (_, families) in EXTERNAL_SOURCES.items():
         made = F.when(source == name, F.lit(True) if families is None else family.isin(*families)).otherwise(made)
     return made
 
 
 def linkage(source: Column) -> Column:
     made = F.lit(None).cast("string")
-    for name, (kind, _, _) in EXTERNAL_SOURCES.items():
+    for name, (kind, _) in EXTERNAL_SOURCES.items():
         made = F.when(source == name, kind).otherwise(made)
     return made
 
