@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections import deque
 from collections.abc import Mapping
 
@@ -26,19 +27,34 @@ def _of(values: Mapping[str, int], key: Column) -> Column:
 def quota_sample(candidates: DataFrame, target: int = 2000, sectors: Mapping[str, int] = SECTOR_TARGETS, geographies: Mapping[str, int] = GEOGRAPHY_TARGETS, position: str | None = None) -> DataFrame:
     """(id, sector_family, geography_group, selection_stage): sector quotas first, then geography floors, then the rest up to the target.
 
-    Strata are disjoint, so each stage is one window. A repeated id counts once, the last by ``position``.
+    Each stage keeps the smallest ids of its strata, at most as many as its quotas ask for, so that
+    Spark drops the others before the shuffle; what the stages hold together is bounded by the
+    quotas and the target. A repeated id counts once: the last by ``position``, else the row that
+    sorts first.
     """
-    rows = candidates.select("id", "sector_family", "geography_group", *([position] if position else []))
-    rows = distinct_last(rows, ["id"], position).drop(position) if position else rows.dropDuplicates(["id"])
-    order = lambda *by: Window.partitionBy(*by).orderBy("id")
-    ranked = rows.withColumn("in_quota", F.row_number().over(order("sector_family")) <= _of(sectors, F.col("sector_family")))
-    had = F.sum(F.col("in_quota").cast("int")).over(Window.partitionBy("geography_group"))
-    need = F.greatest(F.lit(0), _of(geographies, F.col("geography_group")) - had)
-    ranked = ranked.withColumn("in_floor", ~F.col("in_quota") & (F.row_number().over(Window.partitionBy("geography_group", "in_quota").orderBy("id")) <= need))
-    stage = F.when(F.col("in_quota"), 0).when(F.col("in_floor"), 1).otherwise(2)
-    # of each stage no more than the target can count, which bounds what the last window sees
-    short = ranked.withColumn("stage", stage).withColumn("k", F.row_number().over(order("stage"))).filter(F.col("k") <= target)
-    final = short.withColumn("n", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("stage", "id"))).filter(F.col("n") <= target)
+    if position:
+        rows = distinct_last(candidates.select("id", "sector_family", "geography_group", position), ["id"], position).drop(position)
+    else:
+        least = F.min(F.struct("sector_family", "geography_group")).alias("s")
+        rows = candidates.groupBy("id").agg(least).select("id", "s.*")
+
+    def smallest(of: DataFrame, by: str, most: int, quota: Column) -> DataFrame:
+        ranked = of.withColumn("k", F.row_number().over(Window.partitionBy(by).orderBy("id"))).filter(F.col("k") <= most)
+        return ranked.filter(F.col("k") <= quota).drop("k")
+
+    def without(of: DataFrame, taken: DataFrame) -> DataFrame:
+        ids = F.broadcast(taken.select(F.col("id").alias("__taken")))  # as many rows as the quotas at most
+        return of.join(ids, F.col("id").eqNullSafe(F.col("__taken")), "left_anti")
+
+    quota = smallest(rows, "sector_family", max(sectors.values(), default=0), _of(sectors, F.col("sector_family")))
+    rest = without(rows, quota)
+    had = F.broadcast(quota.groupBy(F.col("geography_group").alias("__group")).agg(F.count("*").alias("had")))  # a row per geography group
+    need = F.greatest(F.lit(0), _of(geographies, F.col("geography_group")) - F.coalesce("had", F.lit(0)))
+    asked = rest.filter(F.col("geography_group").isin(*geographies)).join(had, F.col("geography_group") == F.col("__group"), "left")
+    floor = smallest(asked, "geography_group", max(geographies.values(), default=0), need).select(*rows.columns)
+    general = without(rest, floor).orderBy("id").limit(target)
+    stages = zip((quota, floor, general), (0, 1, 2), strict=True)
+    final = functools.reduce(DataFrame.unionByName, [df.withColumn("stage", F.lit(k)) for df, k in stages]).orderBy("stage", "id").limit(target)
     names = F.element_at(F.array(F.lit("SECTOR_QUOTA"), F.lit("GEOGRAPHY_FILL"), F.lit("GENERAL_FILL")), F.col("stage") + 1)
     return final.select("id", "sector_family", "geography_group", names.alias("selection_stage"))
 
