@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chroma, exact_dedup, language, licenses, lm, mixing, packing, quality, secrets, simhash
+from . import centroids, chroma, conversations, exact_dedup, language, licenses, lm, mixing, packing, quality, secrets, simhash
 from .common import documents, id_remainder, saved
 
 
@@ -87,6 +87,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), "__lang.lang_pred", "__lang.score")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.reports(conversations.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).drop("centroid")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_secret_scan": op2_secret_scan,
@@ -98,6 +106,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sum_of_squares_packing": op8_sum_of_squares_packing,
     "op9_grace_exact_dedup": op9_grace_exact_dedup,
     "op10_language_id": op10_language_id,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
 #: The schedule is folded slot by slot in a recursive query; weights as in mixing.source_weights.
@@ -138,4 +148,7 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*)
 FROM d
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_license_scan": licenses.oracle_sql(), "op5_pfair_mixing": OP5_SQL, "op9_grace_exact_dedup": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_license_scan": licenses.oracle_sql(), "op5_pfair_mixing": OP5_SQL, "op9_grace_exact_dedup": OP9_SQL} | {
+    "op12_conversation_repair": conversations.ORACLE_SQL,
+    "op13_centroid_clustering": centroids.oracle_sql(),
+}
