@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, chroma, conversations, exact_dedup, language, licenses, lm, mixing, packing, quality, secrets, simhash
+from . import centroids, chroma, conversations, exact_dedup, language, licenses, lm, main_text, mixing, packing, quality, secrets, simhash
 from .common import documents, id_remainder, saved
 
 
@@ -87,6 +87,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), "__lang.lang_pred", "__lang.score")
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return main_text.extracted(pages, main_text.train(pages)).drop("html")
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.reports(conversations.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
 
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sum_of_squares_packing": op8_sum_of_squares_packing,
     "op9_grace_exact_dedup": op9_grace_exact_dedup,
     "op10_language_id": op10_language_id,
+    "op11_html_extraction": op11_html_extraction,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
@@ -149,6 +155,7 @@ FROM d
 """
 
 ORACLE_SQL: dict[str, str] = {"op4_license_scan": licenses.oracle_sql(), "op5_pfair_mixing": OP5_SQL, "op9_grace_exact_dedup": OP9_SQL} | {
+    "op11_html_extraction": main_text.ORACLE_SQL,
     "op12_conversation_repair": conversations.ORACLE_SQL,
     "op13_centroid_clustering": centroids.oracle_sql(),
 }
