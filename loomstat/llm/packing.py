@@ -14,9 +14,10 @@ smallest gap is taken). Only lengths and ids travel, never texts.
 ranges of their positions, each is packed in windows of ``WINDOW_ITEMS`` neighbouring pieces
 (full ones with them), and sequences are numbered by the mean position of their tokens.
 
-Tokens: ids of a byte-level BPE whose rank file and pattern are parameters, then one end id.
-The rank file is read with tiktoken, whose ids equal those of the ``tokenizers`` file of the
-same vocabulary (tests compare them); it takes a quarter of the CPU time. Its pattern engine
+Tokens: ids of a byte-level BPE whose rank file and vocabulary file are parameters, then one end
+id. The rank file is read with tiktoken, whose ids equal those of the ``tokenizers`` file of the
+same vocabulary as it stands, its added tokens included: such a string in a text is one id (tests
+compare them, no setting changed); it takes a quarter of the CPU time. Its pattern engine
 gives up on very long runs of white space, so those are cut out at the borders the pattern
 itself has there and go to the merges directly.
 
@@ -27,6 +28,7 @@ an empty table gives an empty result; other columns are not looked at.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -52,26 +54,32 @@ _LONG_BLANK = re.compile(rf"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f
 
 
 @cache
-def encoder(ranks_path: str | None = None):
-    """The encoding of a rank file; by default the public 50k byte-level BPE."""
+def encoder(ranks_path: str | None = None, vocabulary_path: str | None = None):
+    """The encoding of a rank file, with the added tokens of its vocabulary file; by default the public 50k byte-level BPE."""
     import public_tokenizers
     import tiktoken
 
     with open(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    return tiktoken.Encoding("loomstat", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    with open(vocabulary_path or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        added = {x["content"]: x["id"] for x in json.load(file)["added_tokens"]}
+    return tiktoken.Encoding("loomstat", pat_str=public_tokenizers.PATTERN, mergeable_ranks={k: v for k, v in ranks.items() if v not in added.values()}, special_tokens=added)
 
 
 def token_ids(text: str, ranks_path: str | None = None) -> np.ndarray:
     """The ids of a whole text, whatever its length."""
     encoding = encoder(ranks_path)
-    made, at = [], 0
+    made, at, added = [], 0, tuple(encoding.special_tokens_set)
+
+    def ids(part: str) -> np.ndarray:
+        return encoding.encode_to_numpy(part, allowed_special="all")
+
     for run in _LONG_BLANK.finditer(text) if len(text) >= LONG_RUN else ():
-        # the pattern takes a run up to its last character, which may belong to what follows; at the end all of it
-        end = run.end() if run.end() == len(text) else run.end() - 1
-        made += [encoding.encode_to_numpy(text[at : run.start()], disallowed_special=()), np.array(encoding._encode_single_piece(text[run.start() : end]), dtype=np.uint32)]
+        # the pattern takes a run up to its last character, which may belong to what follows; at the end or before an added token all of it
+        end = run.end() if run.end() == len(text) or text.startswith(added, run.end()) else run.end() - 1
+        made += [ids(text[at : run.start()]), np.array(encoding._encode_single_piece(text[run.start() : end]), dtype=np.uint32)]
         at = end
-    made.append(encoding.encode_to_numpy(text[at:], disallowed_special=()))
+    made.append(ids(text[at:]))
     return np.concatenate(made) if len(made) > 1 else made[0]
 
 

@@ -21,24 +21,29 @@ def reference_ids():
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    made.encode_special_tokens = True
     return lambda text: made.encode(text, add_special_tokens=False).ids
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.text(max_size=200))
+ADDED = "<|endoftext|>"
+#: Texts into which the added token is mixed, also next to blanks and inside words.
+MIXED = st.lists(st.one_of(st.text(max_size=30), st.sampled_from([ADDED, " ", "\n\n", "<|", "|>", "endoftext", "a"])), max_size=12).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(MIXED)
 def test_ids_equal_the_tokenizer_file(reference_ids, text):
-    assert P.encoder().encode_to_numpy(text, disallowed_special=()).tolist() == reference_ids(text)
+    assert P.token_ids(text).tolist() == reference_ids(text)
 
 
-def test_special_strings_are_text(reference_ids):
-    for text in ("<|endoftext|>", "a  b", "\r\n\t  x", "ſ́"):
-        assert P.encoder().encode_to_numpy(text, disallowed_special=()).tolist() == reference_ids(text)
+@pytest.mark.parametrize("text", [ADDED, ADDED * 2, f"hello {ADDED} world", f"in{ADDED}side", f"  {ADDED}  ", f"{ADDED}\n\n{ADDED}", "<|endoftext|", ADDED.upper(), "a  b", "\r\n\t  x", "ſ́"])
+def test_added_tokens_are_one_id(reference_ids, text):
+    assert P.token_ids(text).tolist() == reference_ids(text)
+    assert P.token_ids(text).tolist().count(50256) == text.count(ADDED)
 
 
 @pytest.mark.parametrize("length", [P.LONG_RUN - 1, P.LONG_RUN, P.LONG_RUN + 1])
 @pytest.mark.parametrize("blanks", [" ", "\n", " \n", "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u200a\u2028\u202f\u205f\u3000"])
-@pytest.mark.parametrize(("before", "after"), [("", ""), ("ab", "cd"), ("a ", " 1"), ("", "!x"), ("x", ""), ("\x1c", "\x1f")])
+@pytest.mark.parametrize(("before", "after"), [("", ""), ("ab", "cd"), ("a ", " 1"), ("", "!x"), ("x", ""), ("\x1c", "\x1f"), ("", "<|endoftext|>"), ("<|endoftext|>", "<|endoftext|>x")])
 def test_ids_of_long_white_space(reference_ids, length, blanks, before, after):
     rng = random.Random(length)
     run = "".join(rng.choice(blanks) for _ in range(length))
