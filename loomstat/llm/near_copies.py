@@ -20,7 +20,8 @@ bitmap per set bounds the difference from below (of two sets that differ in d sh
 bits differ), what is left is counted exactly, and only links that connect something come out,
 never the pairs. A key of more than ``GROUP_ROWS`` texts is dealt out as pairs of chunks.
 
-Equal texts are one node, named by the hash of the text. Null ids count as larger than any id.
+Equal texts, by SHA-256, are one node with a number of its own. Null ids count as larger than any
+id. A text's set is made once; joins carry sets, not texts.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import simhash
@@ -77,9 +78,13 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def _set(hashes: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(hashes.as_py(), "<u8")
+
+
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys = [band_keys(shingles(x.as_py())) for x in batch.column(1)]
+        keys = [band_keys(_set(x)) for x in batch.column(1)]
         nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS)
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(np.concatenate(keys) if keys else [], pa.int64())], names=["node", "key"])
 
@@ -90,8 +95,8 @@ def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near = []
         for v, x, y in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
             if v != last:  # rows of one hub mostly follow each other
-                last, made = v, shingles(y.as_py())
-            near.append(jaccard(shingles(x.as_py()), made) >= LEAST)
+                last, made = v, _set(y)
+            near.append(jaccard(_set(x), made) >= LEAST)
         yield batch.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
 
 
@@ -162,10 +167,10 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out(held)
 
 
-def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the distinct pairs (u, v) that are near copies."""
-    x = pairs.join(texts.select(F.col("node").alias("u"), F.col("text").alias("x")), "u")
-    both = x.join(texts.select(F.col("node").alias("v"), F.col("text").alias("y")), "v")
+    x = pairs.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("x")), "u")
+    both = x.join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("y")), "v")
     return both.select("u", "v", "x", "y").mapInArrow(_check, "u long, v long")
 
 
@@ -175,7 +180,8 @@ def _pairs(rows: DataFrame) -> DataFrame:
 
 def links(texts: DataFrame) -> DataFrame:
     """(u, v): node and smallest node of its component, for texts (node, text; distinct nodes)."""
-    keys = saved(texts.mapInArrow(_keys, "node long, key long"), "bands")
+    sets = saved(texts.select("node", "text").mapInArrow(_sets, "node long, hashes binary"), "sets")
+    keys = saved(sets.mapInArrow(_keys, "node long, key long"), "bands")
     # tables on both sides of the joins let Spark split the rows of a hot key
     shared = saved(keys.groupBy("key").count().filter("count > 1"), "shared")
     held = saved(keys.join(shared, "key"), "held")
@@ -190,33 +196,37 @@ def links(texts: DataFrame) -> DataFrame:
     for x in ends:
         close = close.join(x, x.columns[0])
     first = _pairs(met.select(F.col("node").alias("u"), "v").union(equal).union(close.select("a", "b")))
-    edges = saved(_near(first, texts), "near")
+    edges = saved(_near(first, sets), "near")
     roots = simhash.components(edges).withColumnRenamed("u", "node")
     # keys whose texts are still in different components
     placed = met.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("v", "node").alias("root"))
     groups = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n")).filter("a < b").select("key", "n")
     placed = saved(placed.join(groups, "key"), "placed")
-    sets = texts.join(placed.select("node").distinct(), "node").select("node", "text").mapInArrow(_sets, "node long, hashes binary")
     chunks = F.when(F.col("n") > GROUP_ROWS, F.ceil(F.col("n") * 2 / GROUP_ROWS).cast("int")).otherwise(1)
-    dealt = placed.join(saved(sets, "sets"), "node").withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks").cast("long")).cast("int"))
+    dealt = placed.join(sets, "node").withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks").cast("long")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
     more = dealt.select(group.alias("grp"), "node", "root", "hashes").repartition("grp").sortWithinPartitions("grp").mapInArrow(_compare, "u long, v long")
     return simhash.components(edges.union(more.distinct()))
 
 
+def _name(text_col: str) -> Column:
+    return F.unhex(F.sha2(text_of(text_col).cast("binary"), 256))
+
+
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with the smallest id of their component, one row each, all columns as they were."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    texts = saved(rows.groupBy(F.xxhash64("text").alias("node")).agg(F.min("id").alias("id"), F.first("text").alias("text")), "texts")
+    once = rows.groupBy(_name("text").alias("name")).agg(F.min("id").alias("id"), F.first("text").alias("text"))
+    texts = saved(once.withColumn("node", F.monotonically_increasing_id()), "texts")
     roots = links(texts.select("node", "text")).select(F.col("u").alias("node"), F.col("v").alias("root"))
-    named = texts.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    # a null id comes after every other; of equal ids the smallest hash stays
-    stay = named.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "node")).alias("k"))
-    stay = stay.select(F.coalesce("k.id", F.lit(-1)).alias("__key"), F.col("k.id").isNull().alias("__null"), F.col("k.node").alias("__hash"))
+    named = texts.select("node", "id", "name").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # a null id comes after every other; of equal ids the smallest digest stays
+    stay = named.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "name")).alias("k"))
+    stay = stay.select(F.coalesce("k.id", F.lit(-1)).alias("__key"), F.col("k.id").isNull().alias("__null"), F.col("k.name").alias("__hash"))
     given = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("__key"),
-        F.col(id_col).cast("long").isNull().alias("__null"), F.xxhash64(text_of(text_col)).alias("__hash"),
+        F.col(id_col).cast("long").isNull().alias("__null"), _name(text_col).alias("__hash"),
     )
     hit = given.join(stay, ["__key", "__null", "__hash"])
     return hit.withColumn("__n", F.row_number().over(Window.partitionBy("__key", "__null", "__hash").orderBy("__key"))).filter("__n = 1").select("__row.*")
