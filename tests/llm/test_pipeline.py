@@ -88,7 +88,8 @@ def test_queries_run_and_equal_their_sql(spark, name):
     assert rows
     if name in queries.ORACLE_SQL:
         con = duckdb.connect()
-        con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_DIR}/documents.parquet')")
+        for t in ("documents", "pages", "conversations", "embeddings"):
+            con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_DIR}/{t}.parquet" + ("/*.parquet')" if os.path.isdir(f"{SF_DIR}/{t}.parquet") else "')"))
         asked = con.execute(queries.ORACLE_SQL[name])
         columns = [d[0] for d in asked.description]
         order = sorted(range(len(columns)), key=lambda k: columns[k])
