@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import admin_name, collapse
 from ..vocab import EXPOSURE_DIRECTIONS, EXPOSURE_DOMAINS, RISK_ALIASES, RISK_METRICS, SPATIAL_SCOPES
+from .audit import Audit
 from .rollups import share
 
 #: Units have a row per division, district and upazila of a country: some hundreds.
@@ -191,12 +192,17 @@ def area_profiles(registry: DataFrame, linked: DataFrame, by: str) -> DataFrame:
     return made.withColumn("coverage_pct", share(F.col("establishments_with_evidence"), F.col("registry_establishments"))).withColumnRenamed("__area", by)
 
 
-def risk_observations(records: DataFrame, units: DataFrame, aliases: DataFrame | None, source: str, vintage: str | None, observed_at: str) -> tuple[DataFrame, DataFrame]:
-    """(observations, unresolved) of district risk records (division, district and the metrics): five metrics each."""
+def risk_observations(records: DataFrame, units: DataFrame, aliases: DataFrame | None, source: str, vintage: str | None, observed_at: str, audit: Audit | None = None) -> tuple[DataFrame, DataFrame]:
+    """(observations, unresolved) of district risk records (division, district and the metrics): five metrics each.
+
+    ``audit`` counts records and unresolved ones as the observations are made.
+    """
     asked = records.withColumns({"ask_id": F.lit(""), "level": F.lit("DISTRICT"), "name": F.col("district")}).withColumnRenamed("district", "label").withColumn("district", F.lit(None).cast("string"))
     found = resolve_places(asked, units, aliases)
     bad = found.filter("geo_ref is null").select("division", F.col("label").alias("district"), "status")
     names = units.filter("level = 'DISTRICT'").select("geo_ref", "district_name_en")
+    if audit is not None:
+        found = audit.on(found, records=F.count("*"), unresolved=F.count_if(F.col("geo_ref").isNull()))
     good = found.filter("geo_ref is not null").join(names, "geo_ref")
     metrics = F.array(*[F.struct(F.lit(code).alias("metric_code"), F.lit(label).alias("metric_label"), F.col(column).alias("value_text")) for column, code, label in RISK_METRICS])
     made = good.select("*", F.explode(metrics).alias("m")).select(

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import company_core, normalize_text, token_jaccard, tokens
 from ..vocab import EXTERNAL_SOURCES
+from .audit import Audit
+from .ordering import numbered
 
 
 def eligible(source: Column, family: Column) -> Column:
@@ -32,6 +34,8 @@ def core_pairs(targets: DataFrame, records: DataFrame) -> DataFrame:
 
     Works on distinct cores, so a name that many rows bear is one row here, and a frequent word
     joins names, not rows. The join is a plain equi-join that Spark splits where it is skewed.
+    The result is all pairs with a common word, which is quadratic in a word's names: whoever
+    wants similar names only takes ``similar_cores``.
     """
 
     def words(df: DataFrame, core: str) -> DataFrame:
@@ -147,19 +151,176 @@ def resolve(targets: DataFrame, short: DataFrame) -> DataFrame:
     return rows.select("target_id", n.alias("candidates"), outcome.alias("outcome"), F.when(outcome == "AUTO_SELECTED", F.coalesce(F.when(s == 1, F.col("site")), F.col("organization"))).alias("selected_record"))
 
 
-def candidate_run(targets: DataFrame, records: DataFrame, k: int = 5) -> tuple[DataFrame, DataFrame]:
-    """Shortlist and outcomes of all targets (target_id, name, address, district, upazila, sector_family)
-    against records (record_id, source, external_key, name, address, district, upazila), one plan."""
+#: Words that may be in the table of frequent ones; others count as equally rare.
+FREQUENT_WORDS = 100_000
+#: Names contained in one another are that much alike in length, and at least so long.
+CONTAINED_SHARE, CONTAINED_LENGTH = 0.70, 5
+
+
+def word_prefixes(cores: DataFrame, frequent: DataFrame, least: float) -> DataFrame:
+    """(core, n, place, word): of each core's n words, rarest first, as many as overlap ``least`` demands.
+
+    Two sets of a and b words whose share of common words is ``least`` or more have a common word
+    among the first a - ceil(least a) + 1 and b - ceil(least b) + 1 of any one order of words.
+    """
+    words = cores.select("core", tokens(F.col("core")).alias("words")).select("core", F.size("words").alias("n"), F.explode("words").alias("word"))
+    ranked = words.join(F.broadcast(frequent), "word", "left")  # FREQUENT_WORDS rows at most
+    order = F.sort_array(F.collect_list(F.struct(F.coalesce("names", F.lit(0)).alias("names"), "word")))
+    sets = ranked.groupBy("core", "n").agg(order.alias("words"))
+    wanted = F.col("n") - F.ceil(F.col("n") * least - 1e-9).cast("int") + 1
+    return sets.select("core", "n", F.posexplode(F.slice("words", 1, wanted)).alias("place", "w")).select("core", "n", "place", "w.word")
+
+
+def overlap_pairs(t: DataFrame, r: DataFrame, least: float) -> DataFrame:
+    """(t_core, r_core) that may share ``least`` of their words: prefix, length and position filters."""
+    words = t.union(r).select(F.explode(tokens(F.col("core"))).alias("word")).groupBy("word").agg(F.count("*").alias("names"))
+    frequent = words.filter("names > 2").orderBy(F.desc("names"), "word").limit(FREQUENT_WORDS)
+    x, y = word_prefixes(t, frequent, least).alias("x"), word_prefixes(r, frequent, least).alias("y")
+    n, m = F.col("x.n"), F.col("y.n")
+    alike = (n >= F.ceil(m * least - 1e-9)) & (m >= F.ceil(n * least - 1e-9))
+    # the first common word of a pair leaves room for the rest of what it has to share
+    room = 1 + F.least(n - F.col("x.place"), m - F.col("y.place")) - 1 >= (n + m) * (least / (1 + least)) - 1e-9
+    return x.join(y, (F.col("x.word") == F.col("y.word")) & alike & room).select(F.col("x.core").alias("t_core"), F.col("y.core").alias("r_core"))
+
+
+def _gram(bits: Column) -> Column:
+    """Length of the piece that stands for names of 2^bits to 2^(bits + 1) - 1 characters: it lies in all that is contained in one."""
+    return F.greatest(F.lit(3), F.floor(F.pow(F.lit(2.0), bits) * (2 * CONTAINED_SHARE - 1) + 1e-9)).cast("int")
+
+
+def _bits(n: Column) -> Column:
+    return F.length(F.bin(n)) - 1
+
+
+def middles(cores: DataFrame) -> DataFrame:
+    """(core, key): the piece in the middle of a name. Any part of the name of 70 % of its length has it."""
+    n, core = F.length("core"), F.col("core")
+    rows = cores.filter(n >= CONTAINED_LENGTH).withColumn("bits", _bits(n)).withColumn("q", _gram(F.col("bits")))
+    start = F.floor((n - F.col("q")) / 2).cast("int")
+    return rows.select("core", F.concat_ws(":", F.col("bits").cast("string"), F.substring(core, start + 1, F.col("q"))).alias("key"))
+
+
+def possible_middles(cores: DataFrame) -> DataFrame:
+    """(core, key): the pieces of a name that may be the middle of one which contains it."""
+    n, core = F.length("core"), F.col("core")
+    longest = F.floor(n / CONTAINED_SHARE + 1e-9).cast("int")
+    rows = cores.filter(n >= CONTAINED_LENGTH).select("core", F.explode(F.sequence(_bits(n), _bits(longest))).alias("bits"))
+    rows = rows.withColumn("q", _gram(F.col("bits")))
+    most = F.least(longest, F.shiftleft(F.lit(1), 1) * F.pow(F.lit(2.0), F.col("bits")).cast("int") - 1)
+    last = F.floor((most - F.col("q")) / 2).cast("int")
+    rows = rows.withColumns({"first": F.greatest(F.lit(0), n - most + last), "last": F.least(n - F.col("q"), last)}).filter("first <= last")
+    at = rows.select("core", "bits", "q", F.explode(F.sequence("first", "last")).alias("at"))
+    return at.select("core", F.concat_ws(":", F.col("bits").cast("string"), F.substring(core, F.col("at") + 1, F.col("q"))).alias("key")).distinct()
+
+
+def contained_pairs(t: DataFrame, r: DataFrame) -> DataFrame:
+    """(t_core, r_core) one of which contains the other and is not much longer."""
+    made = []
+    for whole, part, names in ((t, r, ("t_core", "r_core")), (r, t, ("r_core", "t_core"))):
+        x, y = middles(whole).alias("x"), possible_middles(part).alias("y")
+        holds = F.contains(F.col("x.core"), F.col("y.core")) & (F.length("y.core") / F.length("x.core") >= CONTAINED_SHARE)
+        made.append(x.join(y, (F.col("x.key") == F.col("y.key")) & holds).select(F.col("x.core").alias(names[0]), F.col("y.core").alias(names[1])).select("t_core", "r_core"))
+    return made[0].union(made[1])
+
+
+def core_candidates(targets: DataFrame, records: DataFrame, least: float = 0.40) -> DataFrame:
+    """(t_core, r_core): pairs that are equal, may share ``least`` of their words, or contain one another."""
+    t = targets.select(F.col("t_core").alias("core")).filter("core <> ''").distinct()
+    r = records.select(F.col("r_core").alias("core")).filter("core <> ''").distinct()
+    equal = t.join(r, "core").select(F.col("core").alias("t_core"), F.col("core").alias("r_core"))
+    return equal.union(overlap_pairs(t, r, least)).union(contained_pairs(t, r)).distinct()
+
+
+def similar_cores(targets: DataFrame, records: DataFrame, least: float = 0.40) -> DataFrame:
+    """Pairs of cores that block (equal, or a common word) and are exact, strong or share ``least`` of their words.
+
+    The same rows as ``core_pairs`` filtered by that, without making its pairs: a frequent word
+    joins only names that are short of rarer ones.
+    """
+    t, r = F.col("t_core"), F.col("r_core")
+    made = core_candidates(targets, records, least).withColumn("overlap", token_jaccard(t, r)).withColumn("name_result", core_strength(t, r, F.col("overlap")))
+    blocks = (F.col("name_result") == "exact") | F.coalesce(F.col("overlap") > 0, F.lit(False))
+    return made.filter(blocks & (F.col("name_result").isin("exact", "strong") | (F.coalesce(F.col("overlap"), F.lit(0.0)) >= least)))
+
+
+#: What the evidence on a pair depends on; rows alike in it have the same evidence.
+_T_PROFILE = ("sector_family", "t_core", "t_address_words", "t_district_key", "t_upazila_key")
+_R_PROFILE = ("source", "r_core", "r_address_words", "r_district_key", "r_upazila_key")
+
+
+def _profiled(targets: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame]:
     left = prepared(targets.select("target_id", "sector_family", "name", "address", "district", "upazila"), "t_")
     right = prepared(records.select("record_id", "source", "external_key", "name", "address", "district", "upazila"), "r_")
-    cores = core_pairs(left, right).withColumn("overlap", token_jaccard(F.col("t_core"), F.col("r_core"))).withColumn("name_result", core_strength(F.col("t_core"), F.col("r_core"), F.col("overlap")))
-    # weak names that share less than P5 asks for can't be shortlisted, whatever the places say
-    viable = cores.filter(F.col("name_result").isin("exact", "strong") | (F.coalesce(F.col("overlap"), F.lit(0.0)) >= 0.40))
-    full = left.join(viable, "t_core").join(right, "r_core").filter(eligible(F.col("source"), F.col("sector_family")))
-    short = shortlist(with_evidence(full), k)
+    same = lambda c: F.array_sort(c) if c.endswith("words") else F.col(c)
+    return left.withColumn("t_profile", F.struct(*[same(c).alias(c) for c in _T_PROFILE])), right.withColumn("r_profile", F.struct(*[same(c).alias(c) for c in _R_PROFILE]))
+
+
+def profile_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Evidence on pairs of profiles (t_profile, r_profile) with n_t and n_r, how many rows have each."""
+    t = left.groupBy("t_profile").agg(F.count("*").alias("n_t")).select("*", "t_profile.*")
+    r = right.groupBy("r_profile").agg(F.count("*").alias("n_r")).select("*", "r_profile.*")
+    full = t.join(similar_cores(t, r), "t_core").join(r, "r_core").filter(eligible(F.col("source"), F.col("sector_family")))
+    return with_evidence(full)
+
+
+def shortlisted(left: DataFrame, right: DataFrame, pairs: DataFrame, k: int = 5) -> DataFrame:
+    """The k best records of each target profile: of records that are alike only the first k can be among them."""
+    first = Window.partitionBy("r_profile").orderBy("external_key", "record_id")
+    few = right.withColumn("__at", F.row_number().over(first)).filter(F.col("__at") <= k).drop("__at", *_R_PROFILE)
+    ranked = pairs.withColumn("priority", priority()).filter("priority is not null").join(few, "r_profile")
+    best = Window.partitionBy("t_profile").orderBy("priority", F.coalesce(F.col("overlap"), F.lit(0.0)).desc(), "external_key", "record_id")
+    short = ranked.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return left.drop(*_T_PROFILE).join(short, "t_profile").drop("t_profile", "r_profile", "n_t", "n_r")
+
+
+def candidate_run(targets: DataFrame, records: DataFrame, k: int = 5) -> tuple[DataFrame, DataFrame]:
+    """Shortlist and outcomes of all targets (target_id, name, address, district, upazila, sector_family)
+    against records (record_id, source, external_key, name, address, district, upazila), one plan.
+
+    Pairs are made of profiles, not of rows: rows with one name in one place have the same
+    evidence, and only the k first of like records can be shortlisted.
+    """
+    left, right = _profiled(targets, records)
+    short = shortlisted(left, right, profile_pairs(left, right), k)
     return short, resolve(targets, short)
 
 
+#: What a run keeps of a shortlisted pair.
+KEPT_EVIDENCE = (
+    "record_id", "source", "external_key", "rank", "priority", "match_type", "site_level_match", "name_result", "overlap", "district_result", "upazila_result", "address_result", "address_overlap",
+    "t_name", "t_district", "t_upazila", "t_address", "r_name", "r_district", "r_upazila", "r_address",
+)
+OUTCOMES = ("AUTO_SELECTED", "AMBIGUOUS", "REVIEW_REQUIRED", "NO_STAGED_CANDIDATE")
+
+
+def audited_run(targets: DataFrame, records: DataFrame, path: str, k: int = 5) -> tuple[DataFrame, dict[str, int]]:
+    """The run written to ``path``, a row per target (target_id, candidates, outcome, selected_record, shortlist), and its counts.
+
+    One job writes and counts: pairs of rows that were judged, pairs of profiles that stand for
+    them, shortlisted pairs, targets and each outcome. ``shortlist`` has k candidates at most.
+    """
+    left, right = _profiled(targets, records)
+    audit = Audit()
+    pairs = audit.on(profile_pairs(left, right), pairs=F.sum(F.col("n_t") * F.col("n_r")), profile_pairs=F.count("*"))
+    short = audit.on(shortlisted(left, right, pairs, k), shortlisted=F.count("*"))
+    listed = short.groupBy("target_id").agg(F.array_sort(F.collect_list(F.struct("rank", *[c for c in KEPT_EVIDENCE if c != "rank"]))).alias("shortlist"))  # k a target
+    rows = targets.select("target_id").distinct().join(listed, "target_id", "left")
+    sites = F.filter("shortlist", lambda x: x["match_type"].isin("EXACT_SITE", "PROBABLE_SITE"))
+    organizations = F.filter("shortlist", lambda x: x["match_type"] == "ORGANIZATION_ONLY")
+    n, s, o = (F.coalesce(F.nullif(F.size(x), F.lit(-1)), F.lit(0)) for x in (F.col("shortlist"), sites, organizations))
+    outcome = F.when(n == 0, "NO_STAGED_CANDIDATE").when(s == 1, "AUTO_SELECTED").when(s > 1, "AMBIGUOUS").when(o == 1, "AUTO_SELECTED").when(o > 1, "AMBIGUOUS").otherwise("REVIEW_REQUIRED")
+    only = F.when(s == 1, F.get(sites, F.lit(0))["record_id"]).otherwise(F.get(organizations, F.lit(0))["record_id"])
+    made = rows.select("target_id", n.alias("candidates"), outcome.alias("outcome"), F.when(outcome == "AUTO_SELECTED", only).alias("selected_record"), "shortlist")
+    counted = audit.on(made, targets=F.count("*"), **{x.lower(): F.count_if(F.col("outcome") == x) for x in OUTCOMES})
+    counted.write.parquet(path)
+    return targets.sparkSession.read.schema(made.schema).parquet(path), audit.counts()
+
+
+def request_order(requests: DataFrame) -> DataFrame:
+    """Requests with their ``sequence_no``; keys are numbers as text."""
+    return numbered(requests, [F.length("source_key"), "source_key", "source", "detail_url"], "sequence_no")
+
+
 def detail_requests(pairs: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Profiles to fetch for pairs (target_id, record_id): each of the index once, and for which targets it is asked.
 

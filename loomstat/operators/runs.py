@@ -14,7 +14,7 @@ import json
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import admin_name, set_page, url_key
@@ -23,7 +23,8 @@ from ..sources.html import parsed
 from ..sources.store import LogStore, last_known
 from ..vocab import CHECKPOINTS
 from . import evidence, exposure, lifecycle, matching, quality, sampling
-from .versioning import latest_by
+from .audit import Audit
+from .versioning import append_new, latest_by
 
 MANIFEST = "run string, item string, sequence_no int, url string"
 LANDED = "run string, item string, url string, retrieved_at timestamp, html string, content_sha256 string, seq long"
@@ -495,8 +496,8 @@ def plan_candidates(store: LogStore, run: str, index_run: str, asked: DataFrame,
     pairs = matching.block_pairs(asked, records, "target_id", "name", "record_id", "entity_name")
     found, targets_of = matching.detail_requests(pairs, records)
     store.append_new("request_targets", targets_of.select(F.lit(run).alias("run"), F.col("source_key").alias("item"), "target_id"), ["run", "item", "target_id"])
-    order = F.row_number().over(Window.orderBy(F.length("source_key"), "source_key"))  # keys are numbers as text; a manifest is as long as a tranche of requests
-    return plan(store, run, found.select(F.col("source_key").alias("item"), order.alias("sequence_no"), F.col("detail_url").alias("url")), at)
+    ordered = matching.request_order(found)
+    return plan(store, run, ordered.select(F.col("source_key").alias("item"), "sequence_no", F.col("detail_url").alias("url")), at)
 
 
 # --- spatial exposure -----------------------------------------------------------------------------
@@ -561,12 +562,26 @@ def exposure_facts(store: LogStore) -> DataFrame:
     return rows.select(*EXPOSURE_FACT).orderBy("source", "domain", "metric_code", "spatial_scope", "district", "upazila", "establishment_ref")
 
 
+def import_risk(store: LogStore, records: DataFrame, units: DataFrame, source: str, vintage: str | None, observed_at: str) -> tuple[dict[str, int], DataFrame]:
+    """Stage district risk records (division, district and the metrics), each fact once.
+
+    Returns counts of records, unresolved districts, sound observations and new ones, all from the
+    job that writes, and the districts that can't be placed (they aren't guessed).
+    """
+    audit = Audit()
+    good, bad = exposure.risk_observations(records, units, exposure.risk_aliases(units), source, vintage, observed_at, audit)
+    lacking = [F.lit(None).cast(t).alias(c) for c, t in (("establishment_ref", "string"), ("upazila", "string"), ("value_numeric", "double"), ("unit", "string"), ("evidence_note", "string")) if c not in good.columns]
+    rows = audit.on(exposure.fingerprinted(exposure.validated(good.select("*", *lacking))), observations=F.count("*"))
+    known = store.spark.read.parquet(store.path("exposures")) if store.exists("exposures") else rows.limit(0)
+    new = audit.on(append_new(known, rows, ["observation_sha256"]), inserted=F.count("*"))
+    new.write.mode("append").parquet(store.path("exposures"))
+    return audit.counts(), bad
+
+
 def ingest_risk_page(store: LogStore, page: DataFrame, units: DataFrame, source: str, vintage: str | None, observed_at: str) -> dict:
-    """Stage a district risk table (one row: html, url); districts that can't be placed are listed, not guessed."""
+    """Stage a district risk table (one row: html, url)."""
     made = parsed(page, "risk").select("parsed")
     if error := made.select("parsed.error").first()[0]:
         raise ValueError(f"risk table: {error}")
-    rows = made.select(F.explode("parsed.rows").alias("r")).select("r.*")
-    good, bad = exposure.risk_observations(rows, units, exposure.risk_aliases(units), source, vintage, observed_at)
-    lacking = [F.lit(None).cast(t).alias(c) for c, t in (("establishment_ref", "string"), ("upazila", "string"), ("value_numeric", "double"), ("unit", "string"), ("evidence_note", "string")) if c not in good.columns]
-    return {"records": rows.count(), "inserted": ingest_exposures(store, good.select("*", *lacking)), "unresolved": [tuple(r) for r in bad.orderBy("division", "district").collect()]}
+    counts, bad = import_risk(store, made.select(F.explode("parsed.rows").alias("r")).select("r.*"), units, source, vintage, observed_at)
+    return {"records": counts["records"], "inserted": counts["inserted"], "unresolved": [tuple(r) for r in bad.orderBy("division", "district").collect()]}  # rows of one page

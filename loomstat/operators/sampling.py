@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import filter_url, spread_pages, spread_positions
 from ..vocab import CHECKPOINTS, GEOGRAPHY_RULES, SECTOR_RULES
+from .ordering import numbered, numbered_in_groups
 from .versioning import distinct_last
 
 SECTOR_TARGETS = {code: n for code, n, _ in SECTOR_RULES}
@@ -136,17 +137,17 @@ def progressive_batches(sample: DataFrame, label: str, checkpoints: tuple[int, .
     """(id, sequence_no, first_checkpoint): cells are merged fairly, ids inside a cell in the order of their hash.
 
     Every prefix holds each cell in proportion, so the checkpoints are nested samples. The
-    sequence numbers the sample itself, whose size is the last checkpoint.
+    sequence numbers the sample itself, whose size is the last checkpoint. Numbers inside a cell
+    and in the whole come from sorted range partitions, so a cell may hold any share of the sample.
     """
-    cell = Window.partitionBy("sector_family", "geography_group")
-    rows = sample.withColumn("key", F.sha2(F.concat(F.lit(f"{label}:"), F.col("id").cast("string")), 256))
-    rows = rows.withColumns({"k": F.row_number().over(cell.orderBy("key")), "size": F.count("*").over(cell)})
+    rows = sample.select("id", "sector_family", "geography_group", F.sha2(F.concat(F.lit(f"{label}:"), F.col("id").cast("string")), 256).alias("key"))
+    rows = numbered_in_groups(rows, ["sector_family", "geography_group"], ["key", "id"], "k", "size")
     rows = rows.withColumn("at", (2 * F.col("k") - 1) / (2 * F.col("size")))
-    numbered = rows.withColumn("sequence_no", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("at", "sector_family", "geography_group")))
+    made = numbered(rows, ["at", "sector_family", "geography_group"], "sequence_no")
     first = F.lit(None).cast("int")
     for n in sorted(checkpoints, reverse=True):
         first = F.when(F.col("sequence_no") <= n, n).otherwise(first)
-    return numbered.select("id", "sector_family", "geography_group", "sequence_no", first.alias("first_checkpoint"))
+    return made.select("id", "sector_family", "geography_group", "sequence_no", first.alias("first_checkpoint"))
 
 
 def proportional_rows(universes: DataFrame, targets: Mapping[str, int], multiplier: float = 1.5, page_size: int = 30) -> DataFrame:

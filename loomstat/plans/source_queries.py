@@ -9,8 +9,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +17,7 @@ from ..operators import exposure, lifecycle, runs
 from ..operators.quality import SnapshotIntegrityError
 from ..sources import html, tables
 from ..sources.access import FetchError
+from ..sources.shared import new_path as scratch
 from ..sources.store import LogStore
 from ..vocab import EXPOSURE_DOMAINS
 from .domain import REGISTRY_SQL, registry, table
@@ -28,16 +27,6 @@ HOST = "https://register.example.org"
 SOURCES = ("EPB", "BGMEA", "BKMEA", "BEPZA", "DOE")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the one that all executors share; a temporary one only where everything runs on one machine."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="loomstat-")
-    return f"{shared.rstrip('/')}/loomstat-{name}-{uuid.uuid4().hex}"
-
-
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """One small file, in whatever storage the path names."""
     jvm = spark.sparkContext._jvm
