@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.text import admin_name, collapse
 from ..vocab import EXPOSURE_DIRECTIONS, EXPOSURE_DOMAINS, RISK_ALIASES, RISK_METRICS, SPATIAL_SCOPES
 from .audit import Audit
+from .bitmaps import bitmaps, counted, united
+from .ordering import numbered
 from .rollups import share
 
 #: Units have a row per division, district and upazila of a country: some hundreds.
@@ -147,12 +149,21 @@ def links(registry: DataFrame, observations: DataFrame, units: DataFrame | None
     return made
 
 
+def reference_numbers(registry: DataFrame) -> DataFrame:
+    """(establishment_ref, number): the references of a registry, numbered from 1."""
+    return numbered(registry.select("establishment_ref").filter("establishment_ref is not null").distinct(), ["establishment_ref"], "number")
+
+
 def coverage(registry: DataFrame, linked: DataFrame) -> DataFrame:
-    """Establishments with evidence: overall, by domain and by scope (kind, label)."""
+    """Establishments with evidence: overall, by domain and by scope (kind, label).
+
+    Links become a bitmap of establishments per domain and scope, once; all counts are unions of those.
+    """
     total = registry.agg(F.count("*").alias("registry_establishments"))
-    mine = linked.join(registry.select("establishment_ref").distinct(), "establishment_ref", "left_semi").select("establishment_ref", "domain", "spatial_scope")
-    each = mine.select("establishment_ref", F.explode(F.array(F.struct(F.lit("ANY").alias("kind"), F.lit("ANY").alias("label")), F.struct(F.lit("DOMAIN").alias("kind"), F.col("domain").alias("label")), F.struct(F.lit("SCOPE").alias("kind"), F.col("spatial_scope").alias("label")))).alias("k"))
-    made = each.groupBy("k.kind", "k.label").agg(F.countDistinct("establishment_ref").alias("establishments_with_evidence")).crossJoin(F.broadcast(total))  # one row
+    maps = bitmaps(linked.join(reference_numbers(registry), "establishment_ref"), ["domain", "spatial_scope"], "number")
+    kinds = [("ANY", F.lit("ANY")), ("DOMAIN", F.col("domain")), ("SCOPE", F.col("spatial_scope"))]
+    each = maps.select("bucket", "bits", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("label")) for k, c in kinds])).alias("k")).select("k.*", "bucket", "bits")
+    made = counted(united(each, ["kind", "label"]), ["kind", "label"], "establishments_with_evidence").crossJoin(F.broadcast(total))  # one row
     return made.withColumn("coverage_pct", share(F.col("establishments_with_evidence"), F.col("registry_establishments")))
 
 
@@ -168,7 +179,9 @@ def sector_districts(registry: DataFrame, linked: DataFrame) -> DataFrame:
     """Per sector family and district: establishments and those with evidence."""
     there = linked.select("establishment_ref").distinct().withColumn("linked", F.lit(True))
     made = registry.select("establishment_ref", "sector_family", "district").join(there, "establishment_ref", "left")
-    made = made.groupBy("sector_family", "district").agg(F.countDistinct("establishment_ref").alias("establishments"), F.countDistinct(F.when(F.col("linked"), F.col("establishment_ref"))).alias("establishments_with_evidence"))
+    # once per establishment and cell, so one distinct count gives both
+    once = made.groupBy("sector_family", "district", "establishment_ref").agg(F.bool_or(F.coalesce("linked", F.lit(False))).alias("linked"))
+    made = once.groupBy("sector_family", "district").agg(F.count("establishment_ref").alias("establishments"), F.count_if(F.col("linked") & F.col("establishment_ref").isNotNull()).alias("establishments_with_evidence"))
     return made.withColumn("coverage_pct", share(F.col("establishments_with_evidence"), F.col("establishments")))
 
 
@@ -192,6 +205,13 @@ def area_profiles(registry: DataFrame, linked: DataFrame, by: str) -> DataFrame:
     return made.withColumn("coverage_pct", share(F.col("establishments_with_evidence"), F.col("registry_establishments"))).withColumnRenamed("__area", by)
 
 
+def family_profiles(registry: DataFrame, linked: DataFrame) -> DataFrame:
+    """Per sector family: coverage, its conditions as a list, and the coverage of each of its districts as a list."""
+    places = sector_districts(registry, linked)
+    listed = F.array_sort(F.collect_list(F.struct("district", "establishments", "establishments_with_evidence", "coverage_pct"))).alias("districts")  # a row per district
+    return area_profiles(registry, linked, "sector_family").join(places.groupBy("sector_family").agg(listed), "sector_family", "left")
+
+
 def risk_observations(records: DataFrame, units: DataFrame, aliases: DataFrame | None, source: str, vintage: str | None, observed_at: str, audit: Audit | None = None) -> tuple[DataFrame, DataFrame]:
     """(observations, unresolved) of district risk records (division, district and the metrics): five metrics each.
 

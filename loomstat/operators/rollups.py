@@ -79,6 +79,21 @@ def registry_rows(rows: DataFrame, universe_label: str, generated_at: str, prefi
     )
 
 
+#: What a registry row takes from its member and from the observation that the member stands on.
+OBSERVED = ("name", "location", "upazila", "district", "division", "sector_label", "licence_class", "status", "observed_at")
+
+
+def member_rows(members: DataFrame, observations: DataFrame, universe_label: str) -> DataFrame:
+    """The members (universe_label, id, observation_id) of a universe with their observations, columns as a registry has them.
+
+    Tables that lie in buckets of ``observation_id`` join without an exchange. A member without its observation fails.
+    """
+    seen = observations.select("observation_id", *[c for c in OBSERVED if c in observations.columns], F.lit(True).alias("__seen"))
+    made = members.filter(F.col("universe_label") == universe_label).select("id", "observation_id").join(seen, "observation_id", "left")
+    checked = F.when(F.col("__seen").isNull(), F.raise_error(F.lit("a member has no observation")).cast(made.schema["id"].dataType)).otherwise(F.col("id"))
+    return made.select(checked.alias("id"), "observation_id", *[c for c in OBSERVED if c in made.columns])
+
+
 def drilldown(rows: DataFrame, filters: dict[str, str | None]) -> DataFrame:
     """Rows equal to all of the filters, by name and id; no filter selects nothing."""
     if not filters:

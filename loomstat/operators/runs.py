@@ -197,7 +197,7 @@ def detail_rows(store: LogStore, label: str, checkpoint: int) -> DataFrame:
         empty = quality.assess_detail(parsed(store.spark.createDataFrame([], "id long, url string, html string"), "detail").select("id", "parsed.*"))
         seen = empty.withColumns({"run": F.lit(""), "source_url": F.lit(""), "retrieved_at": F.lit(None).cast("timestamp"), "content_sha256": F.lit("")})
     else:
-        seen = store.spark.read.parquet(store.path("detail_observations"))
+        seen = store.read_all("detail_observations")
     seen = latest_by(seen.filter(F.col("run") == f"detail:{label}"), ["id"], [F.desc("retrieved_at"), F.desc("content_sha256")]).withColumnRenamed("status", "detail_status")
     made = asked.join(seen.drop("run"), "id", "left")
     return made.withColumns({"has_provenance": (F.col("source_url") == F.col("url")) & F.col("retrieved_at").isNotNull() & F.col("content_sha256").isNotNull(), "url_ok": url_key(F.col("url"), "establishment") == F.col("id").cast("string")})

@@ -25,6 +25,13 @@ def _of(values: Mapping[str, int], key: Column) -> Column:
     return made
 
 
+def once_each(candidates: DataFrame, position: str | None = None) -> DataFrame:
+    """(id, sector_family, geography_group): of a repeated id the last row by ``position``, else the one that sorts first."""
+    if position:
+        return distinct_last(candidates.select("id", "sector_family", "geography_group", position), ["id"], position).drop(position)
+    return candidates.groupBy("id").agg(F.min(F.struct("sector_family", "geography_group")).alias("s")).select("id", "s.*")
+
+
 def quota_sample(candidates: DataFrame, target: int = 2000, sectors: Mapping[str, int] = SECTOR_TARGETS, geographies: Mapping[str, int] = GEOGRAPHY_TARGETS, position: str | None = None) -> DataFrame:
     """(id, sector_family, geography_group, selection_stage): sector quotas first, then geography floors, then the rest up to the target.
 
@@ -33,11 +40,7 @@ def quota_sample(candidates: DataFrame, target: int = 2000, sectors: Mapping[str
     quotas and the target. A repeated id counts once: the last by ``position``, else the row that
     sorts first.
     """
-    if position:
-        rows = distinct_last(candidates.select("id", "sector_family", "geography_group", position), ["id"], position).drop(position)
-    else:
-        least = F.min(F.struct("sector_family", "geography_group")).alias("s")
-        rows = candidates.groupBy("id").agg(least).select("id", "s.*")
+    rows = once_each(candidates, position)
 
     def smallest(of: DataFrame, by: str, most: int, quota: Column) -> DataFrame:
         ranked = of.withColumn("k", F.row_number().over(Window.partitionBy(by).orderBy("id"))).filter(F.col("k") <= most)
@@ -60,10 +63,10 @@ def quota_sample(candidates: DataFrame, target: int = 2000, sectors: Mapping[str
     return final.select("id", "sector_family", "geography_group", names.alias("selection_stage"))
 
 
-def pool_health(candidates: DataFrame, by: str, targets: Mapping[str, int]) -> DataFrame:
-    """Candidates per group against its target; groups without candidates have a row, too."""
+def pool_health(candidates: DataFrame, by: str, targets: Mapping[str, int], position: str | None = None) -> DataFrame:
+    """Candidates per group against its target; groups without candidates have a row, too. Ids count once, as in a sample."""
     want = candidates.sparkSession.createDataFrame(list(targets.items()), f"{by} string, target long")
-    n = candidates.dropDuplicates(["id"]).groupBy(by).agg(F.count("*").alias("candidates"))
+    n = once_each(candidates, position).groupBy(by).agg(F.count("*").alias("candidates"))
     made = F.broadcast(want).join(n, by, "left").fillna(0, ["candidates"])
     return made.withColumn("deficit", F.greatest(F.lit(0), F.col("target") - F.col("candidates"))).withColumn("ready", F.col("deficit") == 0)
 
@@ -117,17 +120,46 @@ def allocate(cells: Mapping[tuple[str, str], int], sectors: Mapping[str, int], g
     return used, missing
 
 
-def joint_freeze(candidates: DataFrame, sectors: Mapping[str, int], geographies: Mapping[str, int]) -> DataFrame:
-    """(id, sector_family, geography_group) that meet both kinds of target exactly; FreezeError if none do."""
+#: Kinds of place whose subsets are all looked at.
+MOST_PLACES = 16
+
+
+def cuts(candidates: DataFrame, sectors: Mapping[str, int], geographies: Mapping[str, int], position: str | None = None) -> DataFrame:
+    """(places, needed, available, gap): for every set of geographies, what its targets ask for and what its candidates can give.
+
+    A set can give at most, over the sectors, the smaller of the sector's target and its candidates
+    there. By max-flow and min-cut a plan exists exactly if no set has a gap, and the largest gap
+    is what every plan lacks. Cells are sectors x geographies, sets 2 ^ geographies.
+    """
+    if len(geographies) > MOST_PLACES:
+        raise ValueError(f"more than {MOST_PLACES} geographies have too many subsets")
+    spark, names = candidates.sparkSession, sorted(geographies)
+    cells = once_each(candidates, position).groupBy("sector_family", "geography_group").agg(F.count("*").alias("n"))
+    asked = spark.createDataFrame(list(sectors.items()), "sector_family string, target long")
+    bits = spark.createDataFrame([(g, k) for k, g in enumerate(names)], "geography_group string, bit int")
+    sets = spark.range(1 << len(names)).withColumnRenamed("id", "set")
+    has = F.expr("shiftright(set, bit) % 2 = 1")
+    listed = F.array(*[F.lit(g) for g in names])
+    picked = F.filter(listed, lambda x, k: F.expr("set").bitwiseAND(F.pow(F.lit(2.0), k).cast("long")) != 0)
+    inside = F.broadcast(cells.join(F.broadcast(bits), "geography_group").join(F.broadcast(asked), "sector_family"))  # a row per cell
+    held = sets.crossJoin(inside).filter(has).groupBy("set", "sector_family").agg(F.least(F.sum("n"), F.first("target")).alias("held"))
+    needed = spark.createDataFrame([(k, sum(geographies[g] for i, g in enumerate(names) if k >> i & 1)) for k in range(1 << len(names))], "set long, needed long")
+    made = needed.join(held.groupBy("set").agg(F.sum("held").alias("available")), "set", "left").withColumn("available", F.coalesce("available", F.lit(0)))
+    return made.select(F.array_join(picked, "+").alias("places"), "needed", "available", F.greatest(F.lit(0), F.col("needed") - F.col("available")).alias("gap"))
+
+
+def joint_freeze(candidates: DataFrame, sectors: Mapping[str, int], geographies: Mapping[str, int], position: str | None = None) -> DataFrame:
+    """(id, sector_family, geography_group) that meet both kinds of target exactly; FreezeError, with the cut that rules it out, if none do."""
     if sum(sectors.values()) != sum(geographies.values()) or min([*sectors.values(), *geographies.values()], default=0) < 0:
         raise ValueError("targets must be positive and add up to the same number")
-    rows = candidates.select("id", "sector_family", "geography_group").dropDuplicates(["id"]).filter(F.col("sector_family").isin(*sectors) & F.col("geography_group").isin(*geographies))
+    rows = once_each(candidates, position).filter(F.col("sector_family").isin(*sectors) & F.col("geography_group").isin(*geographies))
     cells = {(r[0], r[1]): r[2] for r in rows.groupBy("sector_family", "geography_group").count().collect()}  # a row per cell
     used, missing = allocate(cells, sectors, geographies)
     if missing:
         have = {k: sum(n for (s, g), n in cells.items() if k in (s, g)) for k in (*sectors, *geographies)}
         short = lambda targets: {k: v - have[k] for k, v in targets.items() if have[k] < v}
-        raise FreezeError({"flow_gap": missing, "sector_deficits": short(sectors), "geography_deficits": short(geographies)})
+        worst = cuts(rows, sectors, geographies).orderBy(F.desc("gap"), "places").first() if len(geographies) <= MOST_PLACES else None
+        raise FreezeError({"flow_gap": missing, "cut": worst.asDict() if worst else None, "sector_deficits": short(sectors), "geography_deficits": short(geographies)})
     plan = candidates.sparkSession.createDataFrame([(s, g, n) for (s, g), n in used.items() if n], "sector_family string, geography_group string, used int")
     ranked = rows.join(F.broadcast(plan), ["sector_family", "geography_group"]).withColumn("k", F.row_number().over(Window.partitionBy("sector_family", "geography_group").orderBy("id")))
     return ranked.filter("k <= used").select("id", "sector_family", "geography_group")

@@ -19,7 +19,16 @@ def distinct_last(rows: DataFrame, keys: list[str], position: str) -> DataFrame:
 
 def append_new(known: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """The rows to append: those whose key is not known yet, one per key. Appending them twice changes nothing."""
-    return rows.dropDuplicates(keys).join(known.select(*keys), keys, "left_anti")
+    return one_per_key(rows, keys).join(known.select(*keys), keys, "left_anti")
+
+
+def one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """A row per key; of several the one that sorts first as JSON, whatever order they come in."""
+    rest = F.struct(*[c for c in rows.columns if c not in keys])
+    if len(keys) == len(rows.columns):
+        return rows.distinct()
+    picked = rows.groupBy(*keys).agg(F.min_by(rest, F.to_json(rest, {"ignoreNullFields": "false"})).alias("__rest"))
+    return picked.select(*[F.col(c) if c in keys else F.col("__rest")[c].alias(c) for c in rows.columns])
 
 
 def upsert(known: DataFrame, rows: DataFrame, keys: list[str], seen: str, keep_old: tuple[str, ...] = ()) -> DataFrame:

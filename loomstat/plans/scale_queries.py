@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from ..operators import exposure as G
 from ..operators import matching as M
+from ..operators import rollups as R
 from ..operators import runs
+from ..operators import sampling as S
 from ..operators.ordering import numbered
+from ..sources.bucketed import bucketed
+from ..sources.layouts import VersionedTable, renamed, with_columns
 from ..sources.shared import new_path
+from ..sources.sinks import export_json_array, read_json_array
 from ..sources.store import LogStore
-from .domain import REGISTRY_SQL, table
+from ..streaming.landing import ingest_once, with_hash
+from .domain import table
 from .evidence_queries import EVIDENCE_SQL, LINKS_SQL, observations, parts, with_ref
+from .planning_queries import CANDIDATES_SQL, REGIONS, SAMPLE_SQL, SECTORS, candidates
 from .registry import query
 
 _LINK_ORDER = ("establishment_ref", "domain", "spatial_scope", "context_district", "value_numeric")
@@ -88,3 +97,121 @@ def risk_import_audit(spark, sf_dir):
         counts, _ = runs.import_risk(store, records, units, "DDM", "2020", "2024-01-01")
         made += [(run, name, n) for name, n in {**counts, "stored": store.count("exposures")}.items()]
     return spark.createDataFrame(made, "run string, name string, n long")
+
+
+#: Places whose targets ask for more than small tables have.
+PLACES = {"CORE": 120, "WEST": 120, "OTHER": 60}
+_CUTS = f"""m AS (SELECT unnest(range(8)) AS set), b AS (SELECT unnest(['CORE', 'OTHER', 'WEST']) AS g, unnest([120, 60, 120]) AS t, unnest([0, 1, 2]) AS bit),
+s AS (SELECT unnest({list(SECTORS)}) AS f, unnest({list(SECTORS.values())}) AS target),
+h AS (SELECT set, f, least(target, count(id)) AS held FROM m CROSS JOIN s LEFT JOIN (SELECT * FROM cand JOIN b ON g = geography_group) c ON c.sector_family = f AND (set >> bit) % 2 = 1 GROUP BY set, f, target)"""
+
+
+@query(
+    "joint_freeze_cuts",
+    f"""WITH {CANDIDATES_SQL}, {_CUTS}, a AS (SELECT set, sum(held)::BIGINT AS available FROM h GROUP BY set),
+n AS (SELECT set, coalesce(string_agg(g, '+' ORDER BY g), '') AS places, coalesce(sum(t), 0)::BIGINT AS needed FROM m LEFT JOIN b ON (set >> bit) % 2 = 1 GROUP BY set)
+SELECT places, needed, available, greatest(0, needed - available) AS gap FROM n JOIN a USING (set)""",
+)
+def joint_freeze_cuts(spark, sf_dir):
+    """Whether a joint sample exists: every set of places, what it needs and what it can have."""
+    return S.cuts(candidates(spark, sf_dir), SECTORS, PLACES)
+
+
+@query(
+    "joint_freeze_check",
+    f"""WITH {SAMPLE_SQL} SELECT 'sector_family' AS dimension, sector_family AS label, count(*) AS chosen, 0::BIGINT AS skipped FROM sample GROUP BY ALL
+ UNION ALL SELECT 'geography_group', geography_group, count(*), 0 FROM sample GROUP BY ALL""",
+)
+def joint_freeze_check(spark, sf_dir):
+    """A joint sample meets both kinds of target (the margins of the quota sample) and takes the first ids of every cell."""
+    rows = candidates(spark, sf_dir)
+    chosen = S.quota_sample(rows, 400, SECTORS, REGIONS)
+    sectors, places = ({r[0]: r[1] for r in chosen.groupBy(c).count().collect()} for c in ("sector_family", "geography_group"))  # a row per label
+    frozen = S.joint_freeze(rows, sectors, places)
+    cell = ["sector_family", "geography_group"]
+    last = frozen.groupBy(*cell).agg(F.max("id").alias("last"))
+    left_out = rows.join(frozen.select("id", F.lit(True).alias("in")), "id", "left").join(last, cell).filter("in is null and id < last").groupBy(*cell).agg(F.count("*").alias("skipped"))
+    made = frozen.groupBy(*cell).agg(F.count("*").alias("chosen")).join(left_out, cell, "left").fillna(0, ["skipped"])
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).alias("label")) for c in cell])).alias("d")
+    return made.select(each, "chosen", "skipped").groupBy("d.dimension", "d.label").agg(F.sum("chosen").alias("chosen"), F.sum("skipped").alias("skipped"))
+
+
+@query(
+    "labelled_samples",
+    """SELECT o_orderpriority AS label, o_orderkey AS id, CASE WHEN o_orderpriority LIKE '1%' THEN 'second' ELSE 'first' END AS version FROM orders
+  WHERE o_orderpriority NOT LIKE '1%' OR o_orderkey % 2 = 0""",
+)
+def labelled_samples(spark, sf_dir):
+    """A version of every label; then one label is replaced. Each is read from its own folder."""
+    store = LogStore(spark, new_path(spark, "labels"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("priority"))
+    labels = sorted(r[0] for r in rows.select("priority").distinct().collect())  # a handful of priorities
+
+    def own(label: str, name: str):
+        return rows.filter(F.col("priority") == label).select("id", F.lit(name).alias("name"))
+
+    for seq, label in enumerate(labels):
+        store.replace("sample", label, own(label, "first"), "2024-01-01", seq)
+    first = next(x for x in labels if x.startswith("1"))
+    store.replace("sample", first, own(first, "second").filter("id % 2 = 0"), "2024-01-02", 100)
+    parts = [store.current("sample", label, "id long, name string").select(F.lit(label).alias("label"), "id", F.col("name").alias("version")) for label in labels]
+    return functools.reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("landed_events", "SELECT event_id, user_id, event_type, value FROM events")
+def landed_events(spark, sf_dir):
+    """Events that arrive in overlapping pieces; the stream stops after the first and starts again with the second."""
+    root = new_path(spark, "landing")
+    rows = with_hash(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value"), "event_id", "user_id", "event_type", "value")
+    written = 0
+    for piece in ("event_id % 3 < 2", "event_id % 3 > 0", "event_id % 3 > 0"):
+        rows.filter(piece).write.mode("append").parquet(f"{root}/in")
+        written += ingest_once(spark, f"{root}/in", rows.schema, f"{root}/log", f"{root}/checkpoint", ["content_sha256"])
+    made = spark.read.parquet(f"{root}/log")
+    return made.select("event_id", "user_id", "event_type", "value")
+
+
+@query(
+    "universe_member_rows",
+    """SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS observation_id, o_orderpriority AS name, o_orderstatus AS status, o_orderdate AS observed_at
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R'""",
+)
+def universe_member_rows(spark, sf_dir):
+    """Members of one of three universes with their observations, both tables in buckets of the observation."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    members = lines.select(F.col("l_returnflag").alias("universe_label"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_orderkey").alias("observation_id"))
+    observed = orders.select(F.col("o_orderkey").alias("observation_id"), F.col("o_orderpriority").alias("name"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("observed_at"))
+    made = R.member_rows(bucketed(members, "observation_id", buckets, "members"), bucketed(observed, "observation_id", buckets, "observations"), "R")
+    return made.select("id", "observation_id", "name", "status", "observed_at")
+
+
+@query(
+    "exposure_profile_export",
+    f"""WITH {LINKS_SQL} SELECT establishment_ref, name, district, sector_family, count(domain) AS linked_observations, coalesce(string_agg(DISTINCT domain, '+' ORDER BY domain), '') AS domains,
+  coalesce(bool_or(attribution = 'SITE_SPECIFIC'), false) AS has_site_specific_evidence FROM reg LEFT JOIN links USING (establishment_ref) GROUP BY establishment_ref, name, district, sector_family""",
+)
+def exposure_profile_export(spark, sf_dir):
+    """Exposure profiles of all establishments as one JSON array, written by executors and read back."""
+    rows = with_ref(spark, sf_dir)
+    profiles = G.establishment_profiles(rows, G.links(rows, observations(spark, sf_dir)))
+    path = new_path(spark, "profiles")
+    export_json_array(profiles, ["establishment_ref"], path)
+    made = read_json_array(spark, path, profiles.schema)
+    return made.select("establishment_ref", "name", "district", "sector_family", "linked_observations", F.array_join("domains_with_evidence", "+").alias("domains"), "has_site_specific_evidence")
+
+
+@query(
+    "layout_upgrade",
+    """SELECT l_orderkey, l_partkey AS part_ref, l_linenumber, CASE WHEN l_orderkey % 2 = 1 THEN l_returnflag ELSE 'UNKNOWN' END AS flag, 'BBS' AS geo_source, l_quantity FROM lineitem""",
+)
+def layout_upgrade(spark, sf_dir):
+    """Lines in two files of an old layout, one of them without a column, brought to the third layout; every row stays."""
+    steps = [with_columns(flag="UNKNOWN"), lambda rows: renamed(l_partkey="part_ref")(with_columns(geo_source="BBS")(rows))]
+    held = VersionedTable(spark, new_path(spark, "layouts"), "lines", steps)
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", F.col("l_returnflag").alias("flag"))
+    held.append(rows.filter("l_orderkey % 2 = 0").drop("flag"))
+    held.append(rows.filter("l_orderkey % 2 = 1"))
+    if list(held.upgrade()) != [2, 3] or held.upgrade():
+        raise ValueError("the layouts weren't brought up once each")
+    return held.read().select("l_orderkey", "part_ref", "l_linenumber", "flag", "geo_source", "l_quantity")

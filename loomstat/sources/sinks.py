@@ -5,10 +5,11 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.ordering import numbered
 from ..operators.quality import assert_safe
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
@@ -39,6 +40,26 @@ def write_profiles(df: DataFrame, by: str, path: str) -> None:
     df.select(F.col(by), F.col("payload").alias("value")).write.mode("overwrite").partitionBy(by).text(path)
 
 
+def export_json_array(df: DataFrame, order: list[str], path: str, product: bool = False) -> None:
+    """All rows as one JSON array in the order given, written by executors.
+
+    The folder's part files, one after the other by name, are the array: a line per object, its
+    comma before it. Spark's commit makes the folder whole or not at all.
+    """
+    assert_safe(df, product)
+    valued = df.select(*order, F.to_json(with_sorted_fields(F.struct(*df.columns), df.schema), JSON_OPTIONS).alias("__value"))
+    placed = numbered(valued, [*order, "__value"], "__position")
+    lines = placed.select("__position", F.when(F.col("__position") == 1, F.col("__value")).otherwise(F.concat(F.lit(","), "__value")).alias("value"))
+    ends = df.sparkSession.createDataFrame([(0, "["), ((1 << 63) - 1, "]")], "__position long, value string")
+    lines.union(ends).repartitionByRange("__position").sortWithinPartitions("__position").select("value").write.mode("overwrite").text(path)
+
+
+def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """The objects of an exported array."""
+    lines = spark.read.text(path).filter(~F.col("value").isin("[", "]"))
+    return lines.select(F.from_json(F.regexp_replace("value", "^,", ""), schema).alias("o")).select("o.*")
+
+
 def write_json_array(df: DataFrame, path: str | Path, product: bool = False) -> Path:
     """All rows as one JSON array, for small results: rows are streamed to the driver one partition at a time."""
     path = Path(path)

@@ -109,3 +109,139 @@ def test_audit_counts_without_further_jobs(spark, tmp_path):
     kept = audit.on(rows.filter("id % 4 = 0"), kept=F.count("*"), total=F.sum("id"))
     kept.write.parquet(str(tmp_path / "x"))
     assert audit.counts() == {"all": 100, "kept": 25, "total": sum(range(0, 100, 4))}
+
+
+def test_logs_are_read_by_folder(spark, tmp_path):
+    from loomstat.sources.store import LogStore
+
+    store = LogStore(spark, str(tmp_path / "s"))
+    rows = spark.createDataFrame([("01", 1, "a"), ("01", 2, "b"), ("x:y", 1, "c")], "run string, item int, v string")
+    assert store.append_new("m", rows, ["run", "item"]) == 3 and store.append_new("m", rows.withColumn("v", F.lit("z")), ["run", "item"]) == 0
+    one = store.read("m", "run string, item int, v string").filter("run = '01'")
+    assert one.columns == ["run", "item", "v"] and sorted(r["v"] for r in one.collect()) == ["a", "b"]
+    assert "PartitionFilters: [isnotnull(run" in plan_of(one) and {r["run"] for r in store.read_all("m").collect()} == {"01", "x:y"}
+    store.replace("sample", "l", rows.select("item", "v"), "2024-01-01", 1)
+    store.replace("sample", "k", rows.select("item", "v"), "2024-01-01", 2)
+    broken = rows.select("item", F.when(F.col("item") == 2, F.raise_error(F.lit("broken plan")).cast("string")).otherwise(F.col("v")).alias("v"))
+    with pytest.raises(Exception, match="broken plan"):
+        store.replace("sample", "l", broken, "2024-01-02", 3)
+    current = store.current("sample", "l", "item int, v string")
+    assert sorted(r["v"] for r in current.collect()) == ["a", "b", "c"] and "version" in plan_of(current).split("PartitionFilters:")[1].split("]")[0]
+    store.overwrite("derived", rows, "run")
+    with pytest.raises(Exception, match="broken plan"):
+        store.overwrite("derived", broken.withColumn("run", F.lit("01")), "run")
+    store.overwrite("derived", rows.filter("run = '01' and item = 1"), "run")
+    assert sorted(r["v"] for r in store.read_all("derived").collect()) == ["a", "c"]
+
+
+def test_one_per_key_whatever_the_order(spark):
+    from loomstat.operators import sampling as S
+    from loomstat.operators import versioning as V
+
+    data = [(1, "A", "X"), (1, "B", "Y"), (2, "B", "Y"), (2, "A", "Y"), (3, None, None), (3, "A", "X")]
+    schema = "id int, sector_family string, geography_group string"
+    made = [spark.createDataFrame(x, schema).coalesce(1) for x in (data, data[::-1])]
+    frozen = [sorted(map(tuple, S.joint_freeze(df, {"A": 1, "B": 0}, {"X": 1}).collect())) for df in made]
+    assert frozen[0] == frozen[1] == [(1, "A", "X")]
+    assert len({str(sorted(map(tuple, V.one_per_key(df, ["id"]).collect()))) for df in made}) == 1
+    assert [sorted(map(tuple, S.pool_health(df, "sector_family", {"A": 1, "B": 1}).collect())) for df in made] == [[("A", 1, 2, 0, True), ("B", 1, 0, 1, False)]] * 2
+    last = spark.createDataFrame([(*r, k) for k, r in enumerate(data)], schema + ", at int")
+    assert sorted(map(tuple, S.pool_health(last, "sector_family", {"A": 1, "B": 1}, "at").collect())) == [("A", 1, 2, 0, True), ("B", 1, 1, 0, True)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_cuts_are_what_the_flow_lacks(spark, seed):
+    from loomstat.operators import sampling as S
+
+    rng = random.Random(seed)
+    sectors, places = {"A": rng.randint(1, 6), "B": rng.randint(1, 6), "C": 2}, {}
+    total = sum(sectors.values())
+    places["X"] = rng.randint(0, total)
+    places["Y"] = rng.randint(0, total - places["X"])
+    places["Z"] = total - places["X"] - places["Y"]
+    cells = {(s, g): rng.randint(0, 3) for s in sectors for g in places}
+    rows = spark.createDataFrame([(k, s, g) for k, (s, g) in enumerate(c for c, n in cells.items() for _ in range(n))] + [(9999, "D", "X")], "id int, sector_family string, geography_group string")
+    _, missing = S.allocate(cells, sectors, places)
+    made = S.cuts(rows, sectors, places).collect()
+    assert len(made) == 8 and max(r["gap"] for r in made) == missing
+    if missing:
+        with pytest.raises(S.FreezeError) as error:
+            S.joint_freeze(rows, sectors, places)
+        assert error.value.diagnostics["cut"]["gap"] == missing
+
+
+def test_members_join_without_exchange(spark):
+    from loomstat.operators import rollups as R
+    from loomstat.sources.bucketed import bucketed
+
+    members = spark.range(1000).selectExpr("if(id % 2 = 0, 'u', 'v') as universe_label", "id", "id % 300 as observation_id")
+    seen = spark.range(300).selectExpr("id as observation_id", "concat('n', id) as name", "'A' as status")
+    made = R.member_rows(bucketed(members, "observation_id", 4, "m"), bucketed(seen, "observation_id", 4, "o"), "u").hint("merge")
+    plan = plan_of(made)
+    assert made.count() == 500 and made.columns == ["id", "observation_id", "name", "status"]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(R.member_rows(bucketed(members, "observation_id", 4, "m"), bucketed(seen, "observation_id", 4, "o"), "u"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Join" in plan and "Exchange" not in plan
+    with pytest.raises(Exception, match="no observation"):
+        R.member_rows(members, seen.filter("observation_id < 10"), "u").collect()
+
+
+def test_landing_is_exactly_once_over_restarts(spark, tmp_path):
+    from loomstat.streaming.landing import ingest_once
+
+    data = spark.createDataFrame([(k, f"h{k % 40}") for k in range(100)], "k int, h string")
+    args = (data.schema, str(tmp_path / "log"), str(tmp_path / "checkpoint"), ["h"])
+    data.filter("k < 30").write.parquet(str(tmp_path / "in"))
+    assert ingest_once(spark, str(tmp_path / "in"), *args) == 30
+    assert ingest_once(spark, str(tmp_path / "in"), *args) == 0
+    data.filter("k >= 20").repartition(3).write.mode("append").parquet(str(tmp_path / "in"))
+    assert ingest_once(spark, str(tmp_path / "in"), *args, max_files=1) == 10
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert log.count() == log.select("h").distinct().count() == 40
+
+
+def test_layouts_keep_all_rows(spark, tmp_path):
+    from loomstat.sources.layouts import LayoutError, VersionedTable, renamed, with_columns
+
+    held = VersionedTable(spark, str(tmp_path), "t", [with_columns(kind="old")])
+    held.append(spark.createDataFrame([(1,)], "id int"))
+    held.append(spark.createDataFrame([(2, "new")], "id int, kind string"))
+    assert held.layout() == 1 and held.upgrade() == {2: 2} and held.upgrade() == {} and held.layout() == 2
+    assert sorted(map(tuple, held.read().select("id", "kind").collect())) == [(1, "old"), (2, "new")]
+    later = VersionedTable(spark, str(tmp_path), "t", [with_columns(kind="old"), lambda rows: rows.filter("id > 1")])
+    with pytest.raises(LayoutError):
+        later.upgrade()
+    assert later.layout() == 2
+    third = VersionedTable(spark, str(tmp_path), "t", [with_columns(kind="old"), renamed(kind="sort")])
+    assert third.upgrade() == {3: 2} and set(third.read().columns) == {"id", "sort"}
+
+
+def test_exported_array_is_one_document(spark, tmp_path):
+    import json
+
+    from loomstat.sources.sinks import export_json_array, read_json_array
+
+    rows = spark.createDataFrame([(k % 7, f"n{k}", None if k % 3 else 'q"[\n') for k in range(50)], "b int, name string, a string").repartition(5)
+    export_json_array(rows, ["b", "name"], str(tmp_path / "x"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "x").glob("part-*")))
+    made = json.loads(text)
+    assert [(r["b"], r["name"]) for r in made] == sorted((k % 7, f"n{k}") for k in range(50)) and list(made[0]) == ["a", "b", "name"]
+    assert sorted(map(str, read_json_array(spark, str(tmp_path / "x"), rows.schema).collect())) == sorted(map(str, rows.collect()))
+    export_json_array(rows.limit(0), ["b"], str(tmp_path / "none"))
+    assert json.loads("".join(p.read_text() for p in sorted((tmp_path / "none").glob("part-*")))) == []
+    with pytest.raises(Exception):
+        export_json_array(rows.withColumnRenamed("a", "internal_id"), ["b"], str(tmp_path / "private"), product=True)
+
+
+def test_bitmaps_count_what_distinct_counts(spark):
+    from loomstat.operators.bitmaps import bitmaps, counted, united
+
+    rows = spark.range(5000).selectExpr("id % 3 as a", "id % 5 as b", "if(id % 11 = 0, null, (id * 7919) % 100000) as n")
+    maps = bitmaps(rows, ["a", "b"], "n")
+    for cells in (["a", "b"], ["a"], ["b"]):
+        want = {tuple(r) for r in rows.groupBy(*cells).agg(F.countDistinct("n")).collect()}
+        assert {tuple(r) for r in counted(united(maps, cells), cells, "c").collect()} == want
