@@ -316,6 +316,12 @@ def audited_run(targets: DataFrame, records: DataFrame, path: str, k: int = 5) -
     return targets.sparkSession.read.schema(made.schema).parquet(path), audit.counts()
 
 
+def selected_pairs(made: DataFrame) -> DataFrame:
+    """The pair that each automatically selected target of an audited run stands for, with its evidence."""
+    one = made.filter("outcome = 'AUTO_SELECTED'").select("target_id", "selected_record", F.explode("shortlist").alias("x"))
+    return one.filter(F.col("x.record_id") == F.col("selected_record")).select("target_id", "x.*")
+
+
 def request_order(requests: DataFrame) -> DataFrame:
     """Requests with their ``sequence_no``; keys are numbers as text."""
     return numbered(requests, [F.length("source_key"), "source_key", "source", "detail_url"], "sequence_no")

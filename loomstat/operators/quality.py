@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import company_core, same_text, url_key
 from ..vocab import CHECKPOINT_RATES, PRIVATE_NATIONAL_KEYS, PRIVATE_PRODUCT_KEYS
+from .versioning import latest_by
 
 
 class SnapshotIntegrityError(ValueError):
@@ -147,6 +148,30 @@ def anomalies(rows: DataFrame) -> DataFrame:
     return rows.select("public_id", F.explode(found).alias("a")).select("public_id", "a.*")
 
 
+#: What a comparison takes from the latest listing and the latest detail of an establishment.
+LISTED = ("name", "sector", "district", "status", "class")
+DETAILED = ("name_en", "name_bn", "sector", "district", "status", "class")
+
+
+def comparisons(requests: DataFrame, sample: DataFrame, listed: DataFrame, details: DataFrame, newest: tuple[str, ...] = ("observed_at", "observation_id")) -> DataFrame:
+    """Requests of a sample beside the latest listing and the latest detail of their establishment, for ``anomalies``.
+
+    requests: id, sequence_no, request_status; sample: id, sector_family, geography_group; listed and
+    details: id, what orders them (``newest``) and any of LISTED, DETAILED. Observations that were
+    never made leave nulls; a request outside the sample is left out.
+    """
+    order = [F.desc(c) for c in newest]
+    both = requests.join(sample.select("id", "sector_family", "geography_group"), "id")
+    for rows, prefix, columns in ((listed, "list_", LISTED), (details, "detail_", DETAILED)):
+        there = [c for c in columns if c in rows.columns]
+        more = [c for c in ("parser_valid", "core_complete") if prefix == "detail_" and c in rows.columns]
+        latest = latest_by(rows.select("id", *newest, *there, *more), ["id"], order)
+        both = both.join(latest.select("id", *[F.col(c).alias(prefix + c) for c in there], *more), "id", "left")
+        both = both.withColumns({prefix + c: F.lit(None).cast("string") for c in columns if c not in there})
+    lacking = {c: F.lit(None).cast("boolean") for c in ("parser_valid", "core_complete") if c not in both.columns}
+    return (both.withColumns(lacking) if lacking else both).withColumnRenamed("id", "public_id")
+
+
 def severity_order():
     made = F.lit(len(SEVERITY))
     for name, k in SEVERITY.items():

@@ -315,6 +315,28 @@ def finalize_universe(store: LogStore, run: str, at: str) -> tuple[str, dict]:
     return status, figures
 
 
+def import_universe(store: LogStore, run: str, rows: DataFrame, declared_total: int, at: str, source: str) -> tuple[str, dict]:
+    """A universe of one snapshot from a bulk export (id, name): as many rows and distinct positive ids as its source declares, no blank name.
+
+    An export that isn't sound fails before anything is written. Otherwise its members are one page
+    and it is finalized like any other universe.
+    """
+    bad = (F.col("id") <= 0) | F.col("id").isNull() | (F.trim(F.coalesce("name", F.lit(""))) == "")
+    n, ids, faulty = rows.agg(F.count("*"), F.countDistinct("id"), F.count_if(bad)).first()
+    if faulty or not n == ids == declared_total or declared_total <= 0:
+        raise ValueError(f"the export has {n} rows, {ids} ids and {faulty} without id or name; {declared_total} are declared")
+    _one(store, "run_events", run, "RUNNING", at, f"bulk export of {source}", lifecycle.RUN_TRANSITIONS)
+    store.append("universes", store.spark.createDataFrame([(run, source, declared_total, declared_total, time.time_ns(), None, None)], UNIVERSES))
+    digest = F.sha2(F.to_json(F.struct("id", "name"), {"ignoreNullFields": "false"}), 256)
+    total = F.lit(declared_total).cast("long")
+    store.write("universe_members", rows.select(F.lit(run).alias("run"), F.lit(1).alias("page"), total.alias("source_reported_total"), F.col("id").cast("long").alias("id"), digest.alias("content_sha256")))
+    members = store.read("universe_members", MEMBERS).filter(F.col("run") == run)
+    page = store.spark.createDataFrame([("1", "STAGED", declared_total)], "item string, status string, source_reported_total long")
+    status, figures = lifecycle.finalize_universe(page, members, declared_total)
+    _one(store, "run_events", run, status, at, json.dumps(figures, sort_keys=True), lifecycle.RUN_TRANSITIONS)
+    return status, figures
+
+
 def restart_universe(store: LogStore, run: str, new_run: str, at: str, reason: str) -> None:
     """A fresh universe in place of a failed one, which stays as it is and is named as the parent."""
     old = universe(store, run)
@@ -414,6 +436,35 @@ def run_enrichment(store: LogStore, fetch: Callable[[str], str], run: str, sourc
     return counts | {"requests": states, "outcomes": {r[0]: r[1] for r in outcomes.groupBy("outcome").count().collect()}, "links": n}
 
 
+EVIDENCE = "target_id long, record_id string, evidence_type string, register_value string, external_value string, result string, linked_at timestamp"
+ATTACHED = "target_id long, record_id string, observation_type string, scope string, value_text string, value_numeric double, unit string, site_attributable boolean, linked_at timestamp"
+
+
+def store_resolution(store: LogStore, made: DataFrame, typed: DataFrame, at: str) -> dict[str, int]:
+    """Store what an audited run selected: the links, five rows of evidence for each, and the typed facts of the linked records.
+
+    ``typed`` has record_id, observation_type, scope, value_text, value_numeric, unit. What is stored
+    already stays as it is, so repeating it adds nothing. Returns the rows added of each kind.
+    """
+    pairs = matching.selected_pairs(made).withColumn("record_id", F.col("record_id").cast("string"))
+    when = F.lit(at).cast("timestamp").alias("linked_at")
+    known = store.read("entity_links", LINKS).select("target_id", "record_id")
+    links = pairs.select("target_id", "record_id", "source", "match_type", "site_level_match", when).join(known, ["target_id", "record_id"], "left_anti")
+    n = store.append_new("entity_links", links, ["target_id", "record_id"])
+    rows = matching.evidence_rows(pairs).select("target_id", "record_id", "evidence_type", "register_value", "external_value", "result", when)
+    evidence_added = store.append_new("link_evidence", rows, ["target_id", "record_id", "evidence_type"])
+    facts = typed.select(F.col("record_id").cast("string").alias("record_id"), "observation_type", "scope", "value_text", "value_numeric", "unit")
+    attached = matching.attach_observations(pairs.select("target_id", "record_id", "match_type", "site_level_match"), facts)
+    attached = attached.select("target_id", "record_id", "observation_type", "scope", "value_text", "value_numeric", "unit", "site_attributable", when)
+    keys = ["target_id", "record_id", "observation_type", "scope", "value_text", "value_numeric", "unit"]
+    return {"links": n, "evidence": evidence_added, "attachments": store.append_new("link_attachments", _keyed(attached, keys), ["fact_sha256"])}
+
+
+def _keyed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with a digest of ``keys``, among which nulls are equal."""
+    return rows.withColumn("fact_sha256", F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256))
+
+
 def linked_facts(store: LogStore) -> DataFrame:
     """Typed facts of the latest version of each record, by the latest link of a target and source."""
     links = latest_by(store.read("entity_links", LINKS), ["target_id", "source"], [F.desc("linked_at"), F.desc("record_id")])

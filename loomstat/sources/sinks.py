@@ -72,6 +72,16 @@ def write_json_array(df: DataFrame, path: str | Path, product: bool = False) ->
     return path
 
 
+def save_json(spark: SparkSession, payload: dict, path: str) -> None:
+    """A payload that is on the driver already, such as a dashboard, in whatever storage the path names."""
+    text = json.dumps(payload, ensure_ascii=False, sort_keys=True, default=str)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_json(spark: SparkSession, path: str) -> dict:
+    return json.loads("".join(r[0] for r in spark.read.text(path).collect()))  # one payload
+
+
 def write_json(payload: dict, path: str | Path) -> Path:
     """A payload that is on the driver already, such as a dashboard."""
     path = Path(path)
