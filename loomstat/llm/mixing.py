@@ -12,7 +12,10 @@ Weights are whole multiples of 1 / period, so the schedule repeats after period
 period is enough: it is a fold over its slots, in SQL functions. Unless it is given, the period
 is ``PERIOD`` or, with more sources than a quarter of that, the next power of two above four
 times their number. Documents then get their slots by arithmetic and a join with that table.
-(The fold takes steps in proportion to sources x period: 256 sources, 2.6e5; 10,000, 6.6e8.)
+Sources of one weight have the same release times and deadlines, so the fold keeps a state per
+weight and takes them in turn; it takes steps in proportion to the period times the number of
+different weights, which is less than the square root of twice the period. It runs in one task,
+as one slot depends on those before; what it holds is a row's worth of numbers per source and slot.
 
 Hot sources: running totals inside a source are taken in two steps, over ``BUCKETS`` ranges of
 the digest and then inside each range, so no task needs a whole source.
@@ -62,21 +65,30 @@ def source_weights(sizes: DataFrame, targets: Mapping[str, float] | None, period
     return rows.select("source", "name", (F.col("base") + F.col("more").cast("long")).alias("w"), number.alias("j"), "period")
 
 
+#: Slots that are worked out before they are added to the list.
+CHUNK = 1024
+
+
 def schedule(weights: DataFrame) -> DataFrame:
-    """(j, k, slot): the slot of the k-th block (from 1) of source j in one period, earliest deadline first."""
-    listed = F.array_sort(F.collect_list(F.struct("j", "w")))
-    one = weights.agg(listed.alias("s"), F.max("period").alias("p")).filter(F.size("s") > 0)
-    one = one.select(F.transform("s", lambda x: x["w"].cast("long")).alias("w"), "p")
-    fold = """aggregate(sequence(0L, p - 1L),
-        named_struct('done', transform(w, x -> 0L), 'out', cast(array() as array<long>)),
-        (acc, t) -> element_at(transform(array(
-            array_min(transform(w, (x, i) -> if(acc.done[i] < x and acc.done[i] * p div x <= t,
-                (((acc.done[i] + 1L) * p + x - 1L) div x) * 1000000L + i, 9223372036854775807L))) % 1000000L),
-            pick -> named_struct('done', transform(acc.done, (d, i) -> if(i = pick, d + 1L, d)), 'out', concat(acc.out, array(pick)))), 1),
-        acc -> acc.out)"""
+    """(j, k, slot): the slot of the k-th block (from 1) of source j in one period, earliest deadline first, of equal ones the smallest j."""
+    alike = weights.groupBy(F.col("w").cast("long").alias("w")).agg(F.array_sort(F.collect_list(F.col("j").cast("int"))).alias("js"), F.max("period").alias("p"))
+    one = alike.agg(F.array_sort(F.collect_list(F.struct("w", "js", F.size("js").alias("m")))).alias("c"), F.max("p").cast("long").alias("p")).filter(F.size("c") > 0)
+    # of each weight: block number ``done`` of the sources from place ``at`` on is next
+    pick = """array_min(transform(c, (x, i) -> if(s.done[i] < x.w and s.done[i] * p div x.w <= t,
+        named_struct('deadline', ((s.done[i] + 1L) * p + x.w - 1L) div x.w, 'j', x.js[s.at[i]], 'i', i), null)))"""
+    step = f"""element_at(transform(array({pick}), q -> named_struct(
+        'done', transform(s.done, (d, i) -> if(i = q.i and s.at[i] + 1 = c[i].m, d + 1L, d)),
+        'at', transform(s.at, (a, i) -> if(i = q.i, if(a + 1 = c[i].m, 0, a + 1), a)),
+        'out', concat(s.out, array(q.j)))), 1)"""
+    chunk = f"""aggregate(sequence(b * {CHUNK}L, least(p, (b + 1L) * {CHUNK}L) - 1L),
+        named_struct('done', acc.done, 'at', acc.at, 'out', cast(array() as array<int>)), (s, t) -> {step})"""
+    fold = f"""aggregate(sequence(0L, (p - 1L) div {CHUNK}L),
+        named_struct('done', transform(c, x -> 0L), 'at', transform(c, x -> 0), 'out', cast(array() as array<array<int>>)),
+        (acc, b) -> element_at(transform(array({chunk}), r -> named_struct('done', r.done, 'at', r.at, 'out', concat(acc.out, array(r.out)))), 1),
+        acc -> flatten(acc.out))"""
     slots = one.select(F.posexplode(F.expr(fold)).alias("slot", "j"))
     k = F.row_number().over(Window.partitionBy("j").orderBy("slot")).cast("long")
-    return slots.select(F.col("j").cast("int").alias("j"), k.alias("k"), F.col("slot").cast("long").alias("slot"))
+    return slots.select("j", k.alias("k"), F.col("slot").cast("long").alias("slot"))
 
 
 def _source_name(source_col: str) -> Column:
@@ -105,17 +117,18 @@ def _streams(rows: DataFrame, targets: Mapping[str, float] | None, period: int |
     starts = buckets.select("name", "bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("bucket_start"))
     sizes = buckets.groupBy("name").agg(F.first("source").alias("source"), F.sum("size").alias("size"))
     weights = source_weights(sizes, targets, period)
-    # a row per source and a row per slot of the period: at most eight times the sources, or PERIOD
+    # joins by name and bucket, or name and slot of the period: rows of a hot source have many of either, and Spark
+    # sends these tables (a row per source and bucket, or per slot) to all tasks only if they are small
+    starts = starts.join(weights.select("name", "w", "period"), "name")
     plan = schedule(weights).join(weights, "j").select("name", "k", F.col("slot").alias("first_slot"))
     inside = Window.partitionBy("name", "bucket").orderBy("digest", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("start", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, ["name", "bucket"])
-    placed = placed.withColumn("start", F.col("start") + F.col("bucket_start"))
-    return placed.join(F.broadcast(weights.select("name", "w", "period")), "name"), plan
+    return placed.withColumn("start", F.col("start") + F.col("bucket_start")), plan
 
 
 def _with_slot(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Rows with ``block``, w and period get their ``slot``, ``release`` and ``deadline``."""
-    rows = rows.withColumn("k", F.col("block") % F.col("w") + 1).join(F.broadcast(plan), ["name", "k"])
+    rows = rows.withColumn("k", F.col("block") % F.col("w") + 1).join(plan, ["name", "k"])
     return rows.withColumns({
         "slot": F.expr("block div w * period + first_slot"),
         "release": F.expr("block * period div w"),

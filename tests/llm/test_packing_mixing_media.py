@@ -159,6 +159,32 @@ def test_deviation_is_less_than_a_block(spark, weights):
         assert all(abs(d - w * t / period) < 1 for d, w in zip(done, weights, strict=True))
 
 
+def plain_schedule(weights, period):
+    """Slot by slot over all sources: earliest deadline first, of equal ones the smallest number."""
+    done, out = [0] * len(weights), []
+    for t in range(period):
+        due = [(-(-(done[i] + 1) * period // w), i) for i, w in enumerate(weights) if done[i] < w and done[i] * period // w <= t]
+        out.append(min(due)[1])
+        done[out[-1]] += 1
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_sources_of_one_weight_take_turns_as_single_ones_would(spark, seed):
+    rng = random.Random(seed)
+    weights = [rng.choice([1, 1, 2, 3, 5, rng.randint(1, 60)]) for _ in range(rng.randint(2, 40))]
+    assert schedule_of(spark, weights, sum(weights)) == plain_schedule(weights, sum(weights))
+
+
+def test_very_many_sources(spark):
+    """A source per site: more of them than slots of a chunk, all in their windows."""
+    n = 5000
+    frame = spark.range(2 * n).selectExpr("id as doc_id", "repeat('x', cast(1 + id % 7 as int)) as text", f"concat('site', id % {n}) as source")
+    made = X.mixing_plan(frame, block_chars=4)
+    parts = made.agg(F.count("*"), F.countDistinct("slot"), F.countDistinct("source", "block"), F.count_if((F.col("release") <= F.col("slot")) & (F.col("slot") < F.col("deadline")))).first()
+    assert parts[3] == parts[0] and parts[1] == parts[2]
+
+
 def test_mixing_rows(edge, empty, docs):
     made = X.mixed(edge, block_chars=64)
     assert made.columns == edge.columns and Counter(tuple(r) for r in made.collect()) == Counter(tuple(r) for r in edge.collect())
