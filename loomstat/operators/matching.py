@@ -313,7 +313,7 @@ def audited_run(targets: DataFrame, records: DataFrame, path: str, k: int = 5) -
     made = rows.select("target_id", n.alias("candidates"), outcome.alias("outcome"), F.when(outcome == "AUTO_SELECTED", only).alias("selected_record"), "shortlist")
     counted = audit.on(made, targets=F.count("*"), **{x.lower(): F.count_if(F.col("outcome") == x) for x in OUTCOMES})
     counted.write.parquet(path)
-    return targets.sparkSession.read.schema(made.schema).parquet(path), audit.counts()
+    return targets.sparkSession.read.schema(made.schema).parquet(path), {name: n or 0 for name, n in audit.counts().items()}
 
 
 def selected_pairs(made: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from ..sources.store import LogStore, last_known
 from ..vocab import CHECKPOINTS
 from . import evidence, exposure, lifecycle, matching, quality, sampling
 from .audit import Audit
-from .versioning import append_new, latest_by
+from .versioning import append_new, latest_by, one_per_key
 
 MANIFEST = "run string, item string, sequence_no int, url string"
 LANDED = "run string, item string, url string, retrieved_at timestamp, html string, content_sha256 string, seq long"
@@ -144,6 +144,25 @@ def collect(store: LogStore, fetch: Callable[[str], str], run: str, clock: Calla
     return counts
 
 
+def land_pages(store: LogStore, run: str, pages: DataFrame, at: str, last_sequence: int | None = None, missing_fail: bool = True) -> int:
+    """Land pages that were received together, such as an archive's (item, html), in one write; returns how many.
+
+    Only planned items take a page, at their planned address. With ``missing_fail`` planned items
+    (up to ``last_sequence``) that have none become FAILED, as if they couldn't be fetched.
+    """
+    todo = requests(store, run).filter("request_status = 'PLANNED'")
+    if last_sequence is not None:
+        todo = todo.filter(F.col("sequence_no") <= last_sequence)
+    todo = todo.select("run", "item", "url", "entity")
+    given = one_per_key(pages.select(F.col("item").cast("string").alias("item"), "html").filter("html is not null"), ["item"])
+    made = todo.join(given, "item").select("run", "item", "url", F.lit(at).cast("timestamp").alias("retrieved_at"), "html", F.sha2("html", 256).alias("content_sha256"), F.lit(time.time_ns()).alias("seq"))
+    n = store.append("landed", made)
+    if missing_fail:
+        lacking = todo.join(given.select("item"), "item", "left_anti").select("entity", F.lit("FAILED").alias("status"), F.lit("there is no page").alias("note"))
+        _record(store, "request_events", lacking, at, lifecycle.TRANSITIONS)
+    return n
+
+
 def requeue_failed(store: LogStore, run: str, at: str, reason: str, items: list[str] | None = None) -> int:
     """Plan the failed items of a run again, all or those named."""
     failed = requests(store, run).filter("request_status = 'FAILED'")
@@ -231,6 +250,29 @@ def run_checkpoint(store: LogStore, fetch: Callable[[str], str], label: str, che
     return counts
 
 
+def run_progressive_pages(store: LogStore, pages: DataFrame, label: str, clock: Callable[[], str]) -> list[dict]:
+    """Checkpoint after checkpoint over detail pages (item, html) that are there already, until one fails or all have passed."""
+    out = []
+    while ready := [n for n, s in checkpoint_states(store, label).items() if s == "READY"]:
+        land_pages(store, f"detail:{label}", pages, clock(), last_sequence=min(ready))
+        stage_details(store, label, clock())
+        out.append(evaluate_checkpoint(store, label, min(ready), clock()))
+        if not out[-1]["passed"]:
+            break
+    return out
+
+
+def run_universe_pages(store: LogStore, run: str, pages: DataFrame, clock: Callable[[], str]) -> str:
+    """Stage a universe from pages (item, html) that are there already: the first tells the total and plans the others, which come together. Returns its state."""
+    try:
+        for first in (True, False):
+            land_pages(store, run, pages.filter(F.col("item") == "1") if first else pages, clock(), missing_fail=not first)
+            stage_universe(store, run, clock())
+        return finalize_universe(store, run, clock())[0]
+    except quality.SnapshotIntegrityError:
+        return universe(store, run)["status"]  # the run has recorded it
+
+
 def run_progressive(store: LogStore, fetch: Callable[[str], str], label: str, clock: Callable[[], str]) -> list[dict]:
     """Checkpoint after checkpoint, until one fails or all have passed."""
     if not checkpoint_states(store, label):
@@ -626,7 +668,10 @@ def import_risk(store: LogStore, records: DataFrame, units: DataFrame, source: s
     known = store.spark.read.parquet(store.path("exposures")) if store.exists("exposures") else rows.limit(0)
     new = audit.on(append_new(known, rows, ["observation_sha256"]), inserted=F.count("*"))
     new.write.mode("append").parquet(store.path("exposures"))
-    return audit.counts(), bad
+    counts = audit.counts()
+    if counts["records"] is None:  # without a unit or a record there was nothing to write
+        counts |= {"records": records.count(), "unresolved": bad.count()}
+    return {name: n or 0 for name, n in counts.items()}, bad
 
 
 def ingest_risk_page(store: LogStore, page: DataFrame, units: DataFrame, source: str, vintage: str | None, observed_at: str) -> dict:

@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLE_SQL, QUERIES
 
-for _name in ("registry_queries", "evidence_queries", "planning_queries", "expression_queries", "source_queries", "scale_queries", "profile_queries"):
+for _name in ("registry_queries", "evidence_queries", "planning_queries", "expression_queries", "source_queries", "scale_queries", "profile_queries", "bulk_queries"):
     importlib.import_module(f"{__package__}.{_name}")
 
 

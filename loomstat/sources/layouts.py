@@ -57,7 +57,7 @@ class VersionedTable:
             rows = audit.on(self.read(), before=F.count("*"))
             made = audit.on(self.steps[layout - 2](rows), after=F.count("*"))
             made.write.mode("overwrite").parquet(self.path(layout))
-            seen = audit.counts()
+            seen = {name: n or 0 for name, n in audit.counts().items()}
             if seen["before"] != seen["after"]:
                 raise LayoutError(f"layout {layout} of {self.name} would have {seen['after']} rows, not {seen['before']}")
             self.store.append(self._log(), self.store.spark.createDataFrame([(self.name, layout, layout)], LAYOUTS))

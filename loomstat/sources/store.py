@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.audit import Audit
 from ..operators.versioning import append_new
 
 #: Columns that a log is split into folders by, where it has them.
@@ -59,10 +60,10 @@ class LogStore:
         return self.spark.read.parquet(self.path(name)).count() if self.exists(name) else 0
 
     def append(self, name: str, rows: DataFrame) -> int:
-        """Append; returns the number of rows added."""
-        before = self.count(name)
-        self.write(name, rows)
-        return self.count(name) - before
+        """Append; returns the number of rows added, as the job that writes counted them."""
+        audit = Audit()
+        self.write(name, audit.on(rows, added=F.count("*")))
+        return audit.counts()["added"] or 0
 
     def write(self, name: str, rows: DataFrame) -> None:
         """Append, in folders by run, or by label and version."""

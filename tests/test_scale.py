@@ -245,3 +245,14 @@ def test_bitmaps_count_what_distinct_counts(spark):
     for cells in (["a", "b"], ["a"], ["b"]):
         want = {tuple(r) for r in rows.groupBy(*cells).agg(F.countDistinct("n")).collect()}
         assert {tuple(r) for r in counted(united(maps, cells), cells, "c").collect()} == want
+
+
+def test_counts_of_places_that_did_not_run(spark, tmp_path):
+    audit = Audit()
+    rows = audit.on(spark.range(10).limit(0), n=F.count("*")).join(spark.range(5), "id")
+    audit.on(rows, m=F.count("*")).write.parquet(str(tmp_path / "x"))
+    assert {k: v or 0 for k, v in audit.counts().items()} == {"n": 0, "m": 0}
+    none = spark.createDataFrame([], RECORD)
+    targets = spark.createDataFrame([(1, "Alpha Mills", "Road", "D1", "U1", "RMG_TEXTILE")], TARGET)
+    _, counts = M.audited_run(targets, none, str(tmp_path / "run"))
+    assert counts["pairs"] == counts["shortlisted"] == 0 and counts["targets"] == counts["no_staged_candidate"] == 1
