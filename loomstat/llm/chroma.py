@@ -271,3 +271,16 @@ def rendered(vector: list[float] | None, lead: int) -> bytes:
     v = np.resize(v, 2 * NOTES)
     pitch = np.floor(np.abs(v[0::2] * 1000 + v[1::2] * 700)).astype(np.int64) % PITCHES
     return wav(np.concatenate([np.zeros(RATE * lead // 10, dtype=np.float32), _notes()[pitch].reshape(-1)]), RATE)
+
+
+#: Noise of recordings made again, in turn, as a share of full scale.
+NOISE = (0.02, 0.1)
+
+
+def recorded_again(audio: bytes, number: int) -> bytes:
+    """The recording once more with noise; every third lacks its first quarter."""
+    samples, rate = decode(audio)
+    if number % 3 == 2:
+        samples = samples[len(samples) // 4 :]
+    noise = np.random.default_rng(number).normal(0, NOISE[number % len(NOISE)], len(samples))
+    return wav(np.clip(samples + noise, -1, 1) * 20_000, rate)

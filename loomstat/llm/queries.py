@@ -42,22 +42,32 @@ def op5_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_plan(documents(spark, sf_dir))
 
 
+def _tune(vec_id: int | None, vector: list, copied: bool) -> bytes:
+    audio = chroma.rendered(vector, (vec_id or 0) % 7)
+    return chroma.recorded_again(audio, vec_id // 50) if copied else audio
+
+
 def _tunes(batches):
     for batch in batches:
-        ids, vectors = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        ids, vectors, copied = (c.to_pylist() for c in batch.columns)
         for a in range(0, len(ids), 64):
-            audio = [chroma.rendered(v, (i or 0) % 7) for i, v in zip(ids[a : a + 64], vectors[a : a + 64], strict=True)]
+            audio = [_tune(*x) for x in zip(ids[a : a + 64], vectors[a : a + 64], copied[a : a + 64], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(ids[a : a + 64], pa.int64()), pa.array(audio, pa.binary())], names=["vec_id", "audio"])
 
 
 def op6_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector as a recording; those whose id is divisible by 50 are searched among all.
 
+    So that there are true matches, the recording after each of these is of the same tune: it begins
+    at another time, has noise, and every third has lost its first quarter (``chroma.recorded_again``).
+
     A row per recording (vec_id, class_id, is_query, n_values), for queries a row per class that
     aligns with theirs (match_class, offset in frames, votes, bit_error); match_class is null without one.
     """
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    audio = vectors.mapInArrow(_tunes, "vec_id long, audio binary")
+    copies = vectors.filter("vec_id % 50 = 0").select((F.col("vec_id") + 1).alias("copy_id"), F.col("embedding").alias("copied")).dropDuplicates(["copy_id"])
+    rows = vectors.join(copies, F.col("vec_id") == F.col("copy_id"), "left")
+    audio = rows.select("vec_id", F.coalesce("copied", "embedding"), F.col("copied").isNotNull()).mapInArrow(_tunes, "vec_id long, audio binary")
     marked = saved(chroma.fingerprints(audio, "vec_id", "audio"), "chroma")
     members, matches = chroma.search(marked, F.col("rec_id") % 50 == 0)
     rows = members.withColumn("query_class", F.when(F.col("is_query"), F.col("class")))

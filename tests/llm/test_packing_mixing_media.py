@@ -1,3 +1,4 @@
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -313,6 +314,17 @@ def test_chroma_finds_a_shared_passage(spark):
     assert abs(got[0]["offset"] + len(a) / (1024 // 3)) <= 1 and got[0]["overlap"] > 100
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no tables")
+def test_the_query_meets_the_copies_in_its_own_rows(spark):
+    from loomstat.llm import queries
+
+    made = queries.QUERIES["op6_chroma_fingerprints"](spark, "/root/testdata/sf0.001").collect()
+    asked = {r["vec_id"] for r in made if r["is_query"] and r["vec_id"] + 1 in {x["vec_id"] for x in made}}
+    met = {r["vec_id"] for r in made if r["match_class"] == r["vec_id"] + 1}
+    assert len(asked) >= 10 and len(met & asked) >= 0.9 * len(asked)
+    assert all(r["match_class"] in (None, r["vec_id"] + 1) for r in made)
+
+
 def test_the_limit_tightens_with_the_overlap():
     limits = [A.limit(n) for n in range(A.LEAST_OVERLAP, 200)]
     assert limits == sorted(limits) and limits[-1] == A.MAX_BIT_ERROR and A.limit(16) < 0
