@@ -23,10 +23,13 @@ holds them.
 4. Each block looks at its texts again beside its answers: blocks of deleted documents give
    the held-out counts for the mixture weights, and all blocks give scores.
 
-A request has a row per block and range. Above ``GROW_FROM`` bytes of text, blocks and ranges
-both grow with the square root of the input, so that the rows grow in proportion to it and no
-faster: 1.7e7 rows at 32 GB, 5e10 rows of 3 KB and blocks of 450 MB at 100 TB. A block's arrays
-take about six times its bytes in its task.
+Blocks and ranges have a constant size, so a task's arrays are bounded whatever the input (about
+six times ``BLOCK_BYTES``). A request has a row per block and range, which is too many where both
+are many: above 2^``HOP_BITS`` ranges (32 GB of text) requests go in two hops. A block then asks
+coarse ranges only; groups of blocks merge what they ask a coarse range, as many blocks as there
+are coarse ranges, so that a merged request is no larger than a block's own; and merged requests
+go to the fine ranges. The answers come back the same way. Rows grow with the input to the power
+of 1.5: 4e10 rows of about 400 keys each way at 100 TB.
 
 The held-out counts go to the driver as a histogram over (bucket, unigram probability, bigram
 probability) with ``STEPS`` steps per power of ten, whose size has a bound that doesn't depend
@@ -57,7 +60,8 @@ from .common import saved, strings, text_of
 BLOCK_BYTES = 8 << 20
 #: Bytes of text for one range of hashes.
 RANGE_BYTES = 8 << 20
-GROW_FROM = 32 << 30
+#: Up to 2^this many ranges are asked directly.
+HOP_BITS = 12
 STEPS = 50
 BUCKETS = 64
 ROUNDS = 60
@@ -110,11 +114,6 @@ def _unpack_keys(data: bytes) -> np.ndarray:
 _BLOCKS = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("text_bytes", pa.int64()), ("payload", pa.binary())])
 
 
-def growth(text_bytes: int) -> float:
-    """By how much blocks and ranges are larger than their least sizes."""
-    return max(1.0, math.sqrt(text_bytes / GROW_FROM))
-
-
 def _to_blocks(batches: Iterator[pa.RecordBatch], block_bytes: float) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
     held: dict[int, tuple[list, list]] = {k: ([], []) for k in (TRAIN, DELETED, SCORED)}
@@ -185,13 +184,14 @@ _ANSWERS = "block long, part long, kind int, u_all binary, u_deleted binary, b_a
 _ANSWERS_ARROW = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("kind", pa.int32()), *((x, pa.binary()) for x in ("u_all", "u_deleted", "b_all", "b_deleted")), *((x, pa.int64()) for x in ("v", "n", "n_deleted"))])
 
 
-def _answer(table: pa.Table) -> pa.Table:
+def _answer_of(table: pa.Table, width: str) -> pa.Table:
+    """The totals of one range, for every row that asks; ``width`` is the type of the counts in the rows."""
     table = table.combine_chunks()
     part, kinds, blocks = table["part"][0].as_py(), table["kind"].to_pylist(), table["block"].to_pylist()
     columns: dict[str, list] = {"block": [*blocks, -1], "part": [part] * (len(blocks) + 1), "kind": [*kinds, -1]}
     for name in ("u", "b"):
         keys = [_unpack_keys(x) for x in table[f"{name}_keys"].to_pylist()]
-        counts = [np.frombuffer(x, "<u4") if k != SCORED else np.zeros(len(y), "<u4") for x, k, y in zip(table[f"{name}_counts"].to_pylist(), kinds, keys, strict=True)]
+        counts = [np.frombuffer(x, width) if k != SCORED else np.zeros(len(y), width) for x, k, y in zip(table[f"{name}_counts"].to_pylist(), kinds, keys, strict=True)]
         own, at = np.unique(np.concatenate(keys), return_inverse=True)
         every = np.bincount(at, weights=np.concatenate(counts), minlength=len(own)).astype("<i8")
         gone = np.bincount(at, weights=np.concatenate([c * (k == DELETED) for c, k in zip(counts, kinds, strict=True)]), minlength=len(own)).astype("<i8")
@@ -206,6 +206,101 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(columns[f.name], f.type) for f in _ANSWERS_ARROW], schema=_ANSWERS_ARROW)
 
 
+def _answer(table: pa.Table) -> pa.Table:
+    return _answer_of(table, "<u4")
+
+
+def _answer_merged(table: pa.Table) -> pa.Table:
+    return _answer_of(table, "<i8")
+
+
+class _Merged:
+    """What the blocks of a group ask a coarse range for, as one sorted set of keys for each kind of n-gram."""
+
+    def __init__(self, table: pa.Table) -> None:
+        self.kinds, self.keys, self.own, self.train, self.gone, self.asks_gone = table["kind"].to_pylist(), {}, {}, {}, {}, {}
+        for name in ("u", "b"):
+            keys = self.keys[name] = [_unpack_keys(x) for x in table[f"{name}_keys"].to_pylist()]
+            own, at = np.unique(np.concatenate(keys), return_inverse=True)
+            ends = np.cumsum([len(x) for x in keys])
+            self.own[name] = own
+            self.train[name], self.gone[name], self.asks_gone[name] = np.zeros(len(own), "<i8"), np.zeros(len(own), "<i8"), np.zeros(len(own), bool)
+            for kind, data, x, end in zip(self.kinds, table[f"{name}_counts"].to_pylist(), keys, ends, strict=True):
+                where = at[end - len(x) : end]  # the keys of a row are distinct
+                if kind != SCORED:
+                    (self.train if kind == TRAIN else self.gone)[name][where] += np.frombuffer(data, "<u4")
+                if kind == DELETED:
+                    self.asks_gone[name][where] = True
+
+    def wanted(self, kind: int, name: str) -> np.ndarray:
+        """Which keys the merged row of a kind has: that of training asks for all, that of deleted blocks for theirs."""
+        return self.asks_gone[name] if kind == DELETED else np.ones(len(self.own[name]), bool)
+
+
+def _group_of(block: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(block), F.lit(1 << bits))
+
+
+def _merge(coarse: int, fine: int):
+    """Merged requests of a (coarse range, group), a row per fine range and kind; ``block`` is 2 x group, and 1 more for deleted ones."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        part, group, merged = table["part"][0].as_py(), table["grp"][0].as_py(), _Merged(table)
+        edges = ((np.uint64(part) << np.uint64(fine)) + np.arange(1, 1 << fine, dtype=np.uint64)) << np.uint64(64 - coarse - fine)
+        out = []
+        for kind in (TRAIN, DELETED):
+            columns = []
+            for name in ("u", "b"):
+                some = merged.wanted(kind, name)
+                keys, counts = merged.own[name][some], (merged.gone if kind == DELETED else merged.train)[name][some]
+                columns.append((keys, counts, np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))))
+            (u, u_n, u_at), (b, b_n, b_at) = columns
+            out += [
+                ((part << fine) + f, 2 * group + (kind == DELETED), kind, _pack_keys(u[u_at[f] : u_at[f + 1]]), u_n[u_at[f] : u_at[f + 1]].tobytes(), _pack_keys(b[b_at[f] : b_at[f + 1]]), b_n[b_at[f] : b_at[f + 1]].tobytes())
+                for f in range(1 << fine) if u_at[f + 1] > u_at[f] or b_at[f + 1] > b_at[f]
+            ]
+        columns = list(zip(*out, strict=True)) if out else [[]] * len(_ASKED)
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, _ASKED, strict=True)], schema=_ASKED)
+
+    return run
+
+
+def _pass_on(asked: pa.Table, answers: pa.Table) -> pa.Table:
+    """The answers to a merged request, dealt to the blocks that asked."""
+    asked, answers = asked.combine_chunks(), answers.sort_by("part").combine_chunks()
+    merged, columns = _Merged(asked), {"block": asked["block"], "part": asked["part"], "kind": asked["kind"]}
+    kinds = answers["kind"].to_pylist()
+
+    def joined(column: str, kind: int) -> np.ndarray:
+        return np.frombuffer(b"".join(x for x, k in zip(answers[column].to_pylist(), kinds, strict=True) if k == kind), "<i8")
+
+    for name in ("u", "b"):
+        every, gone = joined(f"{name}_all", TRAIN), np.zeros(len(merged.own[name]), "<i8")
+        gone[merged.asks_gone[name]] = joined(f"{name}_deleted", DELETED)
+        at = [np.searchsorted(merged.own[name], x) for x in merged.keys[name]]
+        columns[f"{name}_all"] = pa.array([every[x].tobytes() for x in at], pa.binary())
+        columns[f"{name}_deleted"] = pa.array([gone[x].tobytes() if k == DELETED else b"" for x, k in zip(at, merged.kinds, strict=True)], pa.binary())
+    none = pa.nulls(asked.num_rows, pa.int64())
+    return pa.table([columns.get(f.name, none) for f in _ANSWERS_ARROW], schema=_ANSWERS_ARROW)
+
+
+def _answered(asking: DataFrame, ask, bits: int) -> tuple[DataFrame, DataFrame]:
+    """(answers to the blocks, rows of sums) for blocks ``asking`` (block, kind, payload), in one hop or in two."""
+    schema = "part long, block long, kind int, u_keys binary, u_counts binary, b_keys binary, b_counts binary"
+    if bits <= HOP_BITS:
+        answers = saved(asking.mapInArrow(ask(bits), schema).groupBy("part").applyInArrow(_answer, _ANSWERS), "lm-answers")
+        return answers.filter("block >= 0"), answers.filter("block = -1")
+    coarse = -(-bits // 2)
+    fine = bits - coarse
+    asked = asking.mapInArrow(ask(coarse), schema).withColumn("grp", _group_of(F.col("block"), fine))
+    requests = asked.groupBy("part", "grp").applyInArrow(_merge(coarse, fine), schema)
+    far = saved(requests.groupBy("part").applyInArrow(_answer_merged, _ANSWERS), "lm-far-answers")
+    back = far.filter("block >= 0").withColumns({"grp": F.shiftright("block", 1), "to": F.shiftright("part", fine)})
+    dealt = asked.groupBy("part", "grp").cogroup(back.groupBy("to", "grp")).applyInArrow(_pass_on, _ANSWERS)
+    return saved(dealt, "lm-answers"), far.filter("block = -1")
+
+
 class _Block:
     """A block's tokens with their counts."""
 
@@ -295,13 +390,11 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     kind = F.when(held_out, SCORED).when(deleted, DELETED).otherwise(TRAIN)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), kind.alias("kind"), text_of(text_col).alias("text"))
     text_bytes = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
-    block_bytes, range_bytes = BLOCK_BYTES * growth(text_bytes), RANGE_BYTES * growth(text_bytes)
-    blocks = saved(rows.mapInArrow(functools.partial(_to_blocks, block_bytes=block_bytes), "block long, kind int, text_bytes long, payload binary"), "lm-blocks")
-    bits = max(0, math.ceil(math.log2(max(1, text_bytes / range_bytes))))
-    asked = blocks.select("block", "kind", "payload").mapInArrow(_ask(bits), "part long, block long, kind int, u_keys binary, u_counts binary, b_keys binary, b_counts binary")
-    answers = saved(asked.groupBy("part").applyInArrow(_answer, _ANSWERS), "lm-answers")
-    v, n, n_deleted = (x or 0 for x in answers.filter("block = -1").agg(F.sum("v"), F.sum("n"), F.sum("n_deleted")).first())
-    told = answers.filter("block >= 0").select("block", "part", "kind", "u_all", "u_deleted", "b_all", "b_deleted")
+    blocks = saved(rows.mapInArrow(functools.partial(_to_blocks, block_bytes=BLOCK_BYTES), "block long, kind int, text_bytes long, payload binary"), "lm-blocks")
+    bits = max(0, math.ceil(math.log2(max(1, text_bytes / RANGE_BYTES))))
+    answers, sums = _answered(blocks.select("block", "kind", "payload"), _ask, bits)
+    v, n, n_deleted = (x or 0 for x in sums.agg(F.sum("v"), F.sum("n"), F.sum("n_deleted")).first())
+    told = answers.select("block", "part", "kind", "u_all", "u_deleted", "b_all", "b_deleted")
 
     def beside(kind: Column, run, schema: str) -> DataFrame:
         return blocks.filter(kind).groupBy("block").cogroup(told.filter(kind).groupBy("block")).applyInArrow(run, schema)

@@ -7,6 +7,7 @@ from collections import Counter
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,7 +79,10 @@ def plain_estimates(text, word, pair, v, n):
         yield c.bit_length(), 1 / (v + 1), word[w] / n, pair[h, w] / c if c else 0.0
 
 
-def test_lm_scores_equal_brute_force(docs, monkeypatch):
+@pytest.mark.parametrize("hop_bits", [12, 3, 0])
+def test_lm_scores_equal_brute_force(docs, monkeypatch, hop_bits):
+    """Many blocks and ranges, asked directly or in two hops."""
+    monkeypatch.setattr(M, "HOP_BITS", hop_bits)
     monkeypatch.setattr(M, "BLOCK_BYTES", 700)
     monkeypatch.setattr(M, "RANGE_BYTES", 900)
     rng = random.Random(3)
@@ -133,9 +137,26 @@ def test_mixture_weights_are_found():
     assert np.allclose(M.mixture_weights([], 5).sum(axis=1), 1)
 
 
-def test_requests_grow_in_proportion_to_the_input():
-    rows = [t * t / (M.BLOCK_BYTES * M.RANGE_BYTES * M.growth(t) ** 2) for t in (32 << 30, 32 << 35, 100 << 40)]
-    assert M.growth(1 << 30) == 1 and rows[1] == pytest.approx(32 * rows[0]) and rows[2] == pytest.approx(3200 * rows[0])
+@pytest.mark.parametrize("bits", [3, 6, 10])
+def test_merged_requests_are_no_larger_than_a_block(bits):
+    """2^bits blocks and ranges: what a task of either hop holds has the same bound for 8, 64 and 1,024 of them."""
+    rng, own = np.random.default_rng(bits), 3000  # keys of a block
+    coarse = -(-bits // 2)
+    fine = bits - coarse
+    part, rows = (1 << coarse) - 1, []
+    for block in range((1 << bits) >> fine):  # the blocks of one group
+        keys = np.unique(rng.integers(0, 1 << 64, own, dtype=np.uint64))
+        keys = keys[keys >> np.uint64(64 - coarse) == part]
+        counts = np.ones(len(keys), "<u4").tobytes()
+        rows.append((part, block, block % 3, M._pack_keys(keys), counts, M._pack_keys(keys), counts, 0))
+    asked = pa.table([pa.array(c) for c in zip(*rows, strict=True)], names=[*M._ASKED.names, "grp"])
+    held = sum(len(M._unpack_keys(x)) for x in asked["u_keys"].to_pylist())
+    assert held < 1.3 * own
+    made = M._merge(coarse, fine)(asked)
+    assert made.num_rows <= 2 << fine and all(p >> fine == part for p in made["part"].to_pylist())
+    merged = [len(M._unpack_keys(k)) for k, kind in zip(made["u_keys"].to_pylist(), made["kind"].to_pylist(), strict=True) if kind == M.TRAIN]
+    assert sum(merged) <= held  # and a fine range gets such a share from each of 2^fine groups
+    assert max(merged) << fine < 2.5 * own
 
 
 def test_lm_tokens():
