@@ -91,14 +91,21 @@ class Maker:
 
     def header(self) -> str:
         bits = [f"<div>{self.phrase()}</div>", f"<p>{self.phrase(3, 8)}</p>", self.links(2, 6), f"<h1>{self.phrase()}</h1>", f"<h2>{self.link()}</h2>"]
+        if self.style == "bare":  # nothing but its links tells it from an article
+            bits = [bits[2], f"{self.phrase()} {self.links(2, 6)}"]
+            return self.part("header", self.rng.choice(bits))
         return self.part("header", "".join(self.rng.sample(bits, self.rng.randint(1, 3))))
 
     def footer(self) -> str:
         bits = [f"&copy; {self.phrase()} &middot; {self.sentences(1, 2)}", f"<p>{self.sentences(1, 3)}</p>", self.links(3, 8), f"&copy; 20{self.rng.randint(10, 26)} {self.phrase()}"]
+        if self.style == "bare":
+            return self.part("footer", self.rng.choice((bits[2], bits[3], bits[3] + " " + bits[2])))
         return self.part("footer", "".join(self.rng.sample(bits, self.rng.randint(1, 3))))
 
     def sidebar(self) -> str:
         teasers = "".join(f"<div><h4>{self.link(3, 8)}</h4><p>{self.sentences(1, 2)}</p></div>" for _ in self.some(1, 4))
+        if self.style == "bare":
+            return self.part("sidebar", self.links(3, 9, 9))
         return self.part("sidebar", f"<h3>{self.phrase()}</h3>" + self.rng.choice((self.links(3, 9, 9), teasers, f"<p>{self.sentences(1, 3)}</p>" + self.links(1, 5, 6))))
 
     def notice(self) -> str:
@@ -161,14 +168,16 @@ class Maker:
         made = [title]
         for _ in self.some(*rng.choices(((1, 14), (1, 2), (60, 250)), (78, 18, 4))[0]):
             made.append(self.block())
-            if rng.random() < 0.06:
+            if rng.random() < 0.08:
                 made.append(rng.choice((self.advert, self.share, self.sidebar, self.form) if self.style != "bare" else (self.form,))())
-        if rng.random() < 0.2 and self.style != "bare":
-            made.append(rng.choice((self.share, self.sidebar, self.comments))())
+        for _ in range(rng.choice((0, 0, 0, 1, 2)) if self.style != "bare" else 0):
+            made.append(rng.choice((self.share, self.sidebar, self.comments, self.form))())
         return self.part("content", "".join(made))
 
     def page(self) -> str:
         rng, bare = self.rng, self.style == "bare"
+        if bare and rng.random() < 0.15:  # an article and nothing else
+            return rng.choice(("{}", "<html><body>{}</body></html>", "<div>{}</div>")).format("".join(self.block() for _ in self.some(1, 8)))
 
         def maybe(chance: float, *made) -> list[str]:
             return [rng.choice(made)()] if rng.random() < chance else []

@@ -32,9 +32,9 @@ from . import boosting, dom, layouts
 from .common import batches_of, strings, text_of, unused
 
 #: Made-up pages and pages of the table that the classifier is fitted on.
-MADE, PER_TABLE = 500, 200
-#: What a mixed node costs, as a log likelihood.
-MIXED = -0.7
+MADE, PER_TABLE = 600, 200
+#: What a mixed node costs, as a log likelihood, and more for each unit of log odds against main text.
+MIXED, AGAINST = -0.7, 0.35
 KEPT, DROPPED, MIX = range(3)
 BOILERPLATE = frozenset("aside button dialog footer form header menu nav noscript option select".split())
 
@@ -61,7 +61,7 @@ def decoded(trees: dom.Trees, log_odds: np.ndarray) -> list[bool]:
     """Whether each node is kept, by the likeliest labelling in which no node contradicts one above it."""
     keep, drop = (-np.logaddexp(0, -log_odds)).tolist(), (-np.logaddexp(0, log_odds)).tolist()
     n, parent = len(keep), trees.parent
-    mixed, inner = [MIXED] * n, [False] * n
+    mixed, inner = (MIXED + AGAINST * np.minimum(log_odds, 0)).tolist(), [False] * n
     for k in range(n - 1, -1, -1):
         up = parent[k]
         if up >= 0:

@@ -91,6 +91,31 @@ def test_boilerplate_goes_and_the_article_stays(model):
         assert model.texts([around.format(shape.format(inside))]) == ["\n".join(story)], shape
 
 
+STORY = [
+    "The council met on Monday, and voted to close the old bridge. Nobody objected.", "Traffic will be led over the new road, which opened in May.",
+    '"We are glad," said the mayor, "that it is done at last."', "Work begins next week and should end in autumn, the council said in a statement on Tuesday.",
+]
+ARTICLE = "<h1>Old bridge closes</h1>" + "".join(f"<p>{p}</p>" for p in STORY)
+LAYOUTS = {
+    "blog": "<body class='home'><div id='page'><div id='masthead' class='site-header'><a href=/>My Blog</a><p>Just another blog</p></div><div id='site-navigation'><ul><li><a href=/>Home</a><li><a href=/a>About</a></ul></div>"
+    "<div id='content'><div class='entry'><div class='entry-content'>{}</div><div class='share'><ul><li><a href=x>Tweet</a><li><a href=y>Share</a></ul></div></div><div id='comments'><h2>2 thoughts</h2><ol class='commentlist'>"
+    "<li><p>I used that bridge every day for ten years. What a pity.</p><a href=r>Reply</a></ol></div></div><div class='widget-area'><h3>Recent posts</h3><ul><li><a href=1>The new school is open at last</a></ul></div></div><div class='site-footer'>&copy; 2024</div>",
+    "main": "<body><div class='cookie-banner'>We use cookies to improve your visit. Read more in our policy. <button>OK</button></div><header><nav><a href=/>Home</a> <a href=/n>News</a></nav></header><main>{}"
+    "<form action=/s><label>Subscribe</label><input><button>Go</button></form><aside><h4>Related</h4><ul><li><a href=1>Another story about roads and rivers</a></ul></aside></main><footer>Contact us. All rights reserved.</footer>",
+    "bare": "<body><div><a href=/>Home</a> | <a href=/b>Blog</a> | <a href=/c>Contact</a></div><div>{}</div><div><a href=/imprint>Imprint</a></div>",
+    "nothing else": "{}",
+}
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_layouts_by_hand(model, layout):
+    assert model.texts([LAYOUTS[layout].format(ARTICLE)]) == ["\n".join(["Old bridge closes", *STORY])]
+
+
+def test_a_page_of_links_has_no_main_text(model):
+    assert model.texts(["<body><nav><ul><li><a href=/>Home</a></li><li><a href=/b>Blog</a></li></ul></nav><footer>&copy; x</footer>"]) == [""]
+
+
 def test_decoding_is_the_likeliest_without_contradictions():
     rng = random.Random(4)
     for _ in range(60):
@@ -108,7 +133,7 @@ def test_decoding_is_the_likeliest_without_contradictions():
                 above = states[trees.parent[k]] if trees.parent[k] >= 0 else M.MIX
                 if above != M.MIX and s != above or s == M.MIX and k not in inner:
                     return -np.inf
-                total += {M.KEPT: -np.logaddexp(0, -odds[k]), M.DROPPED: -np.logaddexp(0, odds[k]), M.MIX: M.MIXED}[s]
+                total += {M.KEPT: -np.logaddexp(0, -odds[k]), M.DROPPED: -np.logaddexp(0, odds[k]), M.MIX: M.MIXED + M.AGAINST * min(odds[k], 0)}[s]
             return total
 
         every = [[k // 3**i % 3 for i in range(n)] for k in range(3**n)]
