@@ -76,6 +76,29 @@ def test_profiles_give_what_rows_give(spark):
     assert sorted(map(str, (tuple(x) for x in short.select(columns).collect()))) == want and want
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_pairs_to_be_listed_are_all_made(spark, rows, seed):
+    rng = random.Random(seed)
+    some = lambda words, least, most: " ".join(rng.choice(words) for _ in range(rng.randint(least, most)))
+    word, line = ["alpha", "beta", "mills", "textile", "x", "gamma", "ltd"], ["road", "lane", "plot", "r1", "r2", "gate"]
+    place = lambda: (some(line, 0, 5), rng.choice(["d1", "d2", "", None]), rng.choice(["u1", "u2", "", None]))
+    t = spark.createDataFrame([(k, some(word, 0, 4), *place(), "RMG_TEXTILE") for k in range(90)], TARGET)
+    r = spark.createDataFrame([(k, "BGMEA", str(k), some(word, 0, 4), *place()) for k in range(90)], RECORD)
+    sides = M._profiled(t, r)
+    columns = ["t_profile", "r_profile", "overlap", "name_result", "address_result", "match_type", "n_t", "n_r", "priority"]
+    listed, judged = (sorted(map(str, rows(M.profile_pairs(*sides, listed_only=x).withColumn("priority", M.priority()).filter("priority is not null").select(columns)))) for x in (True, False))
+    assert listed == judged and any(x.endswith("priority=5)") or x.endswith(", 5)") for x in listed)
+
+
+def test_a_word_of_all_names_does_not_make_all_pairs(spark, tmp_path):
+    n = 60
+    t = spark.createDataFrame([(k, f"w{k} Textile Mills Ltd", f"R{k} Lane", "D", f"U{k}", "RMG_TEXTILE") for k in range(n)], TARGET)
+    r = spark.createDataFrame([(k, "BGMEA", str(k), f"w{k} Textile Mills", f"R{k} Lane", "D", f"U{k}") for k in range(n)], RECORD)
+    assert M.profile_pairs(*M._profiled(t, r), listed_only=True).count() == n
+    made, counts = M.audited_run(t, r, str(tmp_path / "run"), judged=False)
+    assert counts["auto_selected"] == n and "pairs" not in counts and made.filter("selected_record = target_id").count() == n
+
+
 def test_audited_run_counts_as_it_writes(spark, tmp_path):
     t = spark.createDataFrame([(1, "Alpha Mills", "Road", "D1", "U1", "RMG_TEXTILE"), (2, "Nobody", "x", "D1", None, "RMG_TEXTILE")], TARGET)
     r = spark.createDataFrame([(7, "BGMEA", "7", "Alpha Mills Ltd", "Road", "D1", "U1"), (8, "BGMEA", "8", "Alpha Mills", "Elsewhere", "D9", None)], RECORD)
