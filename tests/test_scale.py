@@ -99,6 +99,21 @@ def test_a_word_of_all_names_does_not_make_all_pairs(spark, tmp_path):
     assert counts["auto_selected"] == n and "pairs" not in counts and made.filter("selected_record = target_id").count() == n
 
 
+def test_classes_that_block_give_all_pairs(spark, rows):
+    words = ["Alpha", "Beta", "Mills", "Ltd", "x"]
+    rng = random.Random(3)
+    t, r = (spark.createDataFrame([(k, " ".join(rng.choice(words) for _ in range(rng.randint(0, 3)))) for k in range(n, n + 150)] + [(n + 150, None)], "id long, name string") for n in (0, 1000))
+    found = rows(M.block_classes(t, r, "id", "name", "id", "name"))
+    members = {kind: {} for kind in ("target", "record")}
+    for kind, a, b, member in found:
+        if kind != "pair":
+            members[kind].setdefault(a if kind == "target" else b, []).append(member)
+    assert sorted(x for m in members.values() for ids in m.values() for x in ids) == [*range(151), *range(1000, 1151)]
+    pairs = [(a, b) for kind, a, b, _ in found if kind == "pair"]
+    made = [(x, y) for a, b in pairs for x in members["target"][a] for y in members["record"][b]]
+    assert sorted(made) == sorted(rows(M.block_pairs(t, r, "id", "name", "id", "name"))) and len(found) < len(made)
+
+
 def test_audited_run_counts_as_it_writes(spark, tmp_path):
     t = spark.createDataFrame([(1, "Alpha Mills", "Road", "D1", "U1", "RMG_TEXTILE"), (2, "Nobody", "x", "D1", None, "RMG_TEXTILE")], TARGET)
     r = spark.createDataFrame([(7, "BGMEA", "7", "Alpha Mills Ltd", "Road", "D1", "U1"), (8, "BGMEA", "8", "Alpha Mills", "Elsewhere", "D9", None)], RECORD)
