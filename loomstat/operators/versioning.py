@@ -12,9 +12,9 @@ def latest_by(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFram
     return ranked.filter("__rank = 1").drop("__rank")
 
 
-def distinct_last(rows: DataFrame, keys: list[str], position: str) -> DataFrame:
-    """One row per key, the last by position."""
-    return latest_by(rows, keys, [F.desc(position)])
+def distinct_last(rows: DataFrame, keys: list[str], position: str, ties: tuple[str, ...] = ()) -> DataFrame:
+    """One row per key, the last by position; of rows in one position the first by ``ties``."""
+    return latest_by(rows, keys, [F.desc(position), *[F.asc(c) for c in ties]])
 
 
 def append_new(known: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -174,7 +174,10 @@ def target_state_counts(spark, sf_dir):
 
 @query("last_by_position", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC) = 1")
 def last_by_position(spark, sf_dir):
-    return V.distinct_last(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey"], "l_linenumber")
+    """The last line of every order; of lines with one number the one that stands first in the table's files."""
+    columns = ["l_orderkey", "l_linenumber", "l_partkey"]
+    rows = table(spark, sf_dir, "lineitem").select(*columns, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("line"))
+    return V.distinct_last(rows, ["l_orderkey"], "l_linenumber", ("file", "line")).select(*columns)
 
 
 @query(
