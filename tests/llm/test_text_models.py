@@ -531,3 +531,23 @@ def test_pair_loss_learns_the_order():
     strength = r.strength(x)
     assert (strength > r.threshold).mean() == pytest.approx(0.7, abs=0.005)
     assert ((strength > r.threshold) == (good == 1)).mean() > 0.95
+
+
+def test_quality_learns_from_all_labelled_rows(docs, spark, monkeypatch):
+    rng = random.Random(9)
+    texts = {k: "".join(rng.choice("abc AB.,!#\n") for _ in range(rng.randint(5, 60))) for k in range(300)}
+    marks = spark.createDataFrame([(k, int(t.count("a") > t.count("#"))) for k, t in texts.items()], "doc_id long, quality int")
+    frame = docs([(k, t, None, None) for k, t in texts.items()])
+    x, good = np.array([Q.features(t) for t in texts.values()]), np.array([int(t.count("a") > t.count("#")) for t in texts.values()])
+    whole, plain = Q.train(frame, marks), Q.fit(x, good)
+    for a, b in ((whole.mean, plain.mean), (whole.spread, plain.spread), (whole.weights, plain.weights), (whole.threshold, plain.threshold)):
+        assert np.allclose(a, b, atol=1e-6)
+    monkeypatch.setattr(Q, "BLOCK", 40)
+    monkeypatch.setattr(Q, "FEW", 5)
+    dealt = Q.train(frame, marks)
+    assert np.allclose(dealt.mean, x.mean(axis=0)) and np.abs(dealt.weights).max() > 0.1
+    s = np.sort(dealt.strength(x))
+    n = int((good == 0).sum())
+    assert dealt.threshold == pytest.approx(s[n - 1 : n + 1].mean(), abs=1e-9)
+    right = lambda r: ((r.strength(x) >= r.threshold) == good).mean()
+    assert right(dealt) > right(plain) - 0.05  # pairs of other blocks, the same rows
