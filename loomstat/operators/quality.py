@@ -44,10 +44,12 @@ def universe_quality(pages: DataFrame, members: DataFrame, expected_total: int |
 
 def page_faults(members: DataFrame, pages: DataFrame, expected_total: int, page_size: int) -> DataFrame:
     """Pages with a fault: total drift, wrong cardinality, repeats inside the page, ids known from an earlier page."""
-    counted = members.groupBy("page").agg(F.count("*").alias("records"), F.countDistinct("id").alias("ids"))
-    first = members.groupBy("id").agg(F.min("page").alias("first_page"))
-    again = members.join(first, "id").filter("page > first_page").groupBy("page").agg(F.countDistinct("id").alias("known_ids"))
-    made = pages.join(counted, "page", "left").join(again, "page", "left").fillna(0, ["records", "ids", "known_ids"])
+    # one row per page and id first; what is counted after that has no repeats, so nothing is made distinct again
+    each = members.groupBy("page", "id").agg(F.count("*").alias("n"))
+    first = each.filter("id is not null").groupBy("id").agg(F.min("page").alias("first_page"))
+    known = each.join(first, "id", "left")
+    counted = known.groupBy("page").agg(F.sum("n").alias("records"), F.count("id").alias("ids"), F.count_if(F.col("page") > F.col("first_page")).alias("known_ids"))
+    made = pages.join(counted, "page", "left").fillna(0, ["records", "ids", "known_ids"])
     due = F.greatest(F.lit(0), F.least(F.lit(page_size), F.lit(expected_total) - (F.col("page") - 1) * page_size))
     fault = F.when(~F.col("source_reported_total").eqNullSafe(F.lit(expected_total)), "TOTAL_DRIFT").when(F.col("records") != due, "CARDINALITY").when((F.col("ids") < F.col("records")) | (F.col("known_ids") > 0), "DUPLICATE_ID")
     return made.withColumn("fault", fault).filter("fault is not null").select("page", "records", "ids", "known_ids", "fault")
