@@ -186,8 +186,13 @@ def page_links(spark, sf_dir):
 
     @F.arrow_udf("struct<links:long, heading:string>")
     def read(pages: pa.Array) -> pa.Array:
-        trees = [html.tree(x) for x in pages.to_pylist()]
-        return pa.StructArray.from_arrays([pa.array([len(t.all("a")) for t in trees], pa.int64()), pa.array([next((h.text() for h in t.all("h1")), "") or "" for t in trees], pa.string())], names=["links", "heading"])
+        links, headings = [], []
+        for x in pages:  # one page and its tree at a time
+            t = html.tree(x.as_py())
+            links.append(len(t.all("a")))
+            headings.append(next((h.text() for h in t.all("h1")), "") or "")
+            t.clear()
+        return pa.StructArray.from_arrays([pa.array(links, pa.int64()), pa.array(headings, pa.string())], names=["links", "heading"])
 
     return rows.select("page_id", read.asNondeterministic()("html").alias("r")).select("page_id", "r.links", "r.heading")
 

@@ -151,3 +151,19 @@ def test_landing_stream(spark, tmp_path):
     go()
     assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "log")).collect()) == [1, 2, 3]
     assert go() == 0 and landing.latest(spark, str(tmp_path / "log"), ["id"], [F.desc("v")]).count() == 3
+
+
+def test_a_cleared_tree_is_free_at_once():
+    import gc
+    import weakref
+
+    from loomstat.sources import html
+
+    gc.disable()
+    try:
+        tree = html.tree("<div><p><a href='x'>y</a></p></div>")
+        seen = [weakref.ref(x) for x in tree.walk()]
+        tree.clear()
+        assert len(seen) == 3 and all(x() is None for x in seen)
+    finally:
+        gc.enable()
