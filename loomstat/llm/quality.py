@@ -153,8 +153,8 @@ def fit(x: np.ndarray, good: np.ndarray, seed: int = 7) -> Ranker:
 
 def _batch_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        made = [features(x.as_py()).tolist() for x in batch.column(3)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(made, pa.list_(pa.float64()))], names=["__id", "mark", "hash", "x"])
+        made = [features(x.as_py()).tolist() for x in batch.column(2)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(made, pa.list_(pa.float64()))], names=["__id", "hash", "x"])
 
 
 def _block(rows: pa.Table) -> pa.Table:
@@ -234,15 +234,19 @@ def fit_blocks(blocks: DataFrame, seed: int = 7) -> Ranker:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_label: int | None = None) -> Ranker:
-    """Fit on all rows of ``docs`` that ``labels`` marks, one text for an id that repeats (the one with the smallest hash)."""
+    """Fit on all rows of ``docs`` that ``labels`` marks, one text for an id that repeats (the one with the smallest hash).
+
+    Features are made of every row of ``docs``, marked or not: leave out rows that can't be marked beforehand.
+    """
     marks = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("__id"), F.col(label_col).cast("int").alias("mark")).distinct()
     if per_label is not None:
         key = F.xxhash64(F.lit("quality"), F.col("__id"))
         marks = marks.withColumn("__key", key).join(F.broadcast(bounded_sample(marks, "mark", key, per_label)), ["mark", "__key"]).drop("__key")  # 2 x per_label rows
     n = max(1, -(-marks.count() // BLOCK))
-    rows = docs.select(F.col(id_col).cast("long").alias("__id"), text_of(text_col).alias("text")).join(marks, "__id").select("__id", "mark", F.xxhash64("text").alias("hash"), "text")
-    each = rows.mapInArrow(_batch_features, "__id long, mark int, hash long, x array<double>").groupBy("__id", "mark").agg(F.min_by("x", "hash").alias("x"))
-    dealt = each.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), F.col("__id")), F.lit(n)))
+    rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("__id"), text_of(text_col).alias("text")).select("__id", F.xxhash64("text").alias("hash"), "text")
+    each = rows.mapInArrow(_batch_features, "__id long, hash long, x array<double>").groupBy("__id").agg(F.min_by("x", "hash").alias("x"))
+    # features go through the shuffle, texts don't; sorted at every size, as labels grow with the documents
+    dealt = each.join(marks.hint("merge"), "__id").withColumn("block", F.pmod(F.xxhash64(F.lit("block"), F.col("__id")), F.lit(n)))
     made = dealt.groupBy("block").applyInArrow(_block, "block long, good binary, x binary")
     path = new_path(docs.sparkSession, "quality-blocks")
     made.write.option("compression", "none").parquet(path)  # a task reads as many bytes as a split has

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import string
 import textwrap
 import zlib
 from collections import Counter
@@ -551,3 +552,32 @@ def test_quality_learns_from_all_labelled_rows(docs, spark, monkeypatch):
     assert dealt.threshold == pytest.approx(s[n - 1 : n + 1].mean(), abs=1e-9)
     right = lambda r: ((r.strength(x) >= r.threshold) == good).mean()
     assert right(dealt) > right(plain) - 0.05  # pairs of other blocks, the same rows
+
+
+def test_quality_moves_features_not_texts(docs, spark, tmp_path):
+    """However the join would be planned: what a fit shuffles is the same and less than the texts."""
+    rng = random.Random(11)
+    letters = string.ascii_letters + string.digits
+    texts = {k: "".join(rng.choices(letters + ("#" if k % 2 else " "), k=20_000)) for k in range(100)}
+    frame = docs([(k, t, None, None) for k, t in texts.items()])
+    spark.createDataFrame([(k, k % 2) for k in texts if k % 3], "doc_id long, quality int").write.parquet(str(tmp_path / "labels"))
+    marks = spark.read.parquet(str(tmp_path / "labels"))
+    status = spark.sparkContext._jsc.sc().statusStore()
+
+    def shuffled() -> int:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        found = status.executorList(True)
+        return sum(found.apply(k).totalShuffleWrite() for k in range(found.size()))
+
+    models, moved = [], []
+    for least in ("10m", "-1"):  # small labels are broadcast, or none are
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+        try:
+            before = shuffled()
+            models.append(Q.train(frame, marks))
+            moved.append(shuffled() - before)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert np.allclose(models[0].weights, models[1].weights) and models[0].threshold == pytest.approx(models[1].threshold)
+    assert max(moved) < 1.1 * min(moved)
+    assert max(moved) < sum(map(len, texts.values())) / 4
